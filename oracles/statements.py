@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from oracles.views import VIEWS, statement
 
 RUN, CONFIRMED, DEMAND = "date '2001-07-30'", "date '1997-12-31'", "date '2000-06-15'"
@@ -150,10 +152,11 @@ PARTS = {
     "bill": """
         select m.warehouse_id, m.receipt_id, m.line, l.order_id, m.product_id, l.name, l.uom_id, l.price_unit::decimal(10,2) as price_unit, sum(m.qty)::int as quantity, m.product_id + 7 as tmpl_id
         from tmove m join rord r on r.warehouse_id = m.warehouse_id and r.receipt_id = m.receipt_id join sol l on l.id = m.line and l.order_id = r.order_id where m.leg = 1 group by all having sum(m.qty) <> 0""",
+    "trate": "select z.tmpl_id, sum(y.rate) as total_rate from tmpl_tax z join tax y on y.id = z.tax_id and y.active group by all",
     "btax": """
-        select b.warehouse_id, b.receipt_id, b.line, b.product_id, b.order_id, x.tax_id, t.name as tax_name, t.account_id, (select sum(y.rate) from tmpl_tax z join tax y on y.id = z.tax_id and y.active where z.tmpl_id = b.tmpl_id) as total_rate,
-          (case t.kind when 'percent' then b.price_unit * b.quantity / (1 + total_rate) * t.rate when 'fixed' then t.rate * b.quantity end)::decimal(12,2) as amount
-        from bill b join tmpl_tax x on x.tmpl_id = b.tmpl_id left join tax t on t.id = x.tax_id and t.active""",
+        select b.warehouse_id, b.receipt_id, b.line, b.product_id, b.order_id, x.tax_id, t.name as tax_name, t.account_id, r.total_rate,
+          (case t.kind when 'percent' then b.price_unit * b.quantity / (1 + r.total_rate) * t.rate when 'fixed' then t.rate * b.quantity end)::decimal(12,2) as amount
+        from bill b join tmpl_tax x on x.tmpl_id = b.tmpl_id left join trate r on r.tmpl_id = b.tmpl_id left join tax t on t.id = x.tax_id and t.active""",
     "bline": """
         select b.*, coalesce((select sum(amount) from btax t where t.warehouse_id = b.warehouse_id and t.receipt_id = b.receipt_id and t.line = b.line), 0)::decimal(10,2) as tax_sum,
           (price_unit * quantity)::decimal(12,2) as gross from bill b""",
@@ -167,6 +170,13 @@ PARTS = {
         select warehouse_id, receipt_id, 'sale' as kind, 690 as account_id, left(name, 64) as name, product_id, uom_id, quantity, null::int as tax_line_id, 0::decimal(12,2) as debit, (gross - tax_sum)::decimal(12,2) as credit from bline
         union all select warehouse_id, receipt_id, 'tax', account_id, tax_name, null, null, 1, tax_id, 0, amount from btax where amount > 0
         union all select warehouse_id, receipt_id, 'receivable', account_id, '/', null, null, 1, null, total, 0 from bhead where total > 0""",
+    # Reports.
+    "bal": """
+        select q.product_id, p.code_name, q.location_id, l.complete_name, sum(q.quantity) as qty from quant q join loc l on l.id = q.location_id and l.usage = 'internal'
+        join (select prod.id, prod.code || ' - ' || tmpl.name as code_name from prod join tmpl on tmpl.id = prod.tmpl_id) p on p.id = q.product_id group by all having sum(q.quantity) <> 0""",
+    "kq": """
+        select k.warehouse_id, k.product_id, sum(k.qty) as q, max(round(coalesce(h.qty, 0))::int) as qoh from kit k join wh w on w.id = k.warehouse_id
+        left join on_hand h on h.a = w.stock_id and h.product_id = k.product_id group by all""",
     # FIFO repair by range joins.
     "fm": "select * from mv where ((is_in or is_out) and rem < 0) or (is_in and rem > 0)",
     "fnet": """
@@ -186,6 +196,26 @@ PARTS = {
         from mv m join (select giver_id, sum(qty) as q, sum(qty * price_unit) as v from alloc group by all) x on x.giver_id = m.id""",
 }
 
+
+
+def _after_confirmation() -> dict[str, str]:
+    """The requisition parts once more, over orders and lines as the confirmation of the run date leaves them."""
+    parts = {
+        "so_after": """
+            select so.id, so.name, so.partner_id, so.company_id, so.date_order, coalesce(c.date_delivery, so.date_delivery) as date_delivery, coalesce(c.state, so.state) as state,
+              so.is_duplicate, so.requisitioned, coalesce(c.confirmation_date, so.confirmation_date) as confirmation_date from so left join ord_chg c on c.id = so.id""",
+        "sol_after": "select id, order_id, product_id, qty, company_id from sol",
+    }
+    names = ("req_so", "stg", "dem", "waiting", "net0", "net", "ropt", "rhead")
+    renamed = {"so": "so_after", "sol": "sol_after", **{name: f"{name}_after" for name in names}}
+    for name in names:
+        text = re.sub(r"\b[a-z_0-9]+\b(?!\.)", lambda m: renamed.get(m.group(), m.group()), PARTS[name])
+        parts[f"{name}_after"] = text.replace(CONFIRMED, RUN)
+    return parts
+
+
+PARTS |= _after_confirmation()
+
 _TABLE_VIEWS = {
     "stock_location": "loc", "stock_warehouse": "wh", "warehouse_product_rel": "wh_prod", "ofc_locations": "ofc_loc", "location_product_rel": "loc_prod",
     "stock_move": "mv", "product_uom": "uom", "stock_picking": "picking", "stock_picking_type": "ptype", "stock_quant": "quant",
@@ -280,8 +310,6 @@ _QUERIES = {
           left join wh w on w.id = r.warehouse_id left join held h on h.warehouse_id = r.warehouse_id and h.product_id = r.product_id) q
         left join avail a on a.warehouse_id = q.ofc_id and a.product_id = q.product_id""",
     "d8_stock_per_location": """
-        with bal as (select q.product_id, p.code_name, q.location_id, l.complete_name, sum(q.quantity) as qty from quant q join loc l on l.id = q.location_id and l.usage = 'internal'
-          join (select prod.id, prod.code || ' - ' || tmpl.name as code_name from prod join tmpl on tmpl.id = prod.tmpl_id) p on p.id = q.product_id group by all having sum(q.quantity) <> 0)
         select 4 as level, location_id::varchar as line_id, 'product_' || product_id as parent_id, product_id, complete_name as name, location_id, qty::decimal(18,2) as qty from bal
         union all select 2, 'product_' || product_id, null, product_id, code_name, null, sum(qty)::decimal(18,2) from bal group by product_id, code_name
         union all select 0, 'grouped_products_total', null, null, 'Total', null, sum(qty)::decimal(18,2) from bal""",
@@ -341,6 +369,9 @@ _QUERIES = {
           (case when projected <= min_qty then floor((max_qty - projected) / multiple * factor) else 0 end)::decimal(12,4) as reorder_qty,
           case when gap > 0 then round(gap)::int else 0 end as qty_to_purchase, r.po_qty as product_qty, r.po_onhand as qty_available
         from ropt r join rhead h on h.ofc = r.ofc and h.company_id = r.company_id join prod p on p.id = r.product_id join tmpl t on t.id = p.tmpl_id left join cat c on c.id = t.categ_id""",
+    "e12_confirm_and_requisition": """
+        select h.no - 99 as requisition_no, r.product_id, r.uom_po_id as product_uom_id, r.company_id, case when gap > 0 then round(gap)::int else 0 end as qty_to_purchase, r.po_qty as product_qty
+        from ropt_after r join rhead_after h on h.ofc = r.ofc and h.company_id = r.company_id""",
     "e13_intake_receipts": "select distinct warehouse_id, receipt_id from dlv where not processed order by warehouse_id, receipt_id limit 500",
     "e14_duplicate_deliveries": "select id, processed or is_dup as processed, case when is_dup then 'possible duplicate' end as remarks from dup",
     "e15_cancelled_lines": """
@@ -366,8 +397,6 @@ _QUERIES = {
     "e17_invalid_receipts": """
         select id, true as processed, 'invalid order' as remarks from fresh f where not processed and not exists (select 1 from kit k where k.warehouse_id = f.warehouse_id and k.receipt_id = f.receipt_id)""",
     "e18_stock_exceptions": f"""
-        with kq as (select k.warehouse_id, k.product_id, sum(k.qty) as q, max(round(coalesce(h.qty, 0))::int) as qoh from kit k join wh w on w.id = k.warehouse_id
-          left join on_hand h on h.a = w.stock_id and h.product_id = k.product_id group by all)
         select e.warehouse_id, e.product_id, e.sync_date, e.state, e.initial_qoh, case when m.q is null then e.kitted_qty else e.kitted_qty + m.q end as kitted_qty, case when m.q is null then e.adjusted_qty else 0 end as adjusted_qty
         from exc e left join kq m on m.warehouse_id = e.warehouse_id and m.product_id = e.product_id and e.state = 'new' and e.sync_date = {RUN}
         union all select m.warehouse_id, m.product_id, {RUN}, 'new', m.qoh, m.q, 0 from kq m where m.q > m.qoh
@@ -414,4 +443,17 @@ _QUERIES = {
 
 STATEMENTS = {name: statement(text, PARTS) for name, text in _QUERIES.items()}
 
-__all__ = ["PARTS", "STATEMENTS", "VIEWS"]
+STREAM_STATEMENTS: dict[str, str] = {
+    "s1_event_intake": """
+        with d as (select event_id as id, user_id % 10 as warehouse_id, hour(ts) as receipt_id, case when event_type <> 'error' then user_id end as line_id, event_id % 3 as qty
+          from events where event_id % 7 <> 0)
+        select * from d where line_id is null or id in (select min(id) from d group by warehouse_id, receipt_id, line_id, qty)""",
+    "s2_cancellations": statement(
+        """
+        select id as request_id, line_id as original_line, order_id, cancelled_qty as product_uom_qty, 'cancel' as state
+        from cr where cancelled_qty < ordered and here""",
+        PARTS,
+    ),
+}
+
+__all__ = ["PARTS", "STATEMENTS", "STREAM_STATEMENTS", "VIEWS"]

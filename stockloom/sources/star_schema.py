@@ -360,9 +360,8 @@ class Business:
             "sale_order",
         )
 
-    @cached_property
-    def _lines(self) -> DataFrame:
-        """Order lines with the helper columns other tables derive from."""
+    def number_lines(self, lineitem: DataFrame) -> DataFrame:
+        """Order lines with an id and the helper columns other tables derive from."""
         return self.spark.sql(
             """
             select *, order_id * 1000 + row_number() over (
@@ -372,9 +371,13 @@ class Business:
                 cast(l_shipdate as date) as ship_date, cast(1 + cast(l_quantity as int) % 3 as int) as qty
               from {lineitem})
             """,
-            lineitem=self.raw("lineitem"),
+            lineitem=lineitem,
         )
 
+    @cached_property
+    def _lines(self) -> DataFrame:
+        return self.number_lines(self.raw("lineitem"))
+
     @cached_property
     def _priced(self) -> DataFrame:
         prices = self.raw("part").select(F.col("p_partkey").alias("product_id"), F.col("p_retailprice").cast("decimal(12,2)").alias("list_price"))
@@ -544,10 +547,10 @@ class Business:
     def ofs_delivery(self) -> DataFrame:
         return self.deliveries_of(self._lines)
 
-    @cached_property
-    def ofs_cancel_order(self) -> DataFrame:
+    def cancel_requests_of(self, lines: DataFrame) -> DataFrame:
+        """Cancellation requests of numbered order lines."""
         number, home = F.col("linenumber"), F.col("warehouse")
-        rows = self._lines.filter((F.col("flag") == "A") & (F.col("product_id") % 4 == 0))
+        rows = lines.filter((F.col("flag") == "A") & (F.col("product_id") % 4 == 0))
         return conform(
             rows.select(
                 "id",
@@ -561,6 +564,10 @@ class Business:
             "ofs_cancel_order",
         )
 
+    @cached_property
+    def ofs_cancel_order(self) -> DataFrame:
+        return self.cancel_requests_of(self._lines)
+
     @cached_property
     def receipt_document(self) -> DataFrame:
         """Documents that exist already: pickings or invoices of some receipts."""
