@@ -9,7 +9,7 @@ from __future__ import annotations
 from datetime import date
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stockloom.sources.schemas import TABLES
 from stockloom.sources.tables import conform
@@ -362,17 +362,19 @@ class Business:
 
     def number_lines(self, lineitem: DataFrame) -> DataFrame:
         """Order lines with an id and the helper columns other tables derive from."""
-        return self.spark.sql(
-            """
-            select *, order_id * 1000 + row_number() over (
-                partition by order_id order by linenumber, product_id, warehouse, extended) as id
-            from (select l_orderkey as order_id, l_partkey as product_id, l_suppkey as warehouse,
-                l_linenumber as linenumber, l_extendedprice as extended, l_returnflag as flag, l_linestatus as status,
-                cast(l_shipdate as date) as ship_date, cast(1 + cast(l_quantity as int) % 3 as int) as qty
-              from {lineitem})
-            """,
-            lineitem=lineitem,
+        rows = lineitem.select(
+            F.col("l_orderkey").alias("order_id"),
+            F.col("l_partkey").alias("product_id"),
+            F.col("l_suppkey").alias("warehouse"),
+            F.col("l_linenumber").alias("linenumber"),
+            F.col("l_extendedprice").alias("extended"),
+            F.col("l_returnflag").alias("flag"),
+            F.col("l_linestatus").alias("status"),
+            _date("l_shipdate").alias("ship_date"),
+            (1 + F.col("l_quantity").cast("int") % 3).cast("int").alias("qty"),
         )
+        place = Window.partitionBy("order_id").orderBy("linenumber", "product_id", "warehouse", "extended")
+        return rows.withColumn("id", F.col("order_id") * 1000 + F.row_number().over(place))
 
     @cached_property
     def _lines(self) -> DataFrame:
