@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -21,6 +22,7 @@ from stockloom.operators import (
 )
 from stockloom.operators.cancellation import Cancellation, apply_cancellations
 from stockloom.plans import confirmation_run as confirming, fulfilment_run as fulfilling
+from stockloom.session import materialize
 from stockloom.sources.schemas import TABLES
 from stockloom.sources.star_schema import CONFIRMED_ON, DEMAND_DATE, RUN_DATE, Business
 
@@ -431,9 +433,8 @@ def e10_reorder_qty(b: Business) -> DataFrame:
 
 
 def _requisition(b: Business) -> tuple[DataFrame, DataFrame]:
-    plan = confirming.requisition_plan(b, CONFIRMED_ON, RUN_DATE)
-    centres = confirming.staged(b, CONFIRMED_ON).select(F.col("ofc_id").alias("warehouse_id"), "company_id")
-    headers = requisition.requisition_headers(centres, b["stock_warehouse"], CONFIRMED_ON, 100, 1, "PR%(year)s-", RUN_DATE)
+    plan = materialize(confirming.requisition_plan(b, CONFIRMED_ON, RUN_DATE))
+    headers = requisition.requisition_headers(plan, b["stock_warehouse"], CONFIRMED_ON, 100, 1, "PR%(year)s-", RUN_DATE)
     return headers, requisition.requisition_lines(plan, headers)
 
 
@@ -534,82 +535,97 @@ def e19_consumed_quants(b: Business) -> DataFrame:
     return fulfilling.consumption(b, _usable(b))
 
 
-def _transfers(b: Business, priced: bool = False) -> tuple[DataFrame, DataFrame]:
-    lines = _usable(b)
-    costs = orders.line_cost(fulfilling.consumption(b, lines)) if priced else None
-    return fulfilling.transfers(b, lines, costs, fulfilling.Counters(), RUN_DATE)
-
-
 @query
 def e20_transfer_headers(b: Business) -> DataFrame:
-    return _transfers(b)[0]
+    return fulfilling.transfer_headers(b, _usable(b), fulfilling.Counters(), RUN_DATE)
+
+
+def _moves(b: Business) -> DataFrame:
+    return fulfilling.transfer_moves(b, _usable(b), None, RUN_DATE)
 
 
 @query
 def e20_transfer_moves(b: Business) -> DataFrame:
-    return _transfers(b, priced=True)[1].drop("name", "date_expected", "date", "move_dest_leg")
+    lines = materialize(_usable(b))
+    costs = orders.line_cost(fulfilling.consumption(b, lines))
+    moves = fulfilling.transfer_moves(b, lines, costs, RUN_DATE)
+    return moves.drop("name", "date_expected", "date", "move_dest_leg")
 
 
 @query
 def e21_chained_moves(b: Business) -> DataFrame:
-    return kitting.chain_moves(_transfers(b)[1])
+    return kitting.chain_moves(materialize(_moves(b)))
 
 
 @query
 def e21_closed_deliveries(b: Business) -> DataFrame:
-    return kitting.delivery_changes(fulfilling.fresh_deliveries(b), _transfers(b)[0])
+    return kitting.delivery_changes(fulfilling.fresh_deliveries(b), e20_transfer_headers(b))
 
 
 # -- invoicing --------------------------------------------------------------------------------------------------------
 
 
-def _invoices(b: Business) -> dict[str, DataFrame]:
-    return fulfilling.invoices(b, fulfilling.fresh_deliveries(b), _transfers(b)[1], fulfilling.Counters(), RUN_DATE)
+class Billing:
+    """The invoicing stages of the test tables; the delivered lines and the headers are stored once."""
+
+    def __init__(self, b: Business) -> None:
+        self.b = b
+        self.deliveries = fulfilling.fresh_deliveries(b)
+        self.receipts = invoicing.receipt_orders(self.deliveries)
+        self.delivered = materialize(fulfilling.delivered_lines(b, self.receipts, _moves(b)))
+        self.taxes = fulfilling.line_taxes(b, self.delivered)
+        self.lines = invoicing.invoice_lines(self.delivered, self.taxes)
+
+    @cached_property
+    def headers(self) -> DataFrame:
+        return fulfilling.invoice_headers(self.b, self.lines, self.receipts, fulfilling.Counters(), RUN_DATE)
 
 
 @query
 def e22_invoice_lines(b: Business) -> DataFrame:
-    return _invoices(b)["invoice_lines"]
+    return Billing(b).lines
 
 
 @query
 def e23_line_taxes(b: Business) -> DataFrame:
-    return _invoices(b)["tax_rows"].select(*invoicing.LINE_KEY, "tax_id", "tax_name", "tax_account_id", "total_rate", "tax_amount")
+    return Billing(b).taxes.select(*invoicing.LINE_KEY, "tax_id", "tax_name", "tax_account_id", "total_rate", "tax_amount")
 
 
 @query
 def e24_invoice_headers(b: Business) -> DataFrame:
-    return _invoices(b)["invoices"].drop("origin")
+    return Billing(b).headers.drop("origin")
 
 
 @query
 def e25_journal_entries(b: Business) -> DataFrame:
-    return _invoices(b)["journal_entries"].drop("narration")
+    return invoicing.journal_entries(Billing(b).headers).drop("narration")
 
 
 @query
 def e25_journal_lines(b: Business) -> DataFrame:
-    return _invoices(b)["journal_lines"]
+    bill = Billing(b)
+    return invoicing.journal_lines(bill.headers, bill.lines, bill.taxes, b["account_account"], b["account_journal"])
 
 
 @query
 def e26_tax_summary(b: Business) -> DataFrame:
-    return _invoices(b)["tax_summary"]
+    return invoicing.tax_summary(Billing(b).taxes)
 
 
 @query
 def e26_line_taxes(b: Business) -> DataFrame:
-    return _invoices(b)["line_taxes"]
+    return invoicing.line_tax_relation(Billing(b).taxes)
 
 
 @query
 def e26_line_orders(b: Business) -> DataFrame:
-    return _invoices(b)["line_orders"]
+    return invoicing.order_line_relation(Billing(b).lines)
 
 
 @query
 def e27_invoiced_deliveries(b: Business) -> DataFrame:
-    return invoicing.invoiced_changes(fulfilling.fresh_deliveries(b), _invoices(b)["invoices"])
+    bill = Billing(b)
+    return invoicing.invoiced_changes(bill.deliveries, bill.headers)
 
 
 # -- valuation --------------------------------------------------------------------------------------------------------

@@ -78,12 +78,13 @@ def run_confirmation(
     today: date,
     create_requisition: bool,
     counter: Mapping[str, object] = REQUISITION_COUNTER,
-    checkpoint: bool = False,
+    checkpoint: bool = True,
 ) -> dict[str, DataFrame]:
     """All change sets of one run; nothing happens on a Sunday.
 
     The requisition part works on the confirmed orders of ``run_date``, so it sees this run's confirmations only if
-    ``run_date`` is ``today``. ``checkpoint`` stores the dispositions, which several outputs read.
+    ``run_date`` is ``today``. ``checkpoint`` stores the dispositions, which several outputs
+    read, and the requisition plan.
     """
     decided = dispositions(tables, run_date, today)
     facts = line_facts(tables, run_date)
@@ -97,14 +98,13 @@ def run_confirmation(
     if "wkf_instance" in tables:
         out["workflow"] = confirmation.workflow_changes(decided, tables["wkf_instance"])
     if create_requisition:
+        # Line states play no part in the requisition, so only the orders are brought up to date.
         after = dict(tables)
         after["sale_order"] = maintenance.apply_changes(tables["sale_order"], order_changes)
-        after["sale_order_line"] = maintenance.apply_changes(tables["sale_order_line"], line_changes)
         plan = requisition_plan(after, run_date, today)
         if checkpoint:
             plan = materialize(plan)
-        centres = staged(after, run_date).select(F.col("ofc_id").alias("warehouse_id"), "company_id")
-        headers = requisition.requisition_headers(centres, tables["stock_warehouse"], run_date, on_date=today, **counter)
+        headers = requisition.requisition_headers(plan, tables["stock_warehouse"], run_date, on_date=today, **counter)
         out["requisitions"] = headers
         out["requisition_lines"] = requisition.requisition_lines(plan, headers)
         out["requisitioned"] = requisition.requisitioned_changes(

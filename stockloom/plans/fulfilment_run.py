@@ -46,40 +46,31 @@ def consumption(tables: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:
     return kitting.consume_quants(demand, tables["stock_quant"], stock)
 
 
-def transfers(
-    tables: Mapping[str, DataFrame], lines: DataFrame, costs: DataFrame | None, counters: Counters, today: date
-) -> tuple[DataFrame, DataFrame]:
-    """``(headers, moves)`` of all legs."""
+def transfer_headers(tables: Mapping[str, DataFrame], lines: DataFrame, counters: Counters, today: date) -> DataFrame:
+    names = ("res_partner", "stock_warehouse", "stock_location", "stock_picking_type")
     totals = kitting.receipt_totals(lines)
-    places = tables["stock_warehouse"], tables["stock_location"], tables["stock_picking_type"]
-    headers = kitting.transfer_headers(totals, tables["res_partner"], *places, counters.internal, counters.outgoing, today)
-    moves = kitting.transfer_moves(lines, totals, costs, tables["res_partner"], *places, today)
-    return headers, moves
+    return kitting.transfer_headers(totals, *[tables[n] for n in names], counters.internal, counters.outgoing, today)
 
 
-def invoices(
-    tables: Mapping[str, DataFrame], deliveries: DataFrame, moves: DataFrame, counters: Counters, today: date
-) -> dict[str, DataFrame]:
-    """Invoice lines, tax rows, headers, entries and journal lines of the moved receipts."""
-    receipts = invoicing.receipt_orders(deliveries)
-    delivered = invoicing.delivered_lines(
-        receipts, moves, tables["sale_order_line"], tables["product_product"], tables["product_template"], tables["receipt_document"]
-    )
-    taxes = invoicing.line_taxes(delivered, tables["product_taxes_rel"], tables["account_tax"])
-    lines = invoicing.invoice_lines(delivered, taxes)
-    headers = invoicing.invoice_headers(
-        lines, receipts, tables["sale_order"], tables["res_company"], tables["ir_property"], counters.invoice, today
-    )
-    return {
-        "invoice_lines": lines,
-        "tax_rows": taxes,
-        "invoices": headers,
-        "journal_entries": invoicing.journal_entries(headers),
-        "journal_lines": invoicing.journal_lines(headers, lines, taxes, tables["account_account"], tables["account_journal"]),
-        "tax_summary": invoicing.tax_summary(taxes),
-        "line_taxes": invoicing.line_tax_relation(taxes),
-        "line_orders": invoicing.order_line_relation(lines),
-    }
+def transfer_moves(tables: Mapping[str, DataFrame], lines: DataFrame, costs: DataFrame | None, today: date) -> DataFrame:
+    names = ("res_partner", "stock_warehouse", "stock_location", "stock_picking_type")
+    return kitting.transfer_moves(lines, kitting.receipt_totals(lines), costs, *[tables[n] for n in names], today)
+
+
+def delivered_lines(tables: Mapping[str, DataFrame], receipts: DataFrame, moves: DataFrame) -> DataFrame:
+    names = ("sale_order_line", "product_product", "product_template", "receipt_document")
+    return invoicing.delivered_lines(receipts, moves, *[tables[n] for n in names])
+
+
+def line_taxes(tables: Mapping[str, DataFrame], delivered: DataFrame) -> DataFrame:
+    return invoicing.line_taxes(delivered, tables["product_taxes_rel"], tables["account_tax"])
+
+
+def invoice_headers(
+    tables: Mapping[str, DataFrame], lines: DataFrame, receipts: DataFrame, counters: Counters, today: date
+) -> DataFrame:
+    names = ("sale_order", "res_company", "ir_property")
+    return invoicing.invoice_headers(lines, receipts, *[tables[n] for n in names], counters.invoice, today)
 
 
 def run_fulfilment(
@@ -87,11 +78,12 @@ def run_fulfilment(
     today: date,
     limit: int | None = 500,
     counters: Counters | None = None,
-    checkpoint: bool = False,
+    checkpoint: bool = True,
 ) -> dict[str, DataFrame]:
     """One run over the queues: cancellations first, then up to ``limit`` receipts (``None``: all).
 
-    ``checkpoint`` stores the stages that feed several outputs, so a lost executor does not repeat the whole run.
+    ``checkpoint`` stores the stages that feed several outputs in the shared folder: they are computed once, plans stay
+    small, and a lost executor does not repeat the whole run.
     """
     keep = materialize if checkpoint else (lambda df: df)
     counters = counters or Counters()
@@ -105,11 +97,16 @@ def run_fulfilment(
     )
     marked = intake.mark_duplicate_deliveries(tables["ofs_delivery"])
     fresh = fresh_deliveries(tables, limit)
+    fresh = keep(fresh)
     lines = keep(with_stock(now, usable(now, fresh, today)))
     consumed = keep(consumption(now, lines))
-    headers, moves = transfers(now, lines, order_ops.line_cost(consumed), counters, today)
-    headers, moves = keep(headers), keep(moves)
-    billed = invoices(now, fresh, moves, counters, today)
+    headers = keep(transfer_headers(now, lines, counters, today))
+    moves = keep(transfer_moves(now, lines, order_ops.line_cost(consumed), today))
+    receipts = invoicing.receipt_orders(fresh)
+    delivered = keep(delivered_lines(now, receipts, moves))
+    taxes = line_taxes(now, delivered)
+    billed = keep(invoicing.invoice_lines(delivered, taxes))
+    invoices = keep(invoice_headers(now, billed, receipts, counters, today))
     repeated = intake.split_already_processed(
         marked.filter(intake.unprocessed()).select(*intake.RECEIPT).distinct(), tables["receipt_document"]
     )[1]
@@ -128,7 +125,14 @@ def run_fulfilment(
         "transfer_headers": headers,
         "transfer_moves": moves,
         "closed_deliveries": kitting.delivery_changes(fresh, headers),
-        "invoiced_deliveries": invoicing.invoiced_changes(fresh, billed["invoices"]),
-        "invoiced_pickings": invoicing.picking_changes(billed["invoices"]),
-        **billed,
+        "invoice_lines": billed,
+        "tax_rows": taxes,
+        "invoices": invoices,
+        "journal_entries": invoicing.journal_entries(invoices),
+        "journal_lines": invoicing.journal_lines(invoices, billed, taxes, tables["account_account"], tables["account_journal"]),
+        "tax_summary": invoicing.tax_summary(taxes),
+        "line_taxes": invoicing.line_tax_relation(taxes),
+        "line_orders": invoicing.order_line_relation(billed),
+        "invoiced_deliveries": invoicing.invoiced_changes(fresh, invoices),
+        "invoiced_pickings": invoicing.picking_changes(invoices),
     }

@@ -69,7 +69,7 @@ class Business:
     def stock_location(self) -> DataFrame:
         nations, suppliers = self.raw("nation"), self.raw("supplier")
 
-        def node(df: DataFrame, id_: Column, name: Column, usage: Column, r, n, s, k, level: int) -> DataFrame:
+        def node(df: DataFrame, id_: Column, name: Column, usage: Column, r, n, s, k, level: int | None) -> DataFrame:
             r, n, s, k = (x if isinstance(x, Column) else F.lit(x) for x in (r, n, s, k))
             r, n, s = (x.cast("bigint") for x in (r, n, s))
             left = (r + 1) * F.lit(_REGION_STEP) + (n + 1) * F.lit(_NATION_STEP) + (s + 1) * 2 + k
@@ -78,6 +78,7 @@ class Business:
                 1: (r + 2) * F.lit(_REGION_STEP) - 1,
                 2: (r + 1) * F.lit(_REGION_STEP) + (n + 2) * F.lit(_NATION_STEP) - 1,
                 3: left,
+                None: F.when(id_ == 1, F.lit(_OUTSIDE * _REGION_STEP - 1)).otherwise(left),
             }[level]
             full = F.concat_ws("/", r.cast("string"), n.cast("string"), name)
             return df.select(
@@ -99,14 +100,20 @@ class Business:
             ),
         )
         # The root, and places outside the tree of regions.
-        outside = ((2, "Customers", "customer"), (3, "Vendors", "supplier"), (4, "Inventory loss", "inventory"), (5, "Scrapped", "inventory"))
+        outside = (
+            (1, "ALL", "view", -1, -1, -1),
+            (2, "Customers", "customer", _OUTSIDE, 2, 0),
+            (3, "Vendors", "supplier", _OUTSIDE, 3, 0),
+            (4, "Inventory loss", "inventory", _OUTSIDE, 4, 0),
+            (5, "Scrapped", "inventory", _OUTSIDE, 5, 0),
+        )
+        names = ("i", "t", "u", "r", "n", "s")
         virtual = self.spark.range(1).select(
-            F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(t).alias("t"), F.lit(u).alias("u")) for i, t, u in outside]))
+            F.inline(F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(names, row)]) for row in outside]))
         )
         region, nation, supplier = F.col("r_regionkey"), (F.col("n_regionkey"), F.col("n_nationkey")), F.col("s_suppkey")
         parts = [
-            node(self.spark.range(1), F.lit(1), F.lit("ALL"), F.lit("view"), -1, -1, -1, 0, 0),
-            node(virtual, F.col("i"), F.col("t"), F.col("u"), _OUTSIDE, F.col("i"), 0, 0, 3),
+            node(virtual, F.col("i"), F.col("t"), F.col("u"), F.col("r"), F.col("n"), F.col("s"), 0, None),
             node(self.raw("region"), 10 + region, F.col("r_name"), F.lit("view"), region, -1, -1, 0, 1),
             node(nations, 100 + F.col("n_nationkey"), F.col("n_name"), F.lit("view"), *nation, -1, 0, 2),
             node(

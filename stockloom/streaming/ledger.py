@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 class Ledger:
@@ -15,7 +15,7 @@ class Ledger:
 
     def rows(self, spark: SparkSession) -> DataFrame:
         """All rows written so far, with their ``batch``."""
-        shape = StructType(self.schema.fields).add("batch", "long")
+        shape = StructType([*self.schema.fields, StructField("batch", LongType())])
         try:
             return spark.read.schema(shape).parquet(self.folder)
         except AnalysisException:  # nothing written yet
