@@ -167,7 +167,7 @@ PARTS = {
         join rord r on r.warehouse_id = b.warehouse_id and r.receipt_id = b.receipt_id join so o on o.id = r.order_id left join company c on c.id = o.company_id
         left join prop p on p.name = 'property_account_receivable_id' and p.res_id = 'res.partner,' || o.partner_id""",
     "jline": """
-        select warehouse_id, receipt_id, 'sale' as kind, 690 as account_id, left(name, 64) as name, product_id, uom_id, quantity, null::int as tax_line_id, 0::decimal(12,2) as debit, (gross - tax_sum)::decimal(12,2) as credit from bline
+        select warehouse_id, receipt_id, 'sale' as kind, 690::bigint as account_id, left(name, 64) as name, product_id, uom_id, quantity, null::int as tax_line_id, 0::decimal(12,2) as debit, (gross - tax_sum)::decimal(12,2) as credit from bline
         union all select warehouse_id, receipt_id, 'tax', account_id, tax_name, null, null, 1, tax_id, 0, amount from btax where amount > 0
         union all select warehouse_id, receipt_id, 'receivable', account_id, '/', null, null, 1, null, total, 0 from bhead where total > 0""",
     # Reports.
@@ -277,12 +277,12 @@ _QUERIES = {
         left join deflt d on d.warehouse_id = l.ofc_id""",
     "c6_properties": """
         select p.id, coalesce(nullif(replace(r.ref, 'account.account,', ''), ''), '699')::int as account_id, coalesce(nullif(t.txt, ''), '42') as p_text,
-          coalesce(t.num, 42) as p_integer, coalesce(t.flt, 42.0) as p_float, coalesce(t.dt::date, try_cast('42' as date)) as p_datetime
+          coalesce(t.num, 42)::int as p_integer, coalesce(t.flt, 42.0) as p_float, coalesce(t.dt::date, try_cast('42' as date)) as p_datetime
         from partner p left join prop r on r.name = 'property_account_receivable_id' and r.res_id = 'res.partner,' || p.id
         left join prop t on t.name = 'property_limit' and t.res_id = 'res.partner,' || p.id""",
     "c7_client_vendor": "select customer_id, case when count(distinct partner_id) = 1 then max(partner_id) end as vendor_id from so group by customer_id",
     "c8_account_and_currency": """
-        select so.id, a.user_type_id, c.currency_id, 690 as sale_account from so left join account a on a.id = 690 + so.partner_id left join company c on c.id = so.company_id""",
+        select so.id, a.user_type_id, c.currency_id, 690::bigint as sale_account from so left join account a on a.id = 690 + so.partner_id left join company c on c.id = so.company_id""",
     "c9_agent_warehouse": "select so.id, so.partner_id, case when so.partner_id = 0 then 1 else p.warehouse_id end as warehouse_id from so left join partner p on p.id = so.partner_id",
     "c10_product_matrix": """
         select r.warehouse_id, w.name as warehouse_name, w.parent_id as parent_warehouse_id, pw.name as parent_name, r.product_id, t.name as product_name
@@ -350,7 +350,7 @@ _QUERIES = {
         select id, 'active' as state from wkf where res_type = 'sale.order' and state <> 'active' and res_id in (select order_id from disp where disposition = 'confirm')""",
     "e7_requisition_orders": "select id, name, partner_id, company_id, date_order, date_delivery, warehouse_id from req_so",
     "e8_requisition_demand": """
-        select d.product_id, d.company_id, d.uom_po_id as purchase_uom_id, d.ofc as warehouse_id, d.factor as purchase_factor, d.po_qty as po_qty_ordered, d.qty as qty_ordered,
+        select d.product_id, d.company_id, d.uom_po_id as purchase_uom_id, d.ofc as warehouse_id, d.factor::decimal(10,6) as purchase_factor, d.po_qty as po_qty_ordered, d.qty as qty_ordered,
           t.categ_id, t.code as default_code, '[' || coalesce(t.code, '') || '] ' || t.name as product_name, c.name as category_name,
           (select string_agg(s.order_name, ', ' order by s.order_id, s.id) from stg s where s.product_id = d.product_id) as origin
         from dem d join prod p on p.id = d.product_id join tmpl t on t.id = p.tmpl_id left join cat c on c.id = t.categ_id""",
@@ -380,7 +380,7 @@ _QUERIES = {
     "e15_proportional_commission": """
         select id, greatest(qty - cut, 0)::int as product_uom_qty, (commission * greatest(qty - cut, 0) / qty)::decimal(12,2) as commission from can_ln""",
     "e15_split_lines": """
-        select id as request_id, line_id as original_line, order_id, product_id, cancelled_qty as product_uom_qty, 'cancel' as state, 0::decimal(12,2) as commission, user_id as create_uid
+        select id as request_id, line_id as original_line, order_id, product_id, cancelled_qty::int as product_uom_qty, 'cancel' as state, 0::decimal(12,2) as commission, user_id as create_uid
         from cr where cancelled_qty < ordered and here""",
     "e15_split_taxes": "select c.id as request_id, t.tax_id from cr c join sol_tax t on t.order_line_id = c.line_id where c.cancelled_qty < c.ordered and c.here",
     "e15_order_changes": """
@@ -397,9 +397,9 @@ _QUERIES = {
     "e17_invalid_receipts": """
         select id, true as processed, 'invalid order' as remarks from fresh f where not processed and not exists (select 1 from kit k where k.warehouse_id = f.warehouse_id and k.receipt_id = f.receipt_id)""",
     "e18_stock_exceptions": f"""
-        select e.warehouse_id, e.product_id, e.sync_date, e.state, e.initial_qoh, case when m.q is null then e.kitted_qty else e.kitted_qty + m.q end as kitted_qty, case when m.q is null then e.adjusted_qty else 0 end as adjusted_qty
+        select e.warehouse_id, e.product_id, e.sync_date, e.state, e.initial_qoh, case when m.q is null then e.kitted_qty else e.kitted_qty + m.q end::bigint as kitted_qty, case when m.q is null then e.adjusted_qty else 0 end as adjusted_qty
         from exc e left join kq m on m.warehouse_id = e.warehouse_id and m.product_id = e.product_id and e.state = 'new' and e.sync_date = {RUN}
-        union all select m.warehouse_id, m.product_id, {RUN}, 'new', m.qoh, m.q, 0 from kq m where m.q > m.qoh
+        union all select m.warehouse_id, m.product_id, {RUN}, 'new', m.qoh, m.q::bigint, 0 from kq m where m.q > m.qoh
           and not exists (select 1 from exc e where e.warehouse_id = m.warehouse_id and e.product_id = m.product_id and e.state = 'new' and e.sync_date = {RUN})""",
     "e19_consumed_quants": "select delivery_id as demand_id, line as order_line_id, quant_id, q::decimal(18,4) as quant_qty, unit_cost as quant_cost from used",
     "e20_transfer_headers": f"""
@@ -433,7 +433,7 @@ _QUERIES = {
     "e26_line_orders": "select warehouse_id, receipt_id, line as order_line_id, line as sale_order_line_id from bline",
     "e27_invoiced_deliveries": "select f.id, b.number as invoice from fresh f join bhead b on b.warehouse_id = f.warehouse_id and b.receipt_id = f.receipt_id",
     "e28_fifo_allocations": """
-        select product_id, 1 as company_id, taker_id, giver_id, qty::decimal(18,6) as qty, (qty * price_unit)::decimal(18,6) as value from alloc""",
+        select product_id, 1::bigint as company_id, taker_id, giver_id, qty::decimal(18,6) as qty, (qty * price_unit)::decimal(18,6) as value from alloc""",
     "e28_fifo_moves": """
         select id, product_id, is_taker, old_value::decimal(18,6) as old_value, rem::decimal(18,6) as remaining_qty, val::decimal(18,6) as remaining_value, taken::decimal(18,6) as taken_value from fixed""",
     "e29_valuation_corrections": """
@@ -445,12 +445,12 @@ STATEMENTS = {name: statement(text, PARTS) for name, text in _QUERIES.items()}
 
 STREAM_STATEMENTS: dict[str, str] = {
     "s1_event_intake": """
-        with d as (select event_id as id, user_id % 10 as warehouse_id, hour(ts) as receipt_id, case when event_type <> 'error' then user_id end as line_id, event_id % 3 as qty
+        with d as (select event_id as id, user_id % 10 as warehouse_id, hour(ts) as receipt_id, case when event_type <> 'error' then user_id end as line_id, (event_id % 3)::int as qty
           from events where event_id % 7 <> 0)
         select * from d where line_id is null or id in (select min(id) from d group by warehouse_id, receipt_id, line_id, qty)""",
     "s2_cancellations": statement(
         """
-        select id as request_id, line_id as original_line, order_id, cancelled_qty as product_uom_qty, 'cancel' as state
+        select id as request_id, line_id as original_line, order_id, cancelled_qty::int as product_uom_qty, 'cancel' as state
         from cr where cancelled_qty < ordered and here""",
         PARTS,
     ),

@@ -52,10 +52,10 @@ VIEWS = {
     "partner": """
         select c_custkey as id, (c_custkey % 3)::int as agent_type_id, (c_custkey % 17)::int as route_id,
           case when c_custkey % 8 <> 5 then (c_custkey * 7) % 10 end as warehouse_id from customer""",
-    "company": "select r_regionkey + 1 as id, 100 + r_regionkey as currency_id from region",
+    "company": "select r_regionkey + 1 as id, (100 + r_regionkey)::bigint as currency_id from region",
     "account": "select 690 + n_nationkey as id, n_nationkey % 4 + 1 as user_type_id from nation",
     "tax": """
-        select * from (values (1, 'Std', 0.16::decimal(12,6), 'percent', true, 701), (2, 'Low', 0.08::decimal(12,6), 'percent', true, 702),
+        select * from (values (1, 'Std', 0.16::decimal(12,6), 'percent', true, 701::bigint), (2, 'Low', 0.08::decimal(12,6), 'percent', true, 702),
           (3, 'Levy', 5::decimal(12,6), 'fixed', true, 703), (4, 'Old', 0.2::decimal(12,6), 'percent', false, 704))
           v(id, name, rate, kind, active, account_id)""",
     "tmpl_tax": """

@@ -1,4 +1,4 @@
-"""Session settings and the shared folder used for checkpoints and stream ledgers."""
+"""Session settings and the shared folder used for stored stages and stream ledgers."""
 
 from __future__ import annotations
 
@@ -51,6 +51,12 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a stage that feeds several outputs, reliably (survives executor loss)."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store a stage that feeds several outputs as a table in the shared folder and go on from there.
+
+    The lineage ends at files that survive lost executors, readers scan only the columns they need, and join planning
+    knows the real size. The table stays until the folder is cleaned.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
