@@ -22,6 +22,30 @@ def id_block(col: Column | str, bits: int = BLOCK_BITS) -> Column:
     return F.shiftright(F.col(col) if isinstance(col, str) else col, bits)
 
 
+#: Keys with more rows than this are cut into blocks; the others stay whole, in one window group each.
+HOT_ROWS = 1_000_000
+
+
+def split_hot_keys(
+    rows: DataFrame, keys: Sequence[str], levels: Mapping[str, tuple[Column, object]], hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Add level columns ``{name: (value, constant)}``: the value for keys above ``hot_rows`` rows, else the constant.
+
+    Keys that are not hot then form a single block and cost no more than a plain window. At most one key per
+    ``hot_rows`` rows of input is hot, which bounds what is broadcast.
+    """
+    hot = (
+        rows.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("__rows"))
+        .filter(F.col("__rows") > hot_rows)
+        .select(*keys, F.lit(True).alias("__hot"))
+    )
+    flagged = rows.join(F.broadcast(hot), list(keys), "left")
+    return flagged.withColumns(
+        {name: F.when(F.col("__hot"), value).otherwise(F.lit(constant)) for name, (value, constant) in levels.items()}
+    ).drop("__hot")
+
+
 def _merge(how: str, carried: Column, local: Column) -> Column:
     if how == "sum":
         return F.coalesce(carried, F.lit(0)) + F.coalesce(local, F.lit(0))
