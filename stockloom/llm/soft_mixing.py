@@ -33,7 +33,7 @@ PER_DOMAIN, SLOTS, ROUNDS = 500, 2, 2
 #: Steps in a round, rows that must share a column, weight of the squared weights.
 STEPS, SHARED, DECAY = 80, 8, 1e-3
 #: Share of tokens each domain is to have in the registered mix.
-TARGETS = {"en": 0.50, "de": 0.16, "es": 0.14, "fr": 0.16, "rest": 0.04}
+TARGETS = {"en": 0.50, "de": 0.14, "es": 0.10, "fr": 0.14, "rest": 0.12}
 
 
 @dataclass
