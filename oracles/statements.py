@@ -351,8 +351,7 @@ _QUERIES = {
     "e7_requisition_orders": "select id, name, partner_id, company_id, date_order, date_delivery, warehouse_id from req_so",
     "e8_requisition_demand": """
         select d.product_id, d.company_id, d.uom_po_id as purchase_uom_id, d.ofc as warehouse_id, d.factor::decimal(10,6) as purchase_factor, d.po_qty as po_qty_ordered, d.qty as qty_ordered,
-          t.categ_id, t.code as default_code, '[' || coalesce(t.code, '') || '] ' || t.name as product_name, c.name as category_name,
-          (select string_agg(s.order_name, ', ' order by s.order_id, s.id) from stg s where s.product_id = d.product_id) as origin
+          t.categ_id, t.code as default_code, '[' || coalesce(t.code, '') || '] ' || t.name as product_name, c.name as category_name
         from dem d join prod p on p.id = d.product_id join tmpl t on t.id = p.tmpl_id left join cat c on c.id = t.categ_id""",
     "e9_net_purchase_qty": """
         select product_id, company_id, uom_po_id as purchase_uom_id, ofc as warehouse_id, stock_id as location_id, po_qty as po_qty_ordered, onhand as qtyonhand, po_onhand as po_qtyonhand,
@@ -369,10 +368,14 @@ _QUERIES = {
           (case when projected <= min_qty then floor((max_qty - projected) / multiple * factor) else 0 end)::decimal(12,4) as reorder_qty,
           case when gap > 0 then round(gap)::int else 0 end as qty_to_purchase, r.po_qty as product_qty, r.po_onhand as qty_available
         from ropt r join rhead h on h.ofc = r.ofc and h.company_id = r.company_id join prod p on p.id = r.product_id join tmpl t on t.id = p.tmpl_id left join cat c on c.id = t.categ_id""",
+    "e11_requisition_line_orders": """
+        select l.requisition_no, s.product_id, s.order_id, coalesce(max(s.order_name), '') as order_name, count(*) as line_count
+        from (select distinct h.no as requisition_no, r.product_id from ropt r join rhead h on h.ofc = r.ofc and h.company_id = r.company_id) l
+        join stg s on s.product_id = l.product_id group by l.requisition_no, s.product_id, s.order_id""",
     "e12_confirm_and_requisition": """
         select h.no - 99 as requisition_no, r.product_id, r.uom_po_id as product_uom_id, r.company_id, case when gap > 0 then round(gap)::int else 0 end as qty_to_purchase, r.po_qty as product_qty
         from ropt_after r join rhead_after h on h.ofc = r.ofc and h.company_id = r.company_id""",
-    "e13_intake_receipts": "select distinct warehouse_id, receipt_id from dlv where not processed order by warehouse_id, receipt_id limit 500",
+    "e13_intake_receipts": "select distinct warehouse_id, receipt_id from dlv where not processed",
     "e14_duplicate_deliveries": "select id, processed or is_dup as processed, case when is_dup then 'possible duplicate' end as remarks from dup",
     "e15_cancelled_lines": """
         select l.id, case when by_request is not null then 'cancel' else l.state end as state, greatest(l.qty - cut, 0)::int as product_uom_qty,

@@ -14,9 +14,10 @@ def unprocessed() -> Column:
     return F.coalesce(~F.col("processed"), F.lit(False))
 
 
-def intake_receipts(deliveries: DataFrame, limit: int = 500) -> DataFrame:
-    """The next ``limit`` receipts with unprocessed deliveries, in key order."""
-    return deliveries.filter(unprocessed()).select(*RECEIPT).distinct().orderBy(*RECEIPT).limit(limit)
+def intake_receipts(deliveries: DataFrame, limit: int | None = None) -> DataFrame:
+    """Receipts with unprocessed deliveries; with ``limit`` only the first ones in key order."""
+    waiting = deliveries.filter(unprocessed()).select(*RECEIPT).distinct()
+    return waiting if limit is None else waiting.orderBy(*RECEIPT).limit(limit)
 
 
 def of_receipts(rows: DataFrame, receipts: DataFrame) -> DataFrame:

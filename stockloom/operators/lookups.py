@@ -21,19 +21,19 @@ WAREHOUSE_COLUMNS = {"stock": "lot_stock_id", "output": "wh_output_stock_loc_id"
 LOCATION_TYPES = (*USAGE_TYPES, *INVENTORY_NAMES, *WAREHOUSE_COLUMNS)
 
 
-def location_closure(locations: DataFrame, ancestors: DataFrame | None = None, bits: int = 48) -> DataFrame:
+def location_closure(locations: DataFrame, ancestors: DataFrame | None = None) -> DataFrame:
     """All ``(ancestor_id, descendant_id)`` pairs of a nested-set tree, each node included in its own subtree.
 
     The interval of an ancestor is cut into aligned blocks of sizes 1, 16, 256, …; a node lies in exactly one block
     of each size, so containment becomes an equi-join whose output is the closure itself. ``ancestors`` (column
-    ``id``) restricts the left side. ``bits`` bounds the nested-set numbers (at least 0, below ``2 ** bits``).
+    ``id``) restricts the left side. Nested-set numbers may be any integers below ``2 ** 62``.
     """
     tops = locations.select(F.col("id").alias("ancestor_id"), "parent_left", "parent_right")
     if ancestors is not None:
         wanted = ancestors.select(F.col("id").alias("ancestor_id")).filter(F.col("ancestor_id").isNotNull())
         tops = tops.join(wanted, "ancestor_id", "left_semi")
-    cover = tops.select("ancestor_id", F.explode(_cover_blocks(bits)).alias("c"))
-    nodes = locations.select(F.col("id").alias("descendant_id"), "name", "complete_name", F.explode(_held_blocks(bits)).alias("c"))
+    cover = tops.select("ancestor_id", F.explode(_cover_blocks()).alias("c"))
+    nodes = locations.select(F.col("id").alias("descendant_id"), "name", "complete_name", F.explode(_held_blocks()).alias("c"))
     return (
         cover.select("ancestor_id", "c.size", "c.block")
         .join(nodes.select("descendant_id", "name", "complete_name", "c.size", "c.block"), ["size", "block"])
@@ -41,24 +41,28 @@ def location_closure(locations: DataFrame, ancestors: DataFrame | None = None, b
     )
 
 
-def _cover_blocks(bits: int) -> Column:
+#: Binary logarithms of the block sizes; sixteen blocks of the largest one span all 64-bit numbers.
+_SHIFTS = ", ".join(str(shift) for shift in range(0, 64, 4))
+
+
+def _cover_blocks() -> Column:
     """The aligned blocks that together make up ``parent_left .. parent_right``, at most 30 per size.
 
     Per size the blocks ``low .. high - 1`` lie inside the interval; those between the next larger boundaries ``up``
-    and ``down`` are left to the larger size.
+    and ``down`` are left to the larger size. The largest size keeps all its blocks.
     """
-    sizes = ", ".join(str(shift) for shift in range(0, bits, 4))
     return F.expr(
         f"""
         flatten(transform(
           transform(
-            transform(array({sizes}), s -> named_struct('s', s,
-              'low', shiftright(parent_left + shiftleft(1L, s) - 1, s), 'high', shiftright(parent_right + 1, s))),
+            transform(array({_SHIFTS}), s -> named_struct('s', s,
+              'low', shiftright(parent_left, s) + CASE WHEN (parent_left & (shiftleft(1L, s) - 1)) = 0 THEN 0L ELSE 1L END,
+              'high', shiftright(parent_right, s) + CASE WHEN (~parent_right & (shiftleft(1L, s) - 1)) = 0 THEN 1L ELSE 0L END)),
             e -> named_struct('s', e.s, 'low', e.low, 'high', e.high,
               'up', shiftleft(shiftright(e.low + 15, 4), 4), 'down', shiftleft(shiftright(e.high, 4), 4))),
           e -> transform(
             CASE WHEN e.low >= e.high THEN cast(array() as array<bigint>)
-                 WHEN e.up >= e.down THEN sequence(e.low, e.high - 1)
+                 WHEN e.up >= e.down OR e.s = 60 THEN sequence(e.low, e.high - 1)
                  ELSE concat(
                    CASE WHEN e.low < e.up THEN sequence(e.low, e.up - 1) ELSE cast(array() as array<bigint>) END,
                    CASE WHEN e.down < e.high THEN sequence(e.down, e.high - 1) ELSE cast(array() as array<bigint>) END)
@@ -68,10 +72,9 @@ def _cover_blocks(bits: int) -> Column:
     )
 
 
-def _held_blocks(bits: int) -> Column:
+def _held_blocks() -> Column:
     """The block of each size that holds ``parent_left``."""
-    sizes = ", ".join(str(shift) for shift in range(0, bits, 4))
-    return F.expr(f"transform(array({sizes}), s -> named_struct('size', s, 'block', shiftright(parent_left, s)))")
+    return F.expr(f"transform(array({_SHIFTS}), s -> named_struct('size', s, 'block', shiftright(parent_left, s)))")
 
 
 def warehouse_locations(warehouses: DataFrame, locations: DataFrame) -> DataFrame:

@@ -63,18 +63,13 @@ def order_names_by_product(staged_lines: DataFrame) -> DataFrame:
     )
 
 
-def product_origins(staged_lines: DataFrame, limit: int = 9_000_000) -> DataFrame:
+def product_origins(staged_lines: DataFrame) -> DataFrame:
     """``(product_id, origin)``: order names of all lines of a product, by order id, joined with ``, ``.
 
-    ``limit`` is the declared length of the text. Its length per product is known from counts before any text is
-    put together, and a longer one raises, as assigning it would; the long form above has no such bound.
+    One row holds the whole text of a product, so this is a report for products of interest; runs carry the long form
+    above instead.
     """
     names = order_names_by_product(staged_lines.filter(F.col("product_id").isNotNull()))
-    size = F.sum((F.length("order_name") + 2) * F.col("line_count")) - 2
-    too_long = F.raise_error(
-        F.concat(F.lit("origin text too long for product "), F.col("product_id").cast("string"))
-    ).cast("string")
-    overlong = names.groupBy("product_id").agg(size.alias("__size")).filter(F.col("__size") > limit)
     text = F.array_join(
         F.transform(
             F.array_sort(F.collect_list(F.struct("order_id", "order_name", "line_count"))),
@@ -82,12 +77,7 @@ def product_origins(staged_lines: DataFrame, limit: int = 9_000_000) -> DataFram
         ),
         ", ",
     )
-    fitting = names.join(overlong.select("product_id"), "product_id", "left_anti")
-    return (
-        fitting.groupBy("product_id")
-        .agg(text.alias("origin"))
-        .unionByName(overlong.select("product_id", too_long.alias("origin")))
-    )
+    return names.groupBy("product_id").agg(text.alias("origin"))
 
 
 def pending_orders(orders: DataFrame, lines: DataFrame, run_date: date, today: date) -> DataFrame:

@@ -10,7 +10,7 @@ from stockloom.functions.scalars import as_int, as_numeric, bracket_label
 from stockloom.operators.joins import attach
 from stockloom.operators.lookups import agent_warehouse, fulfilment_center, locations_of_type, look_up
 from stockloom.operators.maintenance import first_per_key, number_documents
-from stockloom.operators.orders import not_duplicate, product_origins
+from stockloom.operators.orders import not_duplicate, order_names_by_product
 
 
 def requisition_orders(orders: DataFrame, partners: DataFrame, run_date: date) -> DataFrame:
@@ -53,10 +53,11 @@ def staged_lines(
     return fulfilment_center(rows, warehouses, stocked)
 
 
-def requisition_demand(
-    staged: DataFrame, products: DataFrame, templates: DataFrame, categories: DataFrame, origin_limit: int = 9_000_000
-) -> DataFrame:
-    """Demand per product, company, purchase unit, centre and factor with labels, category and origin text."""
+def requisition_demand(staged: DataFrame, products: DataFrame, templates: DataFrame, categories: DataFrame) -> DataFrame:
+    """Demand per product, company, purchase unit, centre and factor with labels and category.
+
+    The orders a demand stems from are a relation of their own, see :func:`requisition_line_orders`.
+    """
     demand = staged.groupBy("product_id", "company_id", "purchase_uom_id", "ofc_id", "purchase_factor").agg(
         as_numeric(F.sum("purchase_qty"), 12, 4).alias("po_qty_ordered"),
         as_numeric(F.sum("order_qty"), 12, 4).alias("qty_ordered"),
@@ -75,8 +76,7 @@ def requisition_demand(
         .drop("product_tmpl_id")
     )
     rows = attach(demand.withColumnRenamed("ofc_id", "warehouse_id"), labels, {"product_id": "product_id"})
-    rows = look_up(rows, categories, "categ_id", "name", "category_name")
-    return attach(rows, product_origins(staged, origin_limit), {"product_id": "product_id"})
+    return look_up(rows, categories, "categ_id", "name", "category_name")
 
 
 def net_purchase_qty(
@@ -175,7 +175,6 @@ def requisition_lines(requisition: DataFrame, headers: DataFrame) -> DataFrame:
         "product_id",
         F.col("purchase_uom_id").alias("product_uom_id"),
         "company_id",
-        "origin",
         F.col("category_name").alias("category"),
         "pending_out",
         "pending_in",
@@ -186,6 +185,18 @@ def requisition_lines(requisition: DataFrame, headers: DataFrame) -> DataFrame:
     )
 
 
+def requisition_line_orders(lines: DataFrame, staged: DataFrame) -> DataFrame:
+    """``(requisition_no, product_id, order_id, order_name, line_count)``: the origin of each requisition line.
+
+    Like the text it stands for, it names all staged orders of the product. A popular product has many rows here, none
+    of which has to meet the others.
+    """
+    named = lines.select("requisition_no", "product_id").distinct()
+    return order_names_by_product(staged).join(named, "product_id").select(
+        "requisition_no", "product_id", "order_id", "order_name", "line_count"
+    )
+
+
 def requisitioned_changes(staged_orders: DataFrame) -> DataFrame:
     """Change set ``(id, requisitioned)`` of the source orders."""
     return staged_orders.select("id", F.lit(True).alias("requisitioned"))

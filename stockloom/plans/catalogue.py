@@ -450,6 +450,11 @@ def e11_requisition_lines(b: Business) -> DataFrame:
     )
 
 
+@query
+def e11_requisition_line_orders(b: Business) -> DataFrame:
+    return requisition.requisition_line_orders(_requisition(b)[1], confirming.staged(b, CONFIRMED_ON))
+
+
 @query
 def e12_confirm_and_requisition(b: Business) -> DataFrame:
     run = confirming.run_confirmation(b.tables(), RUN_DATE, RUN_DATE, True)

@@ -107,6 +107,7 @@ def run_confirmation(
         headers = requisition.requisition_headers(plan, tables["stock_warehouse"], run_date, on_date=today, **counter)
         out["requisitions"] = headers
         out["requisition_lines"] = requisition.requisition_lines(plan, headers)
+        out["requisition_line_orders"] = requisition.requisition_line_orders(out["requisition_lines"], staged(after, run_date))
         out["requisitioned"] = requisition.requisitioned_changes(
             requisition.requisition_orders(after["sale_order"], tables["res_partner"], run_date)
         )

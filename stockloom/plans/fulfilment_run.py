@@ -76,11 +76,11 @@ def invoice_headers(
 def run_fulfilment(
     tables: Mapping[str, DataFrame],
     today: date,
-    limit: int | None = 500,
+    limit: int | None = None,
     counters: Counters | None = None,
     checkpoint: bool = True,
 ) -> dict[str, DataFrame]:
-    """One run over the queues: cancellations first, then up to ``limit`` receipts (``None``: all).
+    """One run over the queues: cancellations first, then all receipts, or the first ``limit`` of them.
 
     ``checkpoint`` stores the stages that feed several outputs in the shared folder: they are computed once, plans stay
     small, and a lost executor does not repeat the whole run.

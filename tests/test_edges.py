@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import date
 from decimal import Decimal
 
-import pytest
 from pyspark.sql import functions as F
 
 from stockloom.operators import balances, confirmation, intake, kitting, lookups, maintenance, orders, requisition
@@ -69,11 +68,14 @@ def test_nothing_invoiced_counts_as_fully_invoiced(spark):
     assert got == {1: True, 2: False, 3: True, 4: True}
 
 
-def test_origin_text_limit(spark):
+def test_origin_text_has_no_limit(spark):
     staged = spark.createDataFrame([(1, 1, 1, "SO1"), (1, 1, 2, "SO1"), (1, 2, 3, None), (2, 3, 4, "SO3")], "product_id bigint, order_id bigint, id bigint, order_name string")
     assert {r.product_id: r.origin for r in orders.product_origins(staged).collect()} == {1: "SO1, SO1, ", 2: "SO3"}
-    with pytest.raises(Exception, match="too long"):
-        orders.product_origins(staged, limit=5).collect()
+    popular = spark.range(1_000_000).selectExpr("1L product_id", "id order_id", "id", "'SO' || lpad(id, 8, '0') order_name")
+    assert orders.order_names_by_product(popular).count() == 1_000_000
+    lines = spark.createDataFrame([(7, 1)], "requisition_no bigint, product_id bigint")
+    assert requisition.requisition_line_orders(lines, popular).count() == 1_000_000
+    assert orders.product_origins(popular).selectExpr("length(origin) n").first().n == 12 * 1_000_000 - 2
 
 
 def test_layaway_orders(spark):
@@ -128,6 +130,16 @@ def test_duplicates_need_line_and_quantity(spark):
 
 def test_intake_limit(business):
     assert intake.intake_receipts(business["ofs_delivery"], 7).count() == 7
+    waiting = business["ofs_delivery"].filter("not processed").select("warehouse_id", "receipt_id").distinct()
+    assert intake.intake_receipts(business["ofs_delivery"]).count() == waiting.count()
+
+
+def test_closure_of_wide_intervals(spark):
+    spans = {1: (0, 2**48 - 1), 2: (5, 5), 3: (2**47, 2**47 + 9), 4: (1, 2**49), 5: (2**48 + 5, 2**48 + 5), 6: (0, 2**62 - 1), 7: (2**61 + 3, 2**61 + 3)}
+    rows = [(i, str(i), str(i), a, b) for i, (a, b) in spans.items()]
+    df = spark.createDataFrame(rows, "id bigint, name string, complete_name string, parent_left bigint, parent_right bigint")
+    got = {(r.ancestor_id, r.descendant_id) for r in lookups.location_closure(df).collect()}
+    assert got == {(i, j) for i, (a, b) in spans.items() for j, (left, _) in spans.items() if a <= left <= b}
 
 
 def test_unknown_location_type_is_null(spark, business):
