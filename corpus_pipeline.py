@@ -24,19 +24,27 @@ from stockloom.session import materialize
 LEAST_AGREEMENT = 0.5
 
 
+def _aside(docs: DataFrame) -> tuple[DataFrame, list]:
+    """docs with all columns but doc_id and text renamed, so that none clashes with what an operator adds; and the way back."""
+    names = {c: f"column_{i}_" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    return docs.withColumnsRenamed(names), [F.col(names.get(c, c)).alias(c) for c in docs.columns]
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without letters and texts in which no language prevails go."""
     field = fit_field(learnable(docs), docs.where(~held_out()))
-    named = label_documents(docs, field, tuple(docs.columns))
+    renamed, back = _aside(docs)
+    named = label_documents(renamed, field, tuple(renamed.columns))
     known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_AGREEMENT)
-    return named.where(known).select(*docs.columns)
+    return named.where(known).select(*back)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that are likely of the lowest grade go."""
     model = fit_quality(grades_of(spark.read.parquet(f"{sf_dir}/labels.parquet")), docs)
-    scored = score_documents(docs, model, tuple(docs.columns))
-    return scored.where(F.col("tails")[WANTED - 1] >= CUT).select(*docs.columns)
+    renamed, back = _aside(docs)
+    scored = score_documents(renamed, model, tuple(renamed.columns))
+    return scored.where(F.col("tails")[WANTED - 1] >= CUT).select(*back)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +64,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labelled = domain_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"), docs)
     model = fit_domains(labelled, docs, sorted(TARGETS))
     mix = solve(materialize(membership(docs, model)), model, TARGETS, least=1.0)
-    return mixed_documents(docs, mix)
+    renamed, back = _aside(docs)
+    return mixed_documents(renamed, mix).select(*back)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

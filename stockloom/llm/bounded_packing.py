@@ -108,7 +108,7 @@ def pack_documents(
     """One row per piece, as in :data:`PIECE`."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end, packer, part = TextEncoder(vocabulary), np.array([end_id], "<u4").tobytes(), None, 0
+        encoder, end, packer, part = TextEncoder.of(vocabulary), np.array([end_id], "<u4").tobytes(), None, 0
 
         def rows(pieces: list[tuple], is_open: bool) -> pa.RecordBatch:
             columns = list(zip(*pieces, strict=True)) if pieces else [[]] * 7

@@ -84,7 +84,7 @@ class Field:
     def unpacked(cls, labels: list[str], vector: np.ndarray) -> Field:
         k = len(labels)
         w, m = k << BITS, k * k
-        return cls(labels, vector[:w].reshape(-1, k), vector[w : w + m].reshape(k, k), vector[w + m :])
+        return cls(labels, vector[:w].reshape(1 << BITS, k), vector[w : w + m].reshape(k, k), vector[w + m :])
 
     def posteriors(self, scores: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Label posteriors of each word; ``first`` are the places where texts begin."""

@@ -54,7 +54,7 @@ def _pairs(ids: np.ndarray, same: np.ndarray, least: int, most: int) -> np.ndarr
     return found[np.lexsort((found, -n))][:most]
 
 
-def compress(ids: np.ndarray, starts: np.ndarray, terminals: int, least: int = 64, pairs_per_round: int = 1024, rounds: int = 8):
+def compress(ids: np.ndarray, starts: np.ndarray, terminals: int, least: int = 64, pairs_per_round: int = 4096, rounds: int = 3):
     """(rules R x 2, lengths R, symbols, first symbol of each document) for ids whose documents begin at ``starts``."""
     symbols = ids.astype(np.uint32)
     last = np.zeros(len(symbols) + 1, bool)
@@ -172,7 +172,7 @@ def write_token_files(documents: DataFrame, path: str, vocabulary: str, end_id:
     ordered = ordered.select("doc_id", "text", F.spark_partition_id().alias("part"))
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(vocabulary)
+        encoder = TextEncoder.of(vocabulary)
         terminals = max(encoder.tokenizer.get_vocab_size(), end_id + 1)
         end = np.array([end_id], "<u4").tobytes()
         ids, docs, size, number, part = [], [], 0, 0, 0
@@ -213,25 +213,18 @@ def read_token_files(spark, path: str) -> DataFrame:
             for k in range(batch.num_rows):
                 shard = Shard(batch.column("body")[k].as_py())
                 lengths = shard.length_of(shard.symbols)
-                whole = shard.expand(shard.symbols)
+                whole = shard.expand(shard.symbols).astype("<u4", copy=False)
                 ends = np.r_[0, np.cumsum(lengths)][shard.first].astype(np.int64)
-                at = batch.column("before")[k].as_py()
-                crc = [zlib.crc32(whole[a:b].astype("<u4").tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(shard.doc_ids, pa.int64()),
-                        pa.array(at + ends[:-1], pa.int64()),
-                        pa.array(np.diff(ends), pa.int64()),
-                        pa.array(crc, pa.int64()),
-                        pa.array(np.diff(shard.first.astype(np.int64)), pa.int64()),
-                    ],
-                    ["doc_id", "start", "n_tokens", "ids_crc32", "n_symbols"],
-                )
-
-    joined = shards.select("part", "within", "body").join(starts, ["part", "within"])
-    return joined.select("body", "before").mapInArrow(
-        decode, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, n_symbols bigint"
-    )
+                crc = [zlib.crc32(whole[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                arrays = [np.full(len(crc), batch.column(c)[k].as_py(), np.int32) for c in ("part", "within")]
+                arrays += [pa.array(shard.doc_ids, pa.int64()), ends[:-1], np.diff(ends), np.array(crc, np.int64)]
+                arrays.append(np.diff(shard.first.astype(np.int64)))
+                names = ["part", "within", "doc_id", "local", "n_tokens", "ids_crc32", "n_symbols"]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names)
+
+    schema = "part int, within int, doc_id bigint, local bigint, n_tokens bigint, ids_crc32 bigint, n_symbols bigint"
+    decoded = shards.select("part", "within", "body").mapInArrow(decode, schema).join(starts, ["part", "within"])
+    return decoded.select("doc_id", (F.col("before") + F.col("local")).alias("start"), "n_tokens", "ids_crc32", "n_symbols")
 
 
 def op3_token_files(spark, folder: str) -> DataFrame:

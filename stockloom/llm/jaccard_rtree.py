@@ -10,7 +10,7 @@ same kind of groups. If two sets reach the similarity t, they differ in at most
 m = r + 1 + s groups of the hash space at least 1 + s are equal, content and all. Every set emits one key per group (its
 size class, the group's number, a checksum of the group's shingles), and sets that share a key belong to one cluster.
 Empty groups are only emitted by sets with more than s of them, which keeps the argument exact without letting empty
-groups tie unrelated texts together. Sets near a class border emit the keys of both classes.
+groups tie unrelated texts together. Sets that a smaller partner of a lower class could link to emit the keys of that class too.
 
 Within a cluster the R-tree finds the links. Large clusters are cut into blocks, each pair of blocks is one task's work,
 and a task returns a spanning forest of the links it found, never all pairs. Equal sets are one point from the start.
@@ -81,7 +81,9 @@ def cluster_keys(found: np.ndarray, num: int, den: int) -> np.ndarray:
     own = int(np.searchsorted(borders, n, "right")) - 1
     if own < 0:
         return np.zeros(0, U64)
-    classes = [own, own - 1] if own and num * n <= den * (borders[own] - 1) else [own]
+    classes = [own]
+    while classes[-1] and num * n <= den * (borders[classes[-1]] - 1):
+        classes.append(classes[-1] - 1)
     content, high, out = mix(found ^ U64(0x5BF03635F0935AD1)), found >> U64(32), []
     for k in classes:
         groups = differ[k] + 1 + SPARE

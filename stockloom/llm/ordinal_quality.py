@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame, functions as F
 from stockloom.llm.text_batches import sliced
 from stockloom.llm.training import COLUMNS, Adam, SparseRows, average_rounds, labelled_sample, row_products, text_features
 
-#: Graded rows a fit takes of each grade, the groups they are fitted in, and rounds of averaging.
-PER_GRADE, SLOTS, ROUNDS = 1000, 2, 2
+#: Graded rows a fit takes of each grade, the groups they are fitted in, and rounds of averaging. So few rows fit one task.
+PER_GRADE, SLOTS, ROUNDS = 1000, 1, 1
 #: Steps in a round, rows that must share a column, and the weight of the squared weights.
-STEPS, SHARED, DECAY = 150, 8, 1e-3
+STEPS, SHARED, DECAY = 300, 8, 1e-3
 #: The registered selection: at least this probability of a grade above the lowest.
-WANTED, CUT = 1, 0.5
+WANTED, CUT = 1, 0.7
 
 
 def logistic(x: np.ndarray) -> np.ndarray:

@@ -29,9 +29,9 @@ from stockloom.llm.training import COLUMNS, Adam, SparseRows, average_rounds, la
 from stockloom.session import materialize
 
 #: Labelled rows of each domain, groups they are fitted in, rounds of averaging.
-PER_DOMAIN, SLOTS, ROUNDS = 500, 2, 2
+PER_DOMAIN, SLOTS, ROUNDS = 500, 1, 1
 #: Steps in a round, rows that must share a column, weight of the squared weights.
-STEPS, SHARED, DECAY = 80, 8, 1e-3
+STEPS, SHARED, DECAY = 160, 8, 1e-3
 #: Share of tokens each domain is to have in the registered mix.
 TARGETS = {"en": 0.50, "de": 0.14, "es": 0.10, "fr": 0.14, "rest": 0.12}
 

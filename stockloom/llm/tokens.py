@@ -2,56 +2,77 @@
 
 A byte-level BPE vocabulary never merges across the start of a blank-led word, so a text may be cut before every blank
 that follows a non-blank character, and the ids of the parts put together are the ids of the text. Each distinct part is
-encoded once per task and kept (up to ``keep`` parts); this is the same result as encoding the text at once, several times
-faster.
+encoded once and kept for the worker's later tasks, in two generations of ``keep`` parts at most; this is the same result as
+encoding the text at once, several times faster.
 """
 
 from __future__ import annotations
 
 import os
+import sys
+from array import array
 
-import numpy as np
+from tokenizers import Tokenizer
 
 #: The usual byte alphabet of byte-level BPE: printable bytes stand for themselves, the others for characters from 256 on.
+#: White space other than blank and line feed; texts that hold any are cut with more care.
+_RARE_SPACE = [chr(c) for c in (*range(0x09, 0x0A), *range(0x0B, 0x0E), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _ALPHABET = {b: chr(b) for b in _PRINTABLE}
 _ALPHABET |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(_PRINTABLE))}
+_BLANK = _ALPHABET[0x20]
+
+
+def _bytes(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
 
 
 class TextEncoder:
-    """Ids of whole texts as little-endian 32-bit bytes. One per task; the vocabulary file is read once per worker."""
+    """Ids of whole texts as little-endian 32-bit bytes. Use :meth:`of` inside tasks: one per worker and vocabulary."""
 
-    _loaded: dict[str, object] = {}
+    _loaded: dict[str, TextEncoder] = {}
 
     def __init__(self, vocabulary: str, keep: int = 400_000):
-        if vocabulary not in self._loaded:
-            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-            from tokenizers import Tokenizer
-
-            self._loaded[vocabulary] = Tokenizer.from_file(vocabulary)
-        self.tokenizer = self._loaded[vocabulary]
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.tokenizer = Tokenizer.from_file(vocabulary)
         self.model = self.tokenizer.model
-        self.keep, self.parts = keep, {}
+        self.keep, self.parts, self.older = keep, {}, {}
+
+    @classmethod
+    def of(cls, vocabulary: str) -> TextEncoder:
+        if vocabulary not in cls._loaded:
+            cls._loaded[vocabulary] = cls(vocabulary)
+        return cls._loaded[vocabulary]
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _letters(self, word: str) -> bytes:
-        """Ids of a blank followed by letters only: one piece of the pre-tokenizer, so the model alone decides."""
-        mapped = "".join([_ALPHABET[b] for b in (" " + word).encode()])
-        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+    def _letters(self, blank: str, word: str) -> bytes:
+        """Ids of letters only, after a blank or not: one piece of the pre-tokenizer, so the model alone decides."""
+        mapped = blank + (word if word.isascii() else "".join([_ALPHABET[b] for b in word.encode()]))
+        return _bytes([t.id for t in self.model.tokenize(mapped)])
+
+    def _word(self, blank: str, part: str) -> bytes:
+        """Ids of a part without a blank inside; ``blank`` is what the alphabet writes for the one before it, or nothing."""
+        if part.isalpha():
+            return self._letters(blank, part)
+        if part[-1:] in (",", ".") and part[:-1].isalpha():
+            return self._letters(blank, part[:-1]) + self._mark(part[-1])
+        if "\n" in part and "" not in (lines := part.split("\n")):
+            # a line feed between two other characters is a piece of its own
+            first = self._cached(lines[0]) if blank else self._word("", lines[0])
+            return first + b"".join([self._mark("\n") + self._word("", line) for line in lines[1:]])
+        return self._whole((" " if blank else "") + part)
 
     def _part(self, part: str) -> bytes:
         """Ids of a blank and what follows it."""
         if len(self.parts) >= self.keep:
-            self.parts.clear()
-        if part.isalpha():
-            ids = self._letters(part)
-        elif part[-1:] in (",", ".") and part[:-1].isalpha():
-            ids = self._letters(part[:-1]) + self._mark(part[-1])
-        else:
-            ids = self._whole(" " + part)
-        self.parts[part] = ids
+            self.parts, self.older = {}, self.parts
+        ids = self.older.get(part)
+        ids = self.parts[part] = self._word(_BLANK, part) if ids is None else ids
         return ids
 
     def _mark(self, mark: str) -> bytes:
@@ -64,30 +85,28 @@ class TextEncoder:
         if not text:
             return b""
         head, *rest = text.split(" ")
-        if "" in rest or not head or any([p[-1].isspace() for p in rest]) or head[-1].isspace() or "\0" in text:
+        if not head or text[-1] in " \n" or "  " in text or "\n " in text or "\0" in text or any([c in text for c in _RARE_SPACE]):
             return self._careful(head, rest)
-        get, out = self.parts.get, [self._whole(head)]
-        for part in rest:
-            ids = get(part)
-            out.append(self._part(part) if ids is None else ids)
-        return b"".join(out)
+        found = list(map(self.parts.get, rest))
+        if None in found:
+            found = [self._cached(part) if ids is None else ids for part, ids in zip(rest, found, strict=True)]
+        return self._whole(head) + b"".join(found)
 
     def _careful(self, head: str, rest: list[str]) -> bytes:
         """Parts that end in white space belong to the next one."""
         out, open_, first = [], head, True
         for part in rest:
             if open_ and not open_[-1].isspace():
-                out.append(self._whole(open_) if first else self._cached(open_))
+                out.append(self._whole(open_) if first else self._cached(open_[1:]))
                 open_, first = " " + part, False
             else:
                 open_ += " " + part
-        out.append(self._whole(open_) if first else self._cached(open_))
+        out.append(self._whole(open_) if first else self._cached(open_[1:]))
         return b"".join(out)
 
-    def _cached(self, text: str) -> bytes:
-        """text starts with a blank."""
-        part = text[1:]
+    def _cached(self, part: str) -> bytes:
+        """Ids of a blank and the part."""
         if "\0" in part or not part:
-            return self._whole(text)
+            return self._whole(" " + part)
         ids = self.parts.get(part)
         return self._part(part) if ids is None else ids
