@@ -4,24 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from stockloom.operators.cancellation import Cancellation, apply_cancellations
 from stockloom.streaming.ledger import Ledger
 
+#: Columns of an order line that a cancellation changes.
+CHANGED = ("product_uom_qty", "commission", "state", "write_uid")
 State = Callable[[int], tuple[DataFrame, DataFrame, DataFrame]]
 
 
+class LineState:
+    """Order lines as they stand before a batch: the table they started from and the changes of all earlier batches.
+
+    Only changed lines are stored, one folder per batch, so a replayed batch replaces its own changes.
+    """
+
+    def __init__(self, folder: str, lines: DataFrame) -> None:
+        self.lines = lines if "write_uid" in lines.columns else lines.withColumn("write_uid", F.lit(None).cast("bigint"))
+        kept = [f for f in self.lines.schema if f.name in ("id", *CHANGED)]
+        self.changes = Ledger(folder, StructType(kept))
+
+    def before(self, batch_id: int) -> DataFrame:
+        spark = self.lines.sparkSession
+        earlier = self.changes.rows(spark).filter(F.col("batch") < batch_id)
+        latest = earlier.groupBy("id").agg(F.max_by(F.struct(*CHANGED), "batch").alias("__new"))
+        joined = self.lines.join(latest, "id", "left")
+        now = {c: F.when(F.col("__new").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(c)) for c in CHANGED}
+        return joined.withColumns(now).select(*self.lines.columns)
+
+    def store(self, updated: DataFrame, batch_id: int) -> None:
+        old = self.before(batch_id).select("id", F.struct(*CHANGED).alias("__old"))
+        changed = updated.select("id", *[F.col(c).cast(self.lines.schema[c].dataType).alias(c) for c in CHANGED]).join(old, "id")
+        changed = changed.filter(~F.struct(*CHANGED).eqNullSafe(F.col("__old"))).select("id", *CHANGED)
+        self.changes.write(changed, batch_id)
+
+
 def start_cancellations(
     requests: DataFrame,
     ledger: Ledger,
     checkpoint: str,
     state: State,
     sink: Callable[[Cancellation, int], None],
-    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Start the stream over ``requests``.
+    """Start the stream over ``requests``, a queue that carries its own ids.
 
     ``state`` returns the order lines, orders and line taxes as they stand before a batch; ``sink`` stores what the
     batch changed. Both take the batch id, so a replayed batch starts from the same state and replaces its own output.
@@ -30,9 +58,8 @@ def start_cancellations(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = prepare(batch) if prepare else batch
         done = ledger.before(spark, batch_id).select("id")
-        fresh = rows.dropDuplicates(["id"]).join(done, "id", "left_anti")
+        fresh = batch.dropDuplicates(["id"]).join(done, "id", "left_anti")
         ledger.write(fresh, batch_id)
         stored = ledger.rows(spark)
         lines, orders, taxes = state(batch_id)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stockloom.operators.intake import DELIVERY_KEY
 from stockloom.plans.catalogue import Query
 from stockloom.session import new_folder
 from stockloom.sources.schemas import schema
 from stockloom.sources.star_schema import STAR_SCHEMA, Business
 from stockloom.sources.tables import conform
-from stockloom.streaming.cancel_stream import start_cancellations
+from stockloom.streaming.cancel_stream import LineState, start_cancellations
 from stockloom.streaming.intake_stream import start_intake
 from stockloom.streaming.ledger import Ledger
 
@@ -21,7 +22,7 @@ def _run(query) -> None:
 
 
 def s1_event_intake(spark: SparkSession, folder: str) -> DataFrame:
-    """Events taken in like deliveries: the first per user, hour and quantity wins."""
+    """Events taken in like deliveries: the smallest id per user, hour and quantity wins."""
     source = spark.readStream.schema(STAR_SCHEMA["events"]).option("maxFilesPerTrigger", 1).parquet(f"{folder}/events.parquet*")
     ledger = Ledger(new_folder(spark, "intake"), schema("ofs_delivery"))
 
@@ -39,27 +40,30 @@ def s1_event_intake(spark: SparkSession, folder: str) -> DataFrame:
         )
 
     _run(start_intake(source, ledger, new_folder(spark, "intake-checkpoint"), prepare=prepare))
-    return ledger.rows(spark).select("id", "warehouse_id", "receipt_id", "line_id", "qty")
+    return ledger.current(spark, DELIVERY_KEY).select("id", "warehouse_id", "receipt_id", "line_id", "qty")
 
 
 def s2_cancellations(spark: SparkSession, folder: str) -> DataFrame:
-    """Cancellation requests streamed from the order lines; the changed lines are stored per batch."""
-    source = spark.readStream.schema(STAR_SCHEMA["lineitem"]).option("maxFilesPerTrigger", 1).parquet(f"{folder}/lineitem.parquet*")
+    """Cancellation requests as a stream; the split lines are stored per batch and line changes move on to the next.
+
+    Order lines are numbered over the whole table, which no micro-batch can do, so the queue of requests is written
+    with its ids first and then streamed.
+    """
     business = Business(spark, folder)
+    queue, out = new_folder(spark, "request-queue"), new_folder(spark, "cancelled")
+    business["ofs_cancel_order"].write.parquet(queue)
+    source = spark.readStream.schema(schema("ofs_cancel_order")).option("maxFilesPerTrigger", 4).parquet(queue)
     ledger = Ledger(new_folder(spark, "requests"), schema("ofs_cancel_order"))
-    out = new_folder(spark, "cancelled")
-
-    def prepare(batch: DataFrame) -> DataFrame:
-        keyed = business.number_lines(batch)
-        return business.cancel_requests_of(keyed)
+    lines = LineState(new_folder(spark, "line-changes"), business["sale_order_line"])
 
     def state(batch_id: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return business["sale_order_line"], business["sale_order"], business["sale_order_tax"]
+        return lines.before(batch_id), business["sale_order"], business["sale_order_tax"]
 
     def sink(result, batch_id: int) -> None:
+        lines.store(result.lines, batch_id)
         result.split_lines.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    _run(start_cancellations(source, ledger, new_folder(spark, "requests-checkpoint"), state, sink, prepare))
+    _run(start_cancellations(source, ledger, new_folder(spark, "requests-checkpoint"), state, sink))
     return spark.read.parquet(out).select("request_id", "original_line", "order_id", "product_uom_qty", "state")
 
 

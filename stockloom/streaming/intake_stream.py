@@ -1,10 +1,14 @@
-"""Delivery intake as a stream: the first delivery per warehouse, receipt, line and quantity wins."""
+"""Delivery intake as a stream: the smallest id per warehouse, receipt, line and quantity wins.
+
+Files arrive in any order, so a copy with a smaller id may come after the one that was accepted. It is then accepted too
+and takes the other's place; :meth:`Ledger.current` names the rows in force, which do not depend on how the input was cut.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stockloom.operators.intake import DELIVERY_KEY, RECEIPT, live_documents, mark_duplicate_deliveries, unprocessed
@@ -12,13 +16,13 @@ from stockloom.streaming.ledger import Ledger
 
 
 def accept_deliveries(batch: DataFrame, accepted: DataFrame, documents: DataFrame | None = None) -> DataFrame:
-    """Rows of a micro-batch to process: no copies inside it, none of earlier batches, no finished receipts.
+    """Rows of a micro-batch to process: no copies inside it, none of an earlier smaller id, no finished receipts.
 
     Rows without a line or quantity are never copies.
     """
     kept = mark_duplicate_deliveries(batch).filter(unprocessed())
-    complete = accepted.dropna(subset=DELIVERY_KEY).select(*DELIVERY_KEY)
-    fresh = kept.join(complete, DELIVERY_KEY, "left_anti")
+    least = accepted.dropna(subset=DELIVERY_KEY).groupBy(*DELIVERY_KEY).agg(F.min("id").alias("__least"))
+    fresh = kept.join(least, DELIVERY_KEY, "left").filter("__least is null or id < __least").select(*kept.columns)
     if documents is not None:
         fresh = fresh.join(live_documents(documents), RECEIPT, "left_anti")
     return fresh

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -16,10 +17,19 @@ class Ledger:
     def rows(self, spark: SparkSession) -> DataFrame:
         """All rows written so far, with their ``batch``."""
         shape = StructType([*self.schema.fields, StructField("batch", LongType())])
-        try:
-            return spark.read.schema(shape).parquet(self.folder)
-        except AnalysisException:  # nothing written yet
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
             return spark.createDataFrame([], shape)
+        return spark.read.schema(shape).parquet(self.folder)
+
+    def current(self, spark: SparkSession, key: Sequence[str]) -> DataFrame:
+        """The rows in force: of the rows with one complete key the smallest id, and all rows whose key has a NULL."""
+        rows = self.rows(spark).drop("batch")
+        least = rows.dropna(subset=list(key)).groupBy(*key).agg(F.min("id").alias("id")).select("id")
+        whole = F.lit(True)
+        for name in key:
+            whole = whole & F.col(name).isNotNull()
+        return rows.filter(whole).join(least, "id", "left_semi").unionByName(rows.filter(~whole))
 
     def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """Rows of earlier batches; a replay does not see its own first attempt."""
