@@ -303,6 +303,9 @@ _QUERIES = {
     "d6_available_by_warehouse": """
         select r.warehouse_id, r.product_id, w.name as warehouse_name, coalesce(a.qty, 0)::decimal(12,2) as available_qoh
         from wh_prod r join wh w on w.id = r.warehouse_id left join avail a on a.warehouse_id = r.warehouse_id and a.product_id = r.product_id""",
+    "d6_available_for_product": """
+        select w.id as warehouse_id, 7::bigint as product_id, w.name as warehouse_name, coalesce(a.qty, 0)::decimal(12,2) as available_qoh
+        from wh w left join avail a on a.warehouse_id = w.id and a.product_id = 7""",
     "d7_expected_qoh": """
         select q.*, coalesce(a.qty, 0)::decimal(12,2) as expected_qoh from (
           select r.partner_id, r.product_id, r.warehouse_id, case when w.parent_id is null or h.product_id is not null then r.warehouse_id else w.parent_id end as ofc_id

@@ -13,7 +13,7 @@ from stockloom.operators.intake import RECEIPT, unprocessed
 from stockloom.operators.joins import attach
 from stockloom.operators.lookups import locations_of_type, match_picking_type, usage_location
 from stockloom.operators.maintenance import accumulate, number_documents
-from stockloom.operators.ordered import BLOCK_BITS, HOT_ROWS, id_block, running, split_hot_keys
+from stockloom.operators.ordered import id_block, in_pieces, running
 from stockloom.session import materialize
 
 INVALID_REMARK = "invalid order"
@@ -124,7 +124,7 @@ def upsert_stock_exceptions(exceptions: DataFrame, kit_lines: DataFrame, today:
 
 
 def consume_quants(
-    demand: DataFrame, quants: DataFrame, stock_locations: DataFrame, block_bits: int = BLOCK_BITS, hot_rows: int = HOT_ROWS
+    demand: DataFrame, quants: DataFrame, stock_locations: DataFrame, pieces: int | None = None
 ) -> DataFrame:
     """Lots consumed first-in-first-out by ``demand`` (``id, order_line_id, warehouse_id, product_id, qty``).
 
@@ -135,9 +135,8 @@ def consume_quants(
     wanted = demand.filter(F.col("qty") > 0).select(
         *keys, "id", "order_line_id", F.col("qty").cast("decimal(18,4)").alias("need")
     )
-    block = (id_block("id", block_bits), 0)
-    wanted = split_hot_keys(materialize(wanted), keys, {"block": block}, hot_rows)
-    wanted = materialize(running(wanted, {"lo": F.col("need")}, "sum", keys, ["block"], ["id"]))
+    wanted = in_pieces(wanted, keys, ["id"], pieces)
+    wanted = materialize(running(wanted, {"lo": F.col("need")}, "sum", keys, ["piece"], ["id"]))
     held = (
         quants.filter(F.col("quantity") > 0)
         .withColumn("in_date", F.coalesce("in_date", F.lit(UNDATED)))
@@ -145,14 +144,14 @@ def consume_quants(
         .join(wanted.select(*keys), keys, "left_semi")
         .select(*keys, "id", "unit_cost", "in_date", F.col("quantity").cast("decimal(18,4)").alias("have"))
     )
-    held = split_hot_keys(materialize(held), keys, {"day": (F.col("in_date"), UNDATED), "block": block}, hot_rows)
-    held = materialize(running(held, {"lo": F.col("have")}, "sum", keys, ["day", "block"], ["in_date", "id"]))
+    held = in_pieces(held, keys, ["in_date", "id"], pieces)
+    held = materialize(running(held, {"lo": F.col("have")}, "sum", keys, ["piece"], ["in_date", "id"]))
     taken = match_intervals(
         wanted.select(
-            *keys, F.struct("id", "order_line_id").alias("id"), F.struct("block").alias("chunk"), "lo", (F.col("lo") + F.col("need")).alias("hi")
+            *keys, F.struct("id", "order_line_id").alias("id"), F.col("piece").alias("chunk"), "lo", (F.col("lo") + F.col("need")).alias("hi")
         ),
         held.select(
-            *keys, F.struct("id", "unit_cost").alias("id"), F.struct("day", "block").alias("chunk"), "lo", (F.col("lo") + F.col("have")).alias("hi")
+            *keys, F.struct("id", "unit_cost").alias("id"), F.col("piece").alias("chunk"), "lo", (F.col("lo") + F.col("have")).alias("hi")
         ),
         keys,
     ).select(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stockloom.functions.scalars import expand_prefix
 from stockloom.operators.joins import attach
-from stockloom.operators.ordered import id_block, running
+from stockloom.operators.ordered import in_pieces, running
 
 
 def ensure_columns(df: DataFrame, columns: Mapping[str, tuple[str, object]]) -> DataFrame:
@@ -95,18 +95,16 @@ def number_documents(
     prefix: str | None,
     on_date: date,
     levels: Sequence[str] = (),
-    block_bits: int = 18,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Give documents gap-free numbers in ``order_by`` order: ``start + k * increment`` and a prefixed name.
 
-    Without explicit ``levels`` the last column of ``order_by`` must be a non-NULL integer; the columns before it and
-    its id block serve as levels.
+    Without explicit ``levels`` the documents are stored in pieces of the order, so the only rows that meet in one task
+    are one per piece.
     """
     added = []
     if not levels:
-        block = f"__block_{order_by[-1]}"
-        documents = documents.withColumn(block, id_block(order_by[-1], block_bits))
-        levels, added = [*order_by[:-1], block], [block]
+        documents, levels, added = in_pieces(documents, [], order_by, pieces), ["piece"], ["piece"]
     rank = running(documents, {"__rank": F.lit(1).cast("bigint")}, "sum", [], levels, order_by)
     number = F.lit(start).cast("bigint") + F.col("__rank") * F.lit(increment)
     name = F.concat(expand_prefix(F.lit(prefix).cast("string"), F.lit(on_date)), number.cast("string"))

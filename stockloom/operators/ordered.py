@@ -1,7 +1,7 @@
 """Running aggregates that do not need one task per key.
 
 A plain window over ``partitionBy(key)`` sorts all rows of a key in one task. Here the order is cut into nested levels
-(for instance day, then block of ids): totals per level are pre-aggregated before they are shuffled, the running value
+(pieces of equal row counts, or columns of the data): totals per level are pre-aggregated before they are shuffled, the running value
 is carried through the small tables of totals, and only rows of one finest block meet in one window group.
 """
 
@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from stockloom.session import materialize
+
 _FOLDS = {"sum": F.sum, "min": F.min, "max": F.max}
 
 #: A block holds at most ``2 ** BLOCK_BITS`` distinct ids.
@@ -22,28 +24,17 @@ def id_block(col: Column | str, bits: int = BLOCK_BITS) -> Column:
     return F.shiftright(F.col(col) if isinstance(col, str) else col, bits)
 
 
-#: Keys with more rows than this are cut into blocks; the others stay whole, in one window group each.
-HOT_ROWS = 1_000_000
-
+def in_pieces(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str], pieces: int | None = None) -> DataFrame:
+    """Store ``rows`` with ``piece``: consecutive ranges of the order (keys, then ``order_by``) of about equal row counts.
 
-def split_hot_keys(
-    rows: DataFrame, keys: Sequence[str], levels: Mapping[str, tuple[Column, object]], hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Add level columns ``{name: (value, constant)}``: the value for keys above ``hot_rows`` rows, else the constant.
-
-    Keys that are not hot then form a single block and cost no more than a plain window. At most one key per
-    ``hot_rows`` rows of input is hot, which bounds what is broadcast.
+    The ranges come from a sample of the rows themselves, so a key with very many rows spans as many pieces as its rows
+    need and rare keys share one. ``piece`` grows with the order inside a key and is a valid level. It is stored, as a
+    second execution may draw other ranges. ``pieces`` is only for tests; by default the session's shuffle settings and
+    adaptive execution decide.
     """
-    hot = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .filter(F.col("__rows") > hot_rows)
-        .select(*keys, F.lit(True).alias("__hot"))
-    )
-    flagged = rows.join(F.broadcast(hot), list(keys), "left")
-    return flagged.withColumns(
-        {name: F.when(F.col("__hot"), value).otherwise(F.lit(constant)) for name, (value, constant) in levels.items()}
-    ).drop("__hot")
+    order = [*keys, *order_by]
+    dealt = rows.repartitionByRange(pieces, *order) if pieces else rows.repartitionByRange(*order)
+    return materialize(dealt.withColumn("piece", F.spark_partition_id()))
 
 
 def _merge(how: str, carried: Column, local: Column) -> Column:

@@ -3,19 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
 from stockloom.functions.scalars import round2
 from stockloom.operators.allocation import match_intervals
 from stockloom.operators.joins import attach
-from stockloom.operators.ordered import BLOCK_BITS, HOT_ROWS, id_block, running_balance, split_hot_keys
+from stockloom.operators.ordered import in_pieces, running_balance
 from stockloom.session import materialize
 
 KEYS = ["product_id", "company_id"]
 QTY = "decimal(18,6)"
-FIRST_DAY = date(1970, 1, 1)
 
 
 @dataclass(frozen=True)
@@ -26,7 +24,7 @@ class FifoRepair:
     moves: DataFrame
 
 
-def _backlog(moves: DataFrame, block_bits: int, hot_rows: int) -> DataFrame:
+def _backlog(moves: DataFrame, pieces: int | None) -> DataFrame:
     """Takers and givers with unserved demand before each of them, in date and id order.
 
     With ``N`` the running sum of demand less supply, the backlog is ``N - min(0, lowest N so far)``; a giver serves
@@ -47,26 +45,24 @@ def _backlog(moves: DataFrame, block_bits: int, hot_rows: int) -> DataFrame:
     )
     demand = F.when(F.col("is_taker"), F.col("amount")).otherwise(F.lit(0).cast(QTY))
     change = F.when(F.col("is_taker"), F.col("amount")).otherwise(-F.col("amount"))
-    levels = {"day": (F.col("date"), FIRST_DAY), "block": (id_block("id", block_bits), 0)}
-    # Three passes follow (row counts, block totals, rows); they read these few columns, not the moves.
-    rows = split_hot_keys(materialize(rows.dropna(subset=[*KEYS, "date"])), KEYS, levels, hot_rows)
-    rows = running_balance(rows, change, KEYS, [*levels], ["date", "id"], {"asked": demand})
+    # Two passes follow (piece totals, rows); they read these few columns, not the moves.
+    rows = in_pieces(rows.dropna(subset=[*KEYS, "date"]), KEYS, ["date", "id"], pieces)
+    rows = running_balance(rows, change, KEYS, ["piece"], ["date", "id"], {"asked": demand})
     backlog = F.col("net") - F.least(F.lit(0).cast("decimal(38,6)"), F.col("low"))
     return rows.withColumn("backlog", backlog.cast("decimal(38,6)")).withColumn(
         "used", F.when(F.col("is_taker"), F.lit(0)).otherwise(F.least("amount", "backlog")).cast("decimal(38,6)")
     )
 
 
-def fifo_allocations(moves: DataFrame, block_bits: int = BLOCK_BITS, hot_rows: int = HOT_ROWS) -> DataFrame:
+def fifo_allocations(moves: DataFrame, pieces: int | None = None) -> DataFrame:
     """``(product_id, company_id, taker_id, giver_id, qty, value)``.
 
     ``moves`` carry ``id, product_id, company_id, date, remaining_qty, remaining_value, price_unit, is_in, is_out``.
     Every in- or out-move below zero takes from later in-moves that still hold quantity, both in date and id order.
-    The placed takers and givers are stored once, as the matching reads them several times. Products with more than
-    ``hot_rows`` such moves are worked on in blocks of days and ids.
+    The placed takers and givers are stored once, as the matching reads them several times.
     """
-    rows = materialize(_backlog(moves, block_bits, hot_rows))
-    chunk = F.struct("day", "block").alias("chunk")
+    rows = materialize(_backlog(moves, pieces))
+    chunk = F.col("piece").alias("chunk")
     takers = rows.filter("is_taker").select(
         *KEYS, "id", chunk, F.col("asked").alias("lo"), (F.col("asked") + F.col("amount")).alias("hi")
     )
@@ -84,13 +80,13 @@ def fifo_allocations(moves: DataFrame, block_bits: int = BLOCK_BITS, hot_rows: i
     )
 
 
-def fifo_vacuum(moves: DataFrame, block_bits: int = BLOCK_BITS, hot_rows: int = HOT_ROWS) -> FifoRepair:
+def fifo_vacuum(moves: DataFrame, pieces: int | None = None) -> FifoRepair:
     """Allocations and the moves they change: remaining quantity, remaining value and value taken.
 
     A taker served in full keeps no value, one served in part adds the value it took; a giver loses quantity and its
     own price times that quantity. A taker nobody serves stays as it is.
     """
-    allocations = fifo_allocations(moves, block_bits, hot_rows)
+    allocations = fifo_allocations(moves, pieces)
     taken = allocations.groupBy(F.col("taker_id").alias("id")).agg(F.sum("qty").alias("qty"), F.sum("value").alias("value"))
     given = allocations.groupBy(F.col("giver_id").alias("id")).agg(F.sum("qty").alias("qty"), F.sum("value").alias("value"))
     sums = taken.withColumn("is_taker", F.lit(True)).unionByName(given.withColumn("is_taker", F.lit(False)))

@@ -288,6 +288,11 @@ def d6_available_by_warehouse(b: Business) -> DataFrame:
     return balances.available_for_pairs(b["warehouse_product_rel"], d5_available_qoh(b), b["stock_warehouse"])
 
 
+@query
+def d6_available_for_product(b: Business) -> DataFrame:
+    return balances.available_by_warehouse([7], d5_available_qoh(b), b["stock_warehouse"])
+
+
 @query
 def d7_expected_qoh(b: Business) -> DataFrame:
     lines = b["sale_order_line"].select("order_id", "product_id")

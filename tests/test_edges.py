@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from stockloom.operators import balances, confirmation, intake, kitting, lookups, maintenance, orders, requisition

@@ -60,7 +60,7 @@ def loop(moves):
 def test_fifo_vacuum(spark, seed):
     moves = random_moves(random.Random(seed), 40)
     pairs, rows, taken = loop(moves)
-    repair = fifo_vacuum(spark.createDataFrame(moves, MOVES), block_bits=8, hot_rows=20)
+    repair = fifo_vacuum(spark.createDataFrame(moves, MOVES), pieces=9)
     assert {(r.taker_id, r.giver_id): r.qty for r in repair.allocations.collect()} == pairs
     changed = {r.id: r for r in repair.moves.collect()}
     for m in moves:
@@ -106,7 +106,6 @@ def test_consume_quants(spark, seed):
         spark.createDataFrame(demand, "id bigint, order_line_id bigint, warehouse_id bigint, product_id bigint, qty int"),
         spark.createDataFrame(quants, "id bigint, product_id bigint, location_id bigint, quantity decimal(12,2), unit_cost decimal(12,4), in_date date"),
         spark.createDataFrame([(0, 100), (1, 101)], "warehouse_id bigint, location_id bigint"),
-        block_bits=6,
-        hot_rows=12,
+        pieces=7,
     )
     assert {(r.demand_id, r.order_line_id, r.quant_id): (r.quant_qty, r.quant_cost) for r in got.collect()} == expected

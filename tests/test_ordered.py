@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockloom.operators.maintenance import number_documents
-from stockloom.operators.ordered import id_block, running, running_balance
+from stockloom.operators.ordered import id_block, in_pieces, running, running_balance
 
 
 def sample(spark, seed, rows=300):
@@ -51,6 +51,17 @@ def test_running_balance(spark, seed):
 
 def test_numbers_are_dense_and_ordered(spark):
     data, df = sample(spark, 7)
-    out = number_documents(df.select("d", "id"), ["d", "id"], 10, 5, "N", date(2020, 1, 1), block_bits=8)
+    out = number_documents(df.select("d", "id"), ["d", "id"], 10, 5, "N", date(2020, 1, 1), pieces=6)
     got = [(r.document_no, r.document_name) for r in out.orderBy("d", "id").collect()]
     assert got == [(10 + 5 * n, f"N{10 + 5 * n}") for n in range(len(data))]
+
+
+def test_pieces_follow_row_counts(spark):
+    """Sparse ids, one key with half of the rows: no window group is much larger than its share."""
+    rows = spark.range(60_000).selectExpr("if(id % 2 = 0, 0, id) k", "id * 1000003 id", "date'2020-01-01' + int(id % 5) d")
+    pieces = in_pieces(rows, ["k"], ["d", "id"], 30)
+    groups = pieces.groupBy("k", "piece").count()
+    assert groups.agg(F.max("count")).first()[0] < 6_000
+    assert pieces.groupBy("piece").count().agg(F.max("count")).first()[0] < 6_000
+    out = running(pieces, {"n": F.lit(1)}, "sum", ["k"], ["piece"], ["d", "id"])
+    assert out.filter("k = 0").agg(F.max("n"), F.countDistinct("n")).first()[:] == (29_999, 30_000)
