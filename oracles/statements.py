@@ -151,7 +151,8 @@ PARTS = {
         select warehouse_id, receipt_id, arg_min(order_id, id) as order_id, min_by({'u': user_id, 'd': coalesce(date_delivery, date), 'r': receipt_ref}, id) as x from fresh group by all""",
     "bill": """
         select m.warehouse_id, m.receipt_id, m.line, l.order_id, m.product_id, l.name, l.uom_id, l.price_unit::decimal(10,2) as price_unit, sum(m.qty)::int as quantity, m.product_id + 7 as tmpl_id
-        from tmove m join rord r on r.warehouse_id = m.warehouse_id and r.receipt_id = m.receipt_id join sol l on l.id = m.line and l.order_id = r.order_id where m.leg = 1 group by all having sum(m.qty) <> 0""",
+        from tmove m join rord r on r.warehouse_id = m.warehouse_id and r.receipt_id = m.receipt_id join sol l on l.id = m.line and l.order_id = r.order_id where m.leg = 1
+          and not exists (select 1 from idoc i where i.warehouse_id = m.warehouse_id and i.receipt_id = m.receipt_id and i.state <> 'cancel') group by all having sum(m.qty) <> 0""",
     "trate": "select z.tmpl_id, sum(y.rate) as total_rate from tmpl_tax z join tax y on y.id = z.tax_id and y.active group by all",
     "btax": """
         select b.warehouse_id, b.receipt_id, b.line, b.product_id, b.order_id, x.tax_id, t.name as tax_name, t.account_id, r.total_rate,
@@ -222,7 +223,7 @@ _TABLE_VIEWS = {
     "stock_warehouse_orderpoint": "opoint", "stock_exceptions": "exc", "product_product": "prod", "product_template": "tmpl", "product_category": "cat",
     "sale_order": "so", "sale_order_line": "sol", "sale_order_tax": "sol_tax", "res_partner": "partner", "res_company": "company",
     "account_voucher": "voucher", "account_invoice_line": "inv_ln", "account_tax": "tax", "product_taxes_rel": "tmpl_tax", "account_account": "account",
-    "account_journal": "region", "ir_property": "prop", "ofs_delivery": "dlv", "ofs_cancel_order": "creq", "receipt_document": "doc", "wkf_instance": "wkf",
+    "account_journal": "region", "ir_property": "prop", "ofs_delivery": "dlv", "ofs_cancel_order": "creq", "receipt_document": "doc", "receipt_invoice": "idoc", "wkf_instance": "wkf",
 }
 
 _QUERIES = {
@@ -421,6 +422,9 @@ _QUERIES = {
         from fresh f join thead a on a.warehouse_id = f.warehouse_id and a.receipt_id = f.receipt_id and a.leg = 1
         left join thead t on t.warehouse_id = f.warehouse_id and t.receipt_id = f.receipt_id and t.leg = 2
         join thead c on c.warehouse_id = f.warehouse_id and c.receipt_id = f.receipt_id and c.leg = 3 where not f.processed""",
+    "e16_invoiced_receipts": """
+        select r.warehouse_id, r.receipt_id, r.order_id from rord r
+        where exists (select 1 from idoc i where i.warehouse_id = r.warehouse_id and i.receipt_id = r.receipt_id and i.state <> 'cancel')""",
     "e22_invoice_lines": """
         select warehouse_id, receipt_id, line as order_line_id, order_id, product_id, name as product_name, uom_id as product_uom, price_unit, quantity, tax_sum as tax, gross,
           (gross - tax_sum)::decimal(10,2) as price_subtotal, 0::decimal(10,2) as commission from bline""",

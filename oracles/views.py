@@ -126,6 +126,9 @@ VIEWS = {
     "doc": """
         select distinct l_suppkey as warehouse_id, l_orderkey as receipt_id, case when l_orderkey % 46 = 0 then 'cancel' else 'done' end as state
         from lineitem where l_returnflag = 'N' and l_orderkey % 23 = 0""",
+    "idoc": """
+        select distinct l_suppkey as warehouse_id, l_orderkey as receipt_id, case when l_orderkey % 62 = 0 then 'cancel' else 'open' end as state
+        from lineitem where l_returnflag = 'N' and l_orderkey % 31 = 0""",
 }
 
 

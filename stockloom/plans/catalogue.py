@@ -517,6 +517,12 @@ def e16_repeated_receipts(b: Business) -> DataFrame:
     return intake.repeated_changes(b["ofs_delivery"], repeated)
 
 
+@query
+def e16_invoiced_receipts(b: Business) -> DataFrame:
+    receipts = invoicing.receipt_orders(fulfilling.fresh_deliveries(b))
+    return intake.split_already_processed(receipts, b["receipt_invoice"])[1].select(*intake.RECEIPT, "order_id")
+
+
 # -- kitting ----------------------------------------------------------------------------------------------------------
 
 

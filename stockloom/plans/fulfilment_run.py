@@ -58,7 +58,7 @@ def transfer_moves(tables: Mapping[str, DataFrame], lines: DataFrame, costs: Dat
 
 
 def delivered_lines(tables: Mapping[str, DataFrame], receipts: DataFrame, moves: DataFrame) -> DataFrame:
-    names = ("sale_order_line", "product_product", "product_template", "receipt_document")
+    names = ("sale_order_line", "product_product", "product_template", "receipt_invoice")
     return invoicing.delivered_lines(receipts, moves, *[tables[n] for n in names])
 
 

@@ -56,6 +56,7 @@ _DDL = {
     "ofs_cancel_order": "id bigint, order_id bigint, ofc_id bigint, user_id bigint, line_id bigint, cancelled_qty int, "
     "processed boolean",
     "receipt_document": "warehouse_id bigint, receipt_id bigint, state string",
+    "receipt_invoice": "warehouse_id bigint, receipt_id bigint, state string",
     "wkf_instance": "id bigint, res_id bigint, res_type string, state string",
 }
 

@@ -579,8 +579,17 @@ class Business:
 
     @cached_property
     def receipt_document(self) -> DataFrame:
-        """Documents that exist already: pickings or invoices of some receipts."""
+        """Pickings that exist already for some receipts."""
+        return self._documents("receipt_document", 23, "done")
+
+    @cached_property
+    def receipt_invoice(self) -> DataFrame:
+        """Invoices that exist already for some receipts."""
+        return self._documents("receipt_invoice", 31, "open")
+
+    def _documents(self, table: str, every: int, state: str) -> DataFrame:
+        """Documents of every so-manieth order's receipts, every second of them cancelled."""
         order = F.col("l_orderkey")
-        rows = self.raw("lineitem").filter((F.col("l_returnflag") == "N") & (order % 23 == 0))
+        rows = self.raw("lineitem").filter((F.col("l_returnflag") == "N") & (order % every == 0))
         keys = rows.select(F.col("l_suppkey").alias("warehouse_id"), order.alias("receipt_id")).distinct()
-        return conform(keys.withColumn("state", F.when(F.col("receipt_id") % 46 == 0, "cancel").otherwise("done")), "receipt_document")
+        return conform(keys.withColumn("state", F.when(F.col("receipt_id") % (2 * every) == 0, "cancel").otherwise(state)), table)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from stockloom.operators import balances, confirmation, intake, kitting, lookups, maintenance, orders, requisition
 from stockloom.plans.confirmation_run import run_confirmation
-from stockloom.plans.fulfilment_run import run_fulfilment
+from stockloom.operators.invoicing import receipt_orders
+from stockloom.plans.fulfilment_run import delivered_lines, fresh_deliveries, run_fulfilment, transfer_moves, usable, with_stock
 from stockloom.sources.schemas import schema
 from stockloom.sources.star_schema import RUN_DATE
 from stockloom.sources.tables import conform, load, load_catalog, save
@@ -173,3 +174,17 @@ def test_fulfilment_run_balances(business):
     chained = kitting.chain_moves(moves)
     assert chained.count() == moves.filter("leg < 3").count()
     assert chained.join(moves, [*intake.RECEIPT, "delivery_id", "leg"]).filter("next_leg <> move_dest_leg").count() == 0
+
+
+def test_picking_and_invoice_guards_are_separate(business):
+    """A live invoice keeps a receipt from being invoiced again, but not from being kitted."""
+    live = business["receipt_invoice"].filter("state <> 'cancel'").select("warehouse_id", "receipt_id")
+    pickings = business["receipt_document"].filter("state <> 'cancel'").select("warehouse_id", "receipt_id")
+    fresh = fresh_deliveries(business)
+    lines = usable(business, fresh, RUN_DATE)
+    invoiced = live.join(pickings, ["warehouse_id", "receipt_id"], "left_anti")
+    assert lines.join(invoiced, ["warehouse_id", "receipt_id"], "left_semi").count() > 0
+    assert lines.join(pickings, ["warehouse_id", "receipt_id"], "left_semi").count() == 0
+    moves = transfer_moves(business, with_stock(business, lines), None, RUN_DATE)
+    billed = delivered_lines(business, receipt_orders(fresh), moves)
+    assert billed.count() > 0 and billed.join(live, ["warehouse_id", "receipt_id"], "left_semi").count() == 0
