@@ -409,6 +409,10 @@ _QUERIES = {
         union all select m.warehouse_id, m.product_id, {RUN}, 'new', m.qoh, m.q::bigint, 0 from kq m where m.q > m.qoh
           and not exists (select 1 from exc e where e.warehouse_id = m.warehouse_id and e.product_id = m.product_id and e.state = 'new' and e.sync_date = {RUN})""",
     "e19_consumed_quants": "select delivery_id as demand_id, line as order_line_id, quant_id, q::decimal(18,4) as quant_qty, unit_cost as quant_cost from used",
+    "e19_lot_moves": """
+        select u.quant_id, k.warehouse_id, k.receipt_id, u.delivery_id, 1 as leg, u.q::decimal(18,4) as quant_qty, u.quant_id is null as negative from used u join kit k on k.delivery_id = u.delivery_id""",
+    "e19_lot_changes": """
+        select q.id, (q.quantity - x.q)::decimal(18,4) as quantity from quant q join (select quant_id, sum(q) as q from used where quant_id is not null group by quant_id) x on x.quant_id = q.id""",
     "e20_transfer_headers": f"""
         select warehouse_id, receipt_id, leg, no as document_no, case when leg = 3 then 'OUT' else 'INT' end || '/2001/' || no as name, order_name as origin, 'sale,order,' || order_id as ref,
           partner_id, company_id, ptype_id as picking_type_id, src as location_id, dest as location_dest_id, state, weight, receipt_ref, {RUN} as date from thead""",

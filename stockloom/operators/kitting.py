@@ -174,6 +174,24 @@ def consume_quants(
     return taken.unionByName(missing)
 
 
+def lot_moves(consumed: DataFrame, kit_lines: DataFrame) -> DataFrame:
+    """``(quant_id, warehouse_id, receipt_id, delivery_id, leg, quant_qty, negative)``: which move took from which lot.
+
+    Lots leave with the first leg of their delivery. A row without a lot is the negative quantity its move still owes.
+    """
+    place = kit_lines.select("delivery_id", *RECEIPT)
+    return consumed.withColumnRenamed("demand_id", "delivery_id").join(place, "delivery_id").select(
+        "quant_id", *RECEIPT, "delivery_id", F.lit(1).alias("leg"), "quant_qty", F.col("quant_id").isNull().alias("negative")
+    )
+
+
+def lot_changes(consumed: DataFrame, quants: DataFrame) -> DataFrame:
+    """Change set ``(id, quantity)`` of the lots that were used: what is left of each, so that no later run uses it again."""
+    used = consumed.filter(F.col("quant_id").isNotNull()).groupBy(F.col("quant_id").alias("id")).agg(F.sum("quant_qty").alias("__used"))
+    left = as_numeric(F.col("quantity") - F.col("__used"), 18, 4)
+    return quants.select("id", "quantity").join(used, "id").select("id", left.alias("quantity"))
+
+
 def _places(warehouses: DataFrame, locations: DataFrame) -> DataFrame:
     """``(warehouse_id, stock, output, customer)`` places side by side."""
     return warehouses.select(

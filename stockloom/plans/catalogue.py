@@ -551,6 +551,16 @@ def e19_consumed_quants(b: Business) -> DataFrame:
     return fulfilling.consumption(b, _usable(b))
 
 
+@query
+def e19_lot_moves(b: Business) -> DataFrame:
+    return kitting.lot_moves(fulfilling.consumption(b, _usable(b)), _usable(b))
+
+
+@query
+def e19_lot_changes(b: Business) -> DataFrame:
+    return kitting.lot_changes(fulfilling.consumption(b, _usable(b)), b["stock_quant"])
+
+
 @query
 def e20_transfer_headers(b: Business) -> DataFrame:
     return fulfilling.transfer_headers(b, _usable(b), fulfilling.Counters(), RUN_DATE)

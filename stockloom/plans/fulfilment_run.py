@@ -121,6 +121,8 @@ def run_fulfilment(
         "invalid": kitting.invalid_changes(fresh, lines),
         "kit_lines": lines,
         "consumed": consumed,
+        "lot_moves": kitting.lot_moves(consumed, lines),
+        "lots": kitting.lot_changes(consumed, tables["stock_quant"]),
         "stock_exceptions": kitting.upsert_stock_exceptions(tables["stock_exceptions"], lines, today),
         "transfer_headers": headers,
         "transfer_moves": moves,

@@ -9,7 +9,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from stockloom.operators.kitting import consume_quants
+from stockloom.operators.kitting import consume_quants, lot_changes, lot_moves
+from stockloom.operators.maintenance import apply_changes
 from stockloom.operators.valuation import fifo_vacuum, valuation_corrections
 
 MOVES = (
@@ -109,3 +110,21 @@ def test_consume_quants(spark, seed):
         pieces=7,
     )
     assert {(r.demand_id, r.order_line_id, r.quant_id): (r.quant_qty, r.quant_cost) for r in got.collect()} == expected
+
+
+def test_a_second_run_leaves_used_lots_alone(spark):
+    demand = spark.createDataFrame([(1, 10, 0, 7, 5), (2, 11, 0, 7, 4)], "id bigint, order_line_id bigint, warehouse_id bigint, product_id bigint, qty int")
+    quants = [(1, 7, 100, Decimal(3)), (2, 7, 100, Decimal(4)), (3, 7, 100, Decimal(6))]
+    lots = spark.createDataFrame([(*q, Decimal(2), date(2020, 1, q[0])) for q in quants], "id bigint, product_id bigint, location_id bigint, quantity decimal(18,4), unit_cost decimal(12,4), in_date date")
+    stock = spark.createDataFrame([(0, 100)], "warehouse_id bigint, location_id bigint")
+    used = []
+    for _ in range(2):
+        taken = consume_quants(demand, lots, stock)
+        used.append(sorted(((r.demand_id, r.quant_id, int(r.quant_qty)) for r in taken.collect()), key=str))
+        places = spark.createDataFrame([(1, 0, 50), (2, 0, 51)], "delivery_id bigint, warehouse_id bigint, receipt_id bigint")
+        links = lot_moves(taken, places).collect()
+        assert {(r.delivery_id, r.receipt_id, r.leg) for r in links} == {(1, 50, 1), (2, 51, 1)}
+        assert all(r.negative == (r.quant_id is None) for r in links)
+        lots = apply_changes(lots, lot_changes(taken, lots))
+    assert used[0] == sorted([(1, 1, 3), (1, 2, 2), (2, 2, 2), (2, 3, 2)], key=str)
+    assert used[1] == sorted([(1, 3, 4), (1, None, -1), (2, None, -4)], key=str)
