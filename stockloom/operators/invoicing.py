@@ -17,7 +17,7 @@ from stockloom.functions.scalars import (
 )
 from stockloom.operators.intake import RECEIPT, live_documents
 from stockloom.operators.joins import attach
-from stockloom.operators.lookups import account_type, default_currency, journal_account, look_up, resolve_property
+from stockloom.operators.lookups import account_type, default_currency, journal_account, resolve_property
 from stockloom.operators.maintenance import number_documents
 from stockloom.operators.ordered import id_block
 
@@ -253,8 +253,3 @@ def invoiced_changes(deliveries: DataFrame, headers: DataFrame) -> DataFrame:
 def picking_changes(headers: DataFrame) -> DataFrame:
     """First-leg pickings that are now invoiced."""
     return headers.select(*RECEIPT, F.lit(1).alias("leg"), F.lit(True).alias("invoiced"))
-
-
-def order_completion(fully: DataFrame, orders: DataFrame) -> DataFrame:
-    """Orders whose open lines are all invoiced, with their agent."""
-    return look_up(fully.filter("fully_invoiced"), orders, "order_id", "partner_id", "partner_id")

@@ -5,7 +5,6 @@ Joins carry no broadcast hints: adaptive execution broadcasts a side only after
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -300,8 +299,3 @@ def enrich_lines(
     rows = lines.join(order_names, "order_id", "left").join(kinds, "product_id", "left")
     rows = look_up(rows, partners, "order_partner_id", "agent_type_id", "agent_type_id")
     return look_up(rows, partners, "partner_id", "route_id", "route_id")
-
-
-def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows whose given columns are all present."""
-    return df.dropna(subset=list(columns))

@@ -36,8 +36,3 @@ def conform(df: DataFrame, name: str) -> DataFrame:
 def save(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
     """Write a new version of a table. A table read in the same plan needs another path."""
     df.write.mode("errorifexists").format(fmt).partitionBy(*partition_by).save(path)
-
-
-def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:
-    """Write a catalog table bucketed and sorted by its join keys, so later joins on them need no shuffle."""
-    df.write.mode("errorifexists").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
