@@ -16,8 +16,8 @@ format below, little-endian throughout. A shard closes at the first document end
 Expansion lengths make random access cheap: a range of a document's ids is found by adding lengths, and only the
 symbols that overlap it are expanded (:func:`token_range`).
 
-Each round counts every neighbouring pair of the shard exactly, takes the most frequent pairs (``pairs_per_round``, each
-at least ``least`` times), and replaces their occurrences from left to right; pairs never span two documents. Rounds end
+Each round counts neighbouring pairs of the whole shard, takes the most frequent ones (``pairs_per_round``, each at least
+``least`` times), and replaces their occurrences from left to right; pairs never span two documents. Rounds end
 when no pair is frequent enough or after ``rounds``.
 
 Defined results: null text has no ids but the end id; documents are ordered by (doc_id, hash of the text), null ids
@@ -29,6 +29,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -43,15 +44,32 @@ END_ID = 2
 SHARD_SCHEMA = "part int, within int, first_id bigint, tokens bigint, documents bigint, body binary"
 
 
-def _pairs(ids: np.ndarray, same: np.ndarray, least: int, most: int) -> np.ndarray:
-    """Codes of the frequent pairs, most frequent first. ``same``: the next id is of the same document."""
-    code = (ids[:-1].astype(np.uint64) << np.uint64(32)) | ids[1:]
-    code = code[same]
-    slot = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)
-    counts = np.bincount(slot, minlength=1 << 18)
-    found, n = np.unique(code[counts[slot] >= max(least, np.partition(counts, -most)[-most])], return_counts=True)
-    found, n = found[n >= least], n[n >= least]
-    return found[np.lexsort((found, -n))][:most]
+#: Pairs are counted in a table of 2**SLOTS places; see :func:`_round`.
+SLOTS = 18
+
+
+def _round(symbols: np.ndarray, same: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One round's pairs (codes, most frequent first), the places of their occurrences, and the pair at each place.
+
+    ``same`` tells whether the next symbol is of the same document. Counts are exact without sorting: places are counted
+    by a hash of their pair, each full slot is given to one pair, and that pair's places are counted again. Another
+    pair that falls into the same slot waits for a later round.
+    """
+    code = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
+    slot = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS)).astype(np.int32)
+    counts = np.bincount(slot[same], minlength=1 << SLOTS)
+    full = counts >= max(least, np.partition(counts, -most)[-most])
+    at = np.flatnonzero(full[slot] & same)
+    owner = np.zeros(1 << SLOTS, np.uint64)
+    owner[slot[at]] = code[at]
+    at = at[owner[slot[at]] == code[at]]
+    counts = np.bincount(slot[at], minlength=1 << SLOTS)
+    slots = np.flatnonzero(counts >= least)
+    slots = slots[np.lexsort((owner[slots], -counts[slots]))][:most]
+    rule = np.full(1 << SLOTS, -1, np.int32)
+    rule[slots] = np.arange(len(slots), dtype=np.int32)
+    of = rule[slot[at]]
+    return owner[slots], at[of >= 0], of[of >= 0]
 
 
 def compress(ids: np.ndarray, starts: np.ndarray, terminals: int, least: int = 64, pairs_per_round: int = 4096, rounds: int = 3):
@@ -65,24 +83,12 @@ def compress(ids: np.ndarray, starts: np.ndarray, terminals: int, least: int = 6
     for _ in range(rounds):
         if len(symbols) < 2:
             break
-        same = ~last[1 : len(symbols)]
-        chosen = _pairs(symbols, same, least, pairs_per_round)
+        chosen, at, rule = _round(symbols, ~last[1 : len(symbols)], least, pairs_per_round)
         if not len(chosen):
             break
-        # a small table sends most places away before the exact look-up
-        mark = np.zeros(1 << 18, bool)
-        hashed = lambda c: ((c * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)
-        mark[hashed(chosen)] = True
-        code = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        at = np.flatnonzero(mark[hashed(code)] & same)
-        order = np.argsort(chosen)
-        place = np.searchsorted(chosen[order], code[at])
-        place[place == len(chosen)] = 0
-        hit = chosen[order][place] == code[at]
-        at, rule = at[hit], order[place[hit]]
         # overlapping occurrences: every second one of a run, from the left
-        run = np.r_[True, np.diff(at) > 1] if len(at) else np.zeros(0, bool)
-        begin = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0)) if len(at) else at
+        run = np.r_[True, np.diff(at) > 1]
+        begin = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
         keep = (np.arange(len(at)) - begin) % 2 == 0
         at, rule = at[keep], rule[keep]
         symbols[at] = made + rule
@@ -132,23 +138,30 @@ class Shard:
         self.symbols = take(f"<u{width}", symbols)
 
     def length_of(self, symbols: np.ndarray) -> np.ndarray:
-        out = np.ones(len(symbols), np.int64)
-        rule = symbols >= self.terminals
-        out[rule] = self.lengths[symbols[rule] - self.terminals]
-        return out
+        return self._sizes[symbols]
+
+    @cached_property
+    def _sizes(self) -> np.ndarray:
+        return np.r_[np.ones(self.terminals, np.int64), self.lengths]
+
+    @cached_property
+    def _table(self) -> tuple[np.ndarray, np.ndarray]:
+        """All symbols' expansions one after the other, and where each begins."""
+        begin = np.r_[0, np.cumsum(self._sizes)[:-1]]
+        flat = np.empty(int(self._sizes.sum()), np.uint32)
+        flat[: self.terminals] = np.arange(self.terminals)
+        for k, (left, right) in enumerate(self.rules.tolist(), self.terminals):
+            at, half = begin[k], self._sizes[left]
+            flat[at : at + half] = flat[begin[left] : begin[left] + half]
+            flat[at + half : at + self._sizes[k]] = flat[begin[right] : begin[right] + self._sizes[right]]
+        return flat, begin
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """Replace rules by their pairs until only ids are left; each pass expands all symbols at once."""
-        symbols = symbols.astype(np.uint32)
-        while (rule := symbols >= self.terminals).any():
-            width = np.where(rule, 2, 1)
-            ends = np.cumsum(width)
-            out = np.empty(ends[-1], np.uint32)
-            pair = self.rules[symbols[rule] - self.terminals]
-            out[ends[~rule] - 1] = symbols[~rule]
-            out[ends[rule] - 2], out[ends[rule] - 1] = pair[:, 0], pair[:, 1]
-            symbols = out
-        return symbols
+        """The ids that the symbols stand for."""
+        flat, begin = self._table
+        sizes = self._sizes[symbols]
+        shift = begin[symbols] - np.r_[0, np.cumsum(sizes)[:-1]] if len(symbols) else sizes
+        return flat[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
 
     def document(self, k: int) -> np.ndarray:
         return self.expand(self.symbols[self.first[k] : self.first[k + 1]])
@@ -203,10 +216,13 @@ def write_token_files(documents: DataFrame, path: str, vocabulary: str, end_id:
 def read_token_files(spark, path: str) -> DataFrame:
     """Per document, decoded from the files: doc_id, start, n_tokens, ids_crc32, compressed symbols."""
     shards = spark.read.schema(SHARD_SCHEMA).parquet(path)
-    # one narrow row per shard: the ids before each shard
-    order = Window.orderBy("part", "within")
-    before = (F.sum("tokens").over(order) - F.col("tokens")).alias("before")
-    starts = shards.select("part", "within", "tokens").select("part", "within", before)
+    # the ids before each shard: those of earlier partitions, one narrow row each, and those before it in its own
+    sizes = shards.select("part", "within", "tokens")
+    parts = sizes.groupBy("part").agg(F.sum("tokens").alias("own"))
+    parts = parts.select("part", (F.sum("own").over(Window.orderBy("part")) - F.col("own")).alias("earlier"))
+    inside = F.sum("tokens").over(Window.partitionBy("part").orderBy("within")) - F.col("tokens")
+    starts = sizes.withColumn("inside", inside).join(parts, "part")
+    starts = starts.select("part", "within", (F.col("earlier") + F.col("inside")).alias("before"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
