@@ -5,7 +5,7 @@ lies in (two bits), the spread of the quartiles, and the length on a logarithmic
 their bucket steps, weighted so that unrelated texts reach about the bound, plus small terms for spread and length;
 the likeness is one minus that difference, held between 0 and 1.
 
-A digest is a string: ``Q1``, two hex digits of length, two of quartile ratios, then two bits per bucket in hex.
+A digest is a string: ``Q1``, two hex digits of length, two of quartile ratios, then two bits per bucket in base 64.
 
 Defined results: a null or empty text has the digest of no triplets; texts of fewer than five bytes have their length
 and one hashed triplet of the padded bytes, so equal texts always have equal digests; two empty digests have likeness 1.
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from base64 import b64decode, b64encode
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,11 +63,11 @@ def digest(data: bytes) -> str:
     ratios = (q1 * 15 // q3 if q3 else 0) << 4 | (q2 * 15 // q3 if q3 else 0)
     four = codes.reshape(-1, 4)
     packed = four[:, 0] << 6 | four[:, 1] << 4 | four[:, 2] << 2 | four[:, 3]
-    return f"Q1{length:02x}{ratios:02x}{packed.astype(np.uint8).tobytes().hex()}"
+    return f"Q1{length:02x}{ratios:02x}{b64encode(packed.astype(np.uint8).tobytes()).decode()}"
 
 
 def _parsed(fingerprint: str) -> tuple[int, int, int, np.ndarray]:
-    packed = np.frombuffer(bytes.fromhex(fingerprint[6:]), np.uint8)
+    packed = np.frombuffer(b64decode(fingerprint[6:]), np.uint8)
     codes = np.stack([packed >> 6, packed >> 4 & 3, packed >> 2 & 3, packed & 3], 1).ravel().astype(np.int16)
     ratios = int(fingerprint[4:6], 16)
     return int(fingerprint[2:4], 16), ratios >> 4, ratios & 15, codes
