@@ -24,21 +24,22 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from math import ceil, exp, sqrt
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from stockloom.llm.components import components
 from stockloom.llm.text_batches import LOWER, SPACE, Words, flat, mix, sliced
 from stockloom.session import materialize
 
 U64 = np.uint64
-#: Spare equal groups: sets with up to so many empty groups need no keys for them.
+#: Least number of spare equal groups; sets with up to as many empty groups as are spare need no keys for them.
 SPARE = 2
 #: Dimensions of the points, points in a leaf or children of a node, and sets in a block.
-GROUPS, FAN_OUT, BLOCK = 64, 16, 512
+GROUPS, FAN_OUT, BLOCK = 64, 16, 2048
 _FACTOR = [int(x) | 1 for x in mix(np.arange(101, 133, dtype=U64))]
 
 
@@ -66,18 +67,30 @@ def shingle_sets(column: pa.Array, width: int) -> list[np.ndarray]:
 
 
 @lru_cache
-def size_classes(num: int, den: int, upto: int) -> tuple[list[int], list[int]]:
-    """Lower borders of the size classes, and how many shingles sets of a class may differ in; below the first: none."""
+def size_classes(num: int, den: int, upto: int) -> tuple[list[int], list[int], list[int]]:
+    """Lower borders of the size classes, and per class how many shingles its sets may differ in and how many groups are spare.
+
+    Below the first border linked sets are equal. Spare groups are what the smallest set of a class leaves empty of all
+    groups by chance, and three deviations more; so few sets need keys of empty groups.
+    """
     borders = [-(-num // (den - num))]
     while borders[-1] <= upto:
         borders.append(max(borders[-1] + 1, borders[-1] * 3 // 2))
-    return borders, [(b - 1) * (den - num) // num for b in borders[1:]]
+    differ = [(b - 1) * (den - num) // num for b in borders[1:]]
+    spare = []
+    for least, r in zip(borders, differ, strict=False):
+        extra = SPARE
+        for _ in range(3):
+            empty = (r + 1 + extra) * exp(-least / (r + 1 + extra))
+            extra = min(SPARE + ceil(empty + 3 * sqrt(empty)), SPARE + r // 2)
+        spare.append(extra)
+    return borders, differ, spare
 
 
 def cluster_keys(found: np.ndarray, num: int, den: int) -> np.ndarray:
     """Keys of one set; two different sets with num/den similarity or more share one at least."""
     n = len(found)
-    borders, differ = size_classes(num, den, 1 << max(6, n.bit_length()))
+    borders, differ, spare = size_classes(num, den, 1 << max(6, n.bit_length()))
     own = int(np.searchsorted(borders, n, "right")) - 1
     if own < 0:
         return np.zeros(0, U64)
@@ -86,11 +99,11 @@ def cluster_keys(found: np.ndarray, num: int, den: int) -> np.ndarray:
         classes.append(classes[-1] - 1)
     content, high, out = mix(found ^ U64(0x5BF03635F0935AD1)), found >> U64(32), []
     for k in classes:
-        groups = differ[k] + 1 + SPARE
+        groups = differ[k] + 1 + spare[k]
         number = (high * U64(groups)) >> U64(32)
         first = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
         present, sums = number[first], np.add.reduceat(content, first)
-        if groups - len(present) > SPARE:
+        if groups - len(present) > spare[k]:
             empty = np.setdiff1d(np.arange(groups, dtype=U64), present)
             present, sums = np.r_[present, empty], np.r_[sums, np.zeros(len(empty), U64)]
         out.append(mix(mix(sums) + present * U64(_FACTOR[0]) + U64(k * _FACTOR[1] & (2**64 - 1))))
@@ -148,13 +161,20 @@ def forest(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
 
 
 def set_rows(documents: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """doc_id, n_shingles, sid (hash of the whole set; null if empty) and its cluster keys."""
+    """doc_id, n_shingles, sid (hash of the whole set; null if empty) and its cluster keys.
+
+    A task gives the keys of equal sets once, so a set that many documents share adds a row per task and key.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in sliced(batches, "text"):
             sets = shingle_sets(batch.column("text"), width)
             sids = [_sid(s) if len(s) else None for s in sets]
-            keys = [cluster_keys(s, num, den).view(np.int64) for s in sets]
+            keys = []
+            for s, sid in zip(sets, sids, strict=True):
+                keys.append(np.zeros(0, np.int64) if sid in seen else cluster_keys(s, num, den).view(np.int64))
+                seen.add(sid)
             offsets = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             values = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -179,8 +199,8 @@ def link_components(documents: DataFrame, width: int = 5, num: int = 80, den: in
     """doc_id, n_shingles, component_id; documents link when den * shared >= num * united."""
     stored = materialize(set_rows(documents, width, num, den))
     keys = stored.where("sid is not null").select("sid", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("sid").alias("least"), F.max("sid").alias("most")).where("least < most")
-    ties = keys.join(shared.select("key", "least"), "key").where("sid <> least")
+    # keys are shuffled once; the sets of a key are tied to the smallest of them
+    ties = keys.withColumn("least", F.min("sid").over(Window.partitionBy("key"))).where("sid <> least")
     clusters = materialize(components(ties.select(F.col("sid").alias("a"), F.col("least").alias("b")).distinct()))
 
     edges = materialize(_cluster_links(documents, stored, clusters, width, num, den))
@@ -201,20 +221,29 @@ def _cluster_links(documents: DataFrame, stored: DataFrame, clusters: DataFrame,
     placed = clusters.join(sizes, "root").select(
         F.col("node").alias("sid"), "root", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block")
     )
-    # one document of each set brings its text again; a null id is a key like any other
-    none = F.lit(-(1 << 63)).cast("bigint")
-    key = F.coalesce("doc_id", none).alias("at")
-    bringer = stored.join(placed.select("sid"), "sid", "left_semi").groupBy("sid").agg(F.min(F.coalesce("doc_id", none)).alias("at"))
-    texts = documents.select(key, "text").join(bringer.select("at").distinct(), "at", "left_semi")
+    # one document of each set brings its text again; where only rows without an id have the set, all of those are read
+    bringer = stored.join(placed, "sid").groupBy("sid", "root", "blocks", "block").agg(F.min("doc_id").alias("doc_id"))
+    named = documents.select("doc_id", "text").join(bringer.where("doc_id is not null"), "doc_id").drop("doc_id")
+    unnamed = documents.where("doc_id is null").select("text", F.lit(None).cast("bigint").alias("sid"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The set of each text, with the other columns; rows whose set is not the wanted one (repeated ids) go."""
         for batch in sliced(batches, "text"):
-            found = [s for s in shingle_sets(batch.column("text"), width) if len(s)]
-            values = [[_sid(s) for s in found], [s.tobytes() for s in found]]
-            yield pa.RecordBatch.from_arrays([pa.array(values[0], pa.int64()), pa.array(values[1], pa.binary())], ["sid", "items"])
-
-    sid_sets = materialize(texts.select("text").mapInArrow(sets, "sid bigint, items binary"))
-    members = sid_sets.join(placed, "sid").dropDuplicates(["sid"])
+            found = shingle_sets(batch.column("text"), width)
+            sids = [_sid(f) if len(f) else None for f in found]
+            keep = [k for k, (own, want) in enumerate(zip(sids, batch.column("sid").to_pylist(), strict=True)) if own is not None and want in (None, own)]
+            others = [n for n in batch.schema.names if n not in ("text", "sid")]
+            arrays = [pa.array([sids[k] for k in keep], pa.int64()), pa.array([found[k].tobytes() for k in keep], pa.binary())]
+            arrays += [batch.column(n).take(pa.array(keep, pa.int64())) for n in others]
+            yield pa.RecordBatch.from_arrays(arrays, ["sid", "items", *others])
+
+    members = named.select("text", "sid", "root", "blocks", "block").mapInArrow(
+        sets, "sid bigint, items binary, root bigint, blocks int, block int"
+    )
+    without = unnamed.mapInArrow(sets, "sid bigint, items binary").join(
+        bringer.where("doc_id is null").drop("doc_id"), "sid"
+    )
+    members = members.unionByName(without)
     # each block meets every block of its cluster once
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     paired = members.select("sid", "items", "root", "block", other.alias("other"), "blocks")
@@ -222,7 +251,7 @@ def _cluster_links(documents: DataFrame, stored: DataFrame, clusters: DataFrame,
     work = [F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")]
 
     def links(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("sid", ignore_index=True)
+        frame = frame.drop_duplicates("sid").sort_values("sid", ignore_index=True)
         ids = frame["sid"].to_numpy()
         pairs = forest([np.frombuffer(x, U64) for x in frame["items"]], num, den)
         return pd.DataFrame({"a": [ids[i] for i, _ in pairs], "b": [ids[j] for _, j in pairs]}, dtype="int64")
