@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from cases import documents, sample, stored, texts
 from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
 
 from stockloom.llm import bounded_packing as packing, grammar_store as store
 from stockloom.llm.queries import LLM_QUERIES
@@ -18,6 +19,12 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 ODD = ["", " ", "  a  b", "a \n b", "\n\n x\t y  ", "foo.\nBar  ,baz", "it's  we'll", "<|endoftext|> a <|endoftext|>b", "日本 語，x", " é è", "\x1c a \x1c b", "a\x00 b\x00", "ab \x85 c \x85d", "a\u2003 b", "a,\nb.\n c. d,\n", "x. y\n"]
 
 
+@pytest.fixture(scope="session")
+def library():
+    """The tokenizers library's own encoder."""
+    return Tokenizer.from_file(VOCABULARY)
+
+
 def ids_of(library, text):
     return np.array(library.encode(text or "", add_special_tokens=False).ids, "<u4")
 
