@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stockloom.llm.bounded_packing import pack_documents
 from stockloom.llm.crf_language import UNKNOWN, fit_field, held_out, label_documents, learnable
 from stockloom.llm.jaccard_rtree import link_components
-from stockloom.llm.ordinal_quality import CUT, WANTED, fit_quality, grades_of, score_documents
+from stockloom.llm.ordinal_quality import fit_quality, grades_of, kept, score_documents
 from stockloom.llm.soft_mixing import TARGETS, domain_labels, fit_domains, membership, mixed_documents, solve
 from stockloom.session import materialize
 
@@ -40,11 +40,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts that are likely of the lowest grade go."""
+    """Texts that are likely of the lowest grade go; without graded texts none does."""
     model = fit_quality(grades_of(spark.read.parquet(f"{sf_dir}/labels.parquet")), docs)
     renamed, back = _aside(docs)
     scored = score_documents(renamed, model, tuple(renamed.columns))
-    return scored.where(F.col("tails")[WANTED - 1] >= CUT).select(*back)
+    return scored.where(kept(model)).select(*back)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

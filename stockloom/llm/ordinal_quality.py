@@ -6,8 +6,9 @@ selected by the tail probability of a wanted grade; the expected grade ranks the
 
 The model is fitted on a bounded sample (``per_grade`` rows of each grade) and scores every whole text in one pass.
 
-Defined results: null texts score like empty ones; without graded rows every grade is equally likely and nothing is
-rejected (a threshold cannot be learned); repeated rows are scored each; other columns are ignored.
+Defined results: null texts score like empty ones; without graded texts every grade is equally likely and nothing is
+rejected (a threshold cannot be learned); repeated rows are scored each; other columns are ignored. Ratings of ids
+that the documents lack, or have without a text, take no place in the sample.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stockloom.llm.text_batches import sliced
 from stockloom.llm.training import COLUMNS, Adam, SparseRows, average_rounds, labelled_sample, row_products, text_features
@@ -55,9 +56,10 @@ def log_likelihood_gradient(score: np.ndarray, grade: np.ndarray, raw: np.ndarra
 
 
 class OrdinalModel:
-    """Weights of the hashed columns and raw thresholds; grades run from 0 to ``grades`` - 1."""
+    """Weights of the hashed columns and raw thresholds; grades run from 0 to ``grades`` - 1; fitted if any text was graded."""
 
-    def __init__(self, weights: np.ndarray, grades: int):
+    def __init__(self, weights: np.ndarray, grades: int, fitted: bool = True):
+        self.fitted = fitted
         self.weights, self.raw = weights[: -(grades - 1)].astype(np.float64), weights[-(grades - 1) :].astype(np.float64)
 
     def tails(self, column: pa.Array) -> np.ndarray:
@@ -68,7 +70,8 @@ class OrdinalModel:
 
 def fit_quality(graded: DataFrame, documents: DataFrame, grades: int = 3, per_grade: int = PER_GRADE) -> OrdinalModel:
     """graded: doc_id, label (grade as int)."""
-    sample = labelled_sample(graded, documents, per_grade, SLOTS)
+    present = documents.where("text is not null").select("doc_id").distinct()
+    sample = labelled_sample(graded.distinct().join(present, "doc_id", "left_semi"), documents, per_grade, SLOTS)
 
     def fit(frame: pd.DataFrame, start: np.ndarray) -> np.ndarray:
         rows, grade = SparseRows(frame["text"], SHARED), frame["label"].to_numpy(np.int64)
@@ -86,7 +89,7 @@ def fit_quality(graded: DataFrame, documents: DataFrame, grades: int = 3, per_gr
     # even odds of all grades to begin with
     even = np.log(np.arange(1, grades) / np.arange(grades - 1, 0, -1))
     start[COLUMNS], start[COLUMNS + 1 :] = even[0], np.log(np.diff(even))
-    return OrdinalModel(average_rounds(sample, fit, start, ROUNDS), grades)
+    return OrdinalModel(average_rounds(sample, fit, start, ROUNDS), grades, not sample.isEmpty())
 
 
 def score_documents(documents: DataFrame, model: OrdinalModel, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -105,6 +108,11 @@ def score_documents(documents: DataFrame, model: OrdinalModel, keep: tuple[str,
     return documents.select(*columns).mapInArrow(run, f"{schema}, expected_grade double, tails array<double>")
 
 
+def kept(model: OrdinalModel) -> Column:
+    """The selection from the tails of :func:`score_documents`; a model without graded texts rejects nothing."""
+    return F.col("tails")[WANTED - 1] >= CUT if model.fitted else F.lit(True)
+
+
 def grades_of(labels: DataFrame) -> DataFrame:
     """2: good and not toxic; 1: good but toxic; 0: poor. Rows with a null rating have no grade."""
     grade = F.when(F.col("quality") == 0, 0).when((F.col("quality") == 1) & (F.col("toxic") == 1), 1)
@@ -122,5 +130,5 @@ def op4_quality(spark, folder: str) -> DataFrame:
         "expected_grade",
         F.col("tails")[0].alias("p_grade_1"),
         F.col("tails")[1].alias("p_grade_2"),
-        (F.col("tails")[WANTED - 1] >= CUT).alias("kept"),
+        kept(model).alias("kept"),
     )

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -74,6 +75,27 @@ def test_quality_without_rows(spark, empty):
     assert np.allclose(model.tails(pa.array(["any text"])), [[2 / 3, 1 / 3]])
 
 
+def ungraded(spark, case):
+    rows = {"none": [], "null": [(1, None, None), (9, None, 1)], "elsewhere": [(i, i % 2, 0) for i in range(100, 140)]}[case]
+    return spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int")
+
+
+@pytest.mark.parametrize("case", ["none", "null", "elsewhere"])
+def test_nothing_is_rejected_without_grades(spark, tmp_path, case):
+    folder = stored(spark, tmp_path, documents=documents(spark), labels=ungraded(spark, case))
+    got = LLM_QUERIES["op4_quality"](spark, folder).collect()
+    assert len(got) == len(texts()) and all(r.kept for r in got)
+    assert corpus_pipeline.quality(spark, documents(spark), folder).count() == len(texts())
+
+
+def test_grades_of_missing_texts_take_no_place(spark):
+    here = [(i, f"good text {i}" if i % 2 else f"poor thing {i}") for i in range(40)]
+    graded = [(i, i % 2) for i in range(40)] + [(i, i % 2) for i in range(100, 3000)]
+    model = quality.fit_quality(spark.createDataFrame(graded, "doc_id bigint, label int"), documents(spark, here), per_grade=20)
+    tails = model.tails(pa.array(["good text 3", "poor thing 4"]))[:, 0]
+    assert model.fitted and tails[0] > tails[1] + 0.2
+
+
 # -- language ---------------------------------------------------------------------------------------------------------
 
 
