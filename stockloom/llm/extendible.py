@@ -7,8 +7,9 @@ up to all shorter prefixes, and each fine prefix takes its shortest fitting ance
 go to a next round with more bits.
 
 The hash is the first 60 bits of an MD5 over id and text, so equal ids with different texts are told apart. Rows that
-agree in all 60 bits are the same row repeated; no bit splits them, and they are dealt to overflow shards by running
-size. A single row above the limit has a shard of its own, with ``shard_bytes`` above the limit.
+agree in all 60 bits are the same row repeated; no bit splits them. They are numbered, and each overflow shard takes the
+next as many as fit, in the assignment and in the files alike. A single row above the limit has a shard of its own, with
+``shard_bytes`` above the limit.
 
 Defined results: null text has 0 bytes; null ids hash as the empty string; an empty table gives an empty result.
 """
@@ -53,24 +54,33 @@ def assign_shards(rows: DataFrame, limit: int = LIMIT, bits_per_round: int = 6)
         placed = materialize(keyed.join(found, "cell", "left").drop("cell"))
         done.append(placed.where("b is not null").select("doc_id", "bits", "bytes", F.lit(0).cast("bigint").alias("overflow"), "b.*"))
         left = placed.where("b is null").select("doc_id", "bits", "bytes")
-        if depth == BITS or left.isEmpty():
+        if left.isEmpty():
+            break
+        if depth == BITS:
+            done.append(_overflow(left, limit))
             break
         least, depth = depth + 1, min(BITS, depth + bits_per_round)
-    done.append(_overflow(left, limit))
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
     return out
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """rows with ``number``, from 0 on among those of equal bits: counts per task first, so no group is gathered in one."""
+    held = materialize(rows.withColumn("at", F.monotonically_increasing_id())).withColumn("task", F.expr("shiftright(at, 33)"))
+    counts = held.groupBy("bits", "task").agg(F.count(F.lit(1)).alias("n"))
+    before = counts.select("bits", "task", (F.sum("n").over(Window.partitionBy("bits").orderBy("task")) - F.col("n")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("bits", "task").orderBy("at"))
+    numbered = held.withColumn("place", place).join(before, ["bits", "task"])
+    return numbered.withColumn("number", F.col("before") + F.col("place") - 1).drop("at", "task", "place", "before")
+
+
 def _overflow(rows: DataFrame, limit: int) -> DataFrame:
-    """Rows with all bits equal: each is the same row, so a count decides how many fit a shard; dealt by position."""
-    salted = rows.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(64)))
-    order = Window.partitionBy("bits", "salt").orderBy("bytes")
-    running = F.sum("bytes").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("bytes")
-    fit = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.col("bytes"), F.lit(1))))
-    dealt = salted.withColumn("slot", F.floor(running / (fit * F.greatest(F.col("bytes"), F.lit(1)))))
-    dealt = dealt.withColumn("overflow", (1 + F.col("salt") + 64 * F.col("slot")).cast("bigint"))
+    """Rows with all bits equal: each is the same row, so a count decides how many fit a shard; dealt by number."""
+    most = rows.groupBy("bits").agg(F.greatest(F.lit(1), F.max("bytes")).alias("most"))
+    dealt = _numbered(rows).join(most, "bits").withColumn("fit", F.greatest(F.lit(1), F.floor(F.lit(limit) / F.col("most"))))
+    dealt = materialize(dealt.select("doc_id", "bits", "bytes", _overflow_of("number", "fit").alias("overflow")))
     size = dealt.groupBy("bits", "overflow").agg(F.sum("bytes").alias("shard_bytes"))
     joined = dealt.join(size, ["bits", "overflow"])
     return joined.select(
@@ -78,6 +88,10 @@ def _overflow(rows: DataFrame, limit: int) -> DataFrame:
     )
 
 
+def _overflow_of(number: str, fit: str) -> Column:
+    return (1 + F.floor(F.col(number) / F.col(fit))).cast("bigint")
+
+
 def shard_name(depth: Column, prefix_: Column, overflow: Column) -> Column:
     """The prefix as a bit string, with the number of the overflow shard if there is one."""
     name = F.when(depth == 0, F.lit("")).otherwise(F.lpad(F.bin(prefix_), depth, "0"))
@@ -95,11 +109,23 @@ def directory(assigned: DataFrame) -> DataFrame:
 
 
 def write_shards(documents: DataFrame, assigned: DataFrame, path: str) -> None:
-    """Write each shard as a folder of its own; joins the texts to their shard by id and hash."""
+    """Write each shard as a folder of its own; joins the texts to their shard by the hash of id and text.
+
+    Rows that overflow are numbered here as in the assignment: all shards of equal bits but the last hold as many rows
+    as the first one.
+    """
     keyed = documents.withColumn("bits", hash_bits(F.col("doc_id"), F.col("text")))
-    named = assigned.select("bits", shard_name(F.col("depth"), F.col("prefix"), F.col("overflow")).alias("shard"))
-    joined = keyed.join(named.groupBy("bits").agg(F.min("shard").alias("shard")), "bits").drop("bits")
-    joined.repartition("shard").write.partitionBy("shard").parquet(path)
+    fit = F.count_if(F.col("overflow") == 1).alias("fit")
+    named = assigned.groupBy("bits").agg(F.min("depth").alias("depth"), F.min("prefix").alias("prefix"), fit)
+    # a stored table, so that only rows of groups that overflow are joined and numbered by it
+    named = materialize(named.select("bits", shard_name(F.col("depth"), F.col("prefix"), F.lit(0)).alias("shard"), "fit"))
+    written = keyed.join(named.where("fit = 0").drop("fit"), "bits")
+    over = named.where("fit > 0")
+    if not over.isEmpty():
+        dealt = _numbered(keyed.join(over, "bits"))
+        name = F.concat("shard", F.lit("+"), _overflow_of("number", "fit").cast("string"))
+        written = written.unionByName(dealt.withColumn("shard", name).drop("number", "fit"))
+    written.drop("bits").repartition("shard").write.partitionBy("shard").parquet(path)
 
 
 def op10_extendible_shards(spark, folder: str) -> DataFrame:

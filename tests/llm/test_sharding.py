@@ -60,3 +60,20 @@ def test_query_and_files(spark, tmp_path):
     rows = df.select("doc_id", extendible.hash_bits(F.col("doc_id"), F.col("text")).alias("bits"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("bytes"))
     extendible.write_shards(df, extendible.assign_shards(rows, 1000), f"{tmp_path}/shards")
     assert spark.read.parquet(f"{tmp_path}/shards").count() == df.count()
+
+
+def test_files_of_repeated_rows(spark, tmp_path):
+    """Written folders are what the assignment says, with a row repeated past the limit."""
+    rows = [(7, "same text " * 5)] * 400 + [(None, "none")] * 900 + [(i, f"text {i} " * (i % 9)) for i in range(100, 300)] + [(8, "long " * 500)]
+    df = documents(spark, rows).repartition(5)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
+    keyed = df.select("doc_id", extendible.hash_bits(F.col("doc_id"), F.col("text")).alias("bits"), size.alias("bytes"))
+    assigned = extendible.assign_shards(keyed, 1000)
+    name = extendible.shard_name(F.col("depth"), F.col("prefix"), F.col("overflow"))
+    want = {r.shard: r.shard_bytes for r in assigned.select(name.alias("shard"), "shard_bytes").distinct().collect()}
+    extendible.write_shards(df, assigned, f"{tmp_path}/shards")
+    found = spark.read.schema(df.schema.add("shard", "string")).parquet(f"{tmp_path}/shards")
+    got = {r.shard: (r.own, r.n) for r in found.groupBy("shard").agg(F.sum(size).alias("own"), F.count(F.lit(1)).alias("n")).collect()}
+    assert {k: own for k, (own, _) in got.items()} == want and sum(n for _, n in got.values()) == len(rows)
+    assert sum("+" in k for k in got) >= 20 + 4 + 1
+    assert all(own <= 1000 or n == 1 for own, n in got.values())
