@@ -18,7 +18,7 @@ symbols that overlap it are expanded (:func:`token_range`).
 
 Each round counts neighbouring pairs of the whole shard, takes the most frequent ones (``pairs_per_round``, each at least
 ``least`` times), and replaces their occurrences from left to right; pairs never span two documents. Rounds end
-when no pair is frequent enough or after ``rounds``.
+when no pair is frequent enough, or after ``rounds`` if that is given.
 
 Defined results: null text has no ids but the end id; documents are ordered by (doc_id, hash of the text), null ids
 first, so equal ids stay in a fixed order and a frequent id is spread over partitions; an empty table writes no shard.
@@ -44,35 +44,43 @@ END_ID = 2
 SHARD_SCHEMA = "part int, within int, first_id bigint, tokens bigint, documents bigint, body binary"
 
 
-#: Pairs are counted in a table of 2**SLOTS places; see :func:`_round`.
+#: Places are counted in a table of 2**SLOTS before their pairs are; see :func:`_round`.
 SLOTS = 18
 
 
+def _slot(code: np.ndarray) -> np.ndarray:
+    return ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS)).astype(np.int32)
+
+
 def _round(symbols: np.ndarray, same: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """One round's pairs (codes, most frequent first), the places of their occurrences, and the pair at each place.
 
-    ``same`` tells whether the next symbol is of the same document. Counts are exact without sorting: places are counted
-    by a hash of their pair, each full slot is given to one pair, and that pair's places are counted again. Another
-    pair that falls into the same slot waits for a later round.
+    ``same`` tells whether the next symbol is of the same document. Places are counted by a hash of their pair first; a
+    pair is at most as frequent as its slot, so only places in full slots are sorted, and their pairs counted exactly. Of
+    chosen pairs with one slot the most frequent has it and the others wait for the next round. No pair is found only
+    if none is of the least frequency.
     """
     code = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-    slot = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS)).astype(np.int32)
-    counts = np.bincount(slot[same], minlength=1 << SLOTS)
-    full = counts >= max(least, np.partition(counts, -most)[-most])
-    at = np.flatnonzero(full[slot] & same)
-    owner = np.zeros(1 << SLOTS, np.uint64)
-    owner[slot[at]] = code[at]
-    at = at[owner[slot[at]] == code[at]]
-    counts = np.bincount(slot[at], minlength=1 << SLOTS)
-    slots = np.flatnonzero(counts >= least)
-    slots = slots[np.lexsort((owner[slots], -counts[slots]))][:most]
+    slot = _slot(code)
+    filled = np.bincount(slot[same], minlength=1 << SLOTS)
+    for enough in dict.fromkeys((max(least, int(np.partition(filled, -most)[-most])), least)):
+        at = np.flatnonzero((filled >= enough)[slot] & same)
+        pairs, counts = np.unique(code[at], return_counts=True)
+        pairs, counts = pairs[counts >= least], counts[counts >= least]
+        if len(pairs):
+            break
+    first = np.lexsort((pairs, -counts))[:most]
+    pairs = pairs[first]
+    pairs = pairs[np.sort(np.unique(_slot(pairs), return_index=True)[1])]
     rule = np.full(1 << SLOTS, -1, np.int32)
-    rule[slots] = np.arange(len(slots), dtype=np.int32)
+    rule[_slot(pairs)] = np.arange(len(pairs), dtype=np.int32)
     of = rule[slot[at]]
-    return owner[slots], at[of >= 0], of[of >= 0]
+    at, of = at[of >= 0], of[of >= 0]
+    own = pairs[of] == code[at]
+    return pairs, at[own], of[own]
 
 
-def compress(ids: np.ndarray, starts: np.ndarray, terminals: int, least: int = 64, pairs_per_round: int = 4096, rounds: int = 3):
+def compress(ids: np.ndarray, starts: np.ndarray, terminals: int, least: int = 64, pairs_per_round: int = 4096, rounds: int | None = None):
     """(rules R x 2, lengths R, symbols, first symbol of each document) for ids whose documents begin at ``starts``."""
     symbols = ids.astype(np.uint32)
     last = np.zeros(len(symbols) + 1, bool)
@@ -80,7 +88,7 @@ def compress(ids: np.ndarray, starts: np.ndarray, terminals: int, least: int = 6
     rules: list[np.ndarray] = []
     lengths = np.ones(terminals, np.uint32)
     made = terminals
-    for _ in range(rounds):
+    while rounds is None or len(rules) < rounds:
         if len(symbols) < 2:
             break
         chosen, at, rule = _round(symbols, ~last[1 : len(symbols)], least, pairs_per_round)

@@ -144,3 +144,41 @@ def test_file_query(spark, library, tmp_path):
         at += len(ids)
     folder = stored(spark, tmp_path, documents=documents(spark, []))
     assert LLM_QUERIES["op3_token_files"](spark, folder).count() == 0
+
+
+def pairs_of(symbols, first):
+    """How often each pair of neighbours within a document occurs; of a run of equal ids every second pair counts."""
+    found, taken = {}, {}
+    for a, b in zip(first[:-1], first[1:], strict=True):
+        for k in range(a, b - 1):
+            pair = (int(symbols[k]), int(symbols[k + 1]))
+            if taken.get(pair) != k - 1 or pair[0] != pair[1]:
+                found[pair], taken[pair] = found.get(pair, 0) + 1, k
+    return found
+
+
+def test_no_frequent_pair_is_left():
+    rng = np.random.default_rng(8)
+    passage = rng.integers(0, 5000, 300).astype("<u4")
+    docs = [np.r_[rng.integers(0, 5000, rng.integers(0, 60)).astype("<u4"), passage] for _ in range(400)]
+    docs += [rng.zipf(1.5, 2000).clip(max=5000).astype("<u4") - 1 for _ in range(20)]
+    starts = np.cumsum([0, *map(len, docs[:-1])])
+    _, lengths, symbols, first = store.compress(np.concatenate(docs), starts, 5000)
+    assert max(pairs_of(symbols, first).values()) < 64
+    assert lengths.max() >= 256 and len(symbols) < 40_000
+    shard = store.Shard(store.pack_shard(list(range(len(docs))), [d.tobytes() for d in docs], 5000))
+    assert all(shard.document(k).tolist() == d.tolist() for k, d in enumerate(docs))
+
+
+def test_a_rare_pair_does_not_keep_its_slot():
+    """Two pairs of one place in the table of counts: the frequent one is taken, though the rare one comes last."""
+    place = {}
+    for often in np.random.default_rng(0).integers(0, 5000, (5000, 2)).tolist():
+        slot = (((often[0] << 32) | often[1]) * 0x9E3779B97F4A7C15 % 2**64) >> (64 - store.SLOTS)
+        if place.get(slot, often) != often:
+            break
+        place[slot] = often
+    docs = [np.array(often, "<u4")] * 500 + [np.array(place[slot], "<u4")]
+    starts = np.arange(0, 2 * len(docs), 2)
+    rules, _, symbols, _ = store.compress(np.concatenate(docs), starts, 5000, rounds=1)
+    assert place[slot] != often and rules.tolist() == [often] and len(symbols) == 502
