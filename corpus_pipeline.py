@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stockloom.llm.bounded_packing import pack_documents
 from stockloom.llm.crf_language import UNKNOWN, fit_field, held_out, label_documents, learnable
-from stockloom.llm.jaccard_rtree import link_components
+from stockloom.llm.jaccard_rtree import one_of_each, row_key
 from stockloom.llm.ordinal_quality import fit_quality, grades_of, kept, score_documents
 from stockloom.llm.soft_mixing import TARGETS, domain_labels, fit_domains, membership, mixed_documents, solve
 from stockloom.session import materialize
@@ -48,15 +48,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts linked by five-word shingles at similarity 0.8 or more, the one with the smallest id stays.
+    """Of texts linked by five-word shingles at similarity 0.8 or more, one row stays: that with the smallest id.
 
-    Rows without an id cannot be named as the one that stays; of those, equal texts count once.
+    Rows without an id come after those with one, and rows of one id are told apart by a hash of id and text. Texts
+    without words link with nothing; of them, rows equal in id and text count once.
     """
-    groups = link_components(docs, width=5, num=80, den=100)
-    stay = groups.select(F.col("component_id").alias("doc_id")).distinct()
-    named = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    unnamed = docs.where("doc_id is null").dropDuplicates(["text"])
-    return named.unionByName(unnamed).select(*docs.columns)
+    stay = one_of_each(docs, width=5, num=80, den=100).withColumnRenamed("row_key", "row_key_")
+    renamed, back = _aside(docs)
+    # equal rows go before the join: each task leaves one of them, so many copies do not meet in one task
+    rows = renamed.withColumn("row_key_", row_key()).dropDuplicates(["row_key_"])
+    return rows.join(stay, "row_key_", "left_semi").select(*back)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

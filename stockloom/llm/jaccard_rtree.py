@@ -29,7 +29,7 @@ from math import ceil, exp, sqrt
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stockloom.llm.components import components
 from stockloom.llm.text_batches import LOWER, SPACE, Words, flat, mix, sliced
@@ -161,7 +161,7 @@ def forest(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
 
 
 def set_rows(documents: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """doc_id, n_shingles, sid (hash of the whole set; null if empty) and its cluster keys.
+    """doc_id, row_key, n_shingles, sid (hash of the whole set; null if empty) and its cluster keys.
 
     A task gives the keys of equal sets once, so a set that many documents share adds a row per task and key.
     """
@@ -180,23 +180,29 @@ def set_rows(documents: DataFrame, width: int, num: int, den: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("row_key"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(sids, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
                 ],
-                ["doc_id", "n_shingles", "sid", "keys"],
+                ["doc_id", "row_key", "n_shingles", "sid", "keys"],
             )
 
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, n_shingles bigint, sid bigint, keys array<bigint>")
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_key().alias("row_key"), "text")
+    return rows.mapInArrow(run, "doc_id bigint, row_key bigint, n_shingles bigint, sid bigint, keys array<bigint>")
+
+
+def row_key() -> Column:
+    """Tells rows apart, also those without an id or with a repeated one; only rows equal in id and text share it."""
+    return F.xxhash64("doc_id", "text")
 
 
 def _sid(found: np.ndarray) -> int:
     return int(mix(np.array([np.add.reduce(mix(found + U64(_FACTOR[2])))], U64)).view(np.int64)[0])
 
 
-def link_components(documents: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id; documents link when den * shared >= num * united."""
+def _linked_sets(documents: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """:func:`set_rows`, stored, and (node, root) of the sets that link with another."""
     stored = materialize(set_rows(documents, width, num, den))
     keys = stored.where("sid is not null").select("sid", F.explode("keys").alias("key"))
     # keys are shuffled once; the sets of a key are tied to the smallest of them
@@ -204,7 +210,12 @@ def link_components(documents: DataFrame, width: int = 5, num: int = 80, den: in
     clusters = materialize(components(ties.select(F.col("sid").alias("a"), F.col("least").alias("b")).distinct()))
 
     edges = materialize(_cluster_links(documents, stored, clusters, width, num, den))
-    linked = materialize(components(edges))
+    return stored, materialize(components(edges))
+
+
+def link_components(documents: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """doc_id, n_shingles, component_id; documents link when den * shared >= num * united."""
+    stored, linked = _linked_sets(documents, width, num, den)
     # back to documents: the smallest id of the sets of a component
     owners = stored.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least_id"))
     owners = materialize(owners.join(linked.withColumnRenamed("node", "sid"), "sid", "left"))
@@ -214,6 +225,19 @@ def link_components(documents: DataFrame, width: int = 5, num: int = 80, den: in
     return named.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def one_of_each(documents: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """row_key of the row of each component that stays: the one with the smallest (id, hash of the row), null ids last.
+
+    Rows with an empty set link with nothing, so each of them stays.
+    """
+    stored, linked = _linked_sets(documents, width, num, den)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key"))
+    own = stored.where("sid is not null").groupBy("sid").agg(first.alias("row"))
+    own = own.join(linked.withColumnRenamed("node", "sid"), "sid", "left").select(F.coalesce("root", "sid").alias("root"), "row.*")
+    stay = own.groupBy("root").agg(first.alias("row")).select("row.row_key")
+    return stay.unionByName(stored.where("sid is null").select("row_key").distinct())
+
+
 def _cluster_links(documents: DataFrame, stored: DataFrame, clusters: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Verified links between sets of one cluster, as (a, b) of set ids."""
     sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
@@ -221,17 +245,16 @@ def _cluster_links(documents: DataFrame, stored: DataFrame, clusters: DataFrame,
     placed = clusters.join(sizes, "root").select(
         F.col("node").alias("sid"), "root", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block")
     )
-    # one document of each set brings its text again; where only rows without an id have the set, all of those are read
-    bringer = stored.join(placed, "sid").groupBy("sid", "root", "blocks", "block").agg(F.min("doc_id").alias("doc_id"))
-    named = documents.select("doc_id", "text").join(bringer.where("doc_id is not null"), "doc_id").drop("doc_id")
-    unnamed = documents.where("doc_id is null").select("text", F.lit(None).cast("bigint").alias("sid"))
+    # one row of each set brings its text again
+    bringer = stored.join(placed, "sid").groupBy("sid", "root", "blocks", "block").agg(F.min("row_key").alias("row_key"))
+    named = documents.select("text", row_key().alias("row_key")).join(bringer, "row_key").drop("row_key")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The set of each text, with the other columns; rows whose set is not the wanted one (repeated ids) go."""
+        """The set of each text, with the other columns; a row whose key another row has by chance goes."""
         for batch in sliced(batches, "text"):
             found = shingle_sets(batch.column("text"), width)
             sids = [_sid(f) if len(f) else None for f in found]
-            keep = [k for k, (own, want) in enumerate(zip(sids, batch.column("sid").to_pylist(), strict=True)) if own is not None and want in (None, own)]
+            keep = [k for k, (own, want) in enumerate(zip(sids, batch.column("sid").to_pylist(), strict=True)) if own == want]
             others = [n for n in batch.schema.names if n not in ("text", "sid")]
             arrays = [pa.array([sids[k] for k in keep], pa.int64()), pa.array([found[k].tobytes() for k in keep], pa.binary())]
             arrays += [batch.column(n).take(pa.array(keep, pa.int64())) for n in others]
@@ -240,10 +263,6 @@ def _cluster_links(documents: DataFrame, stored: DataFrame, clusters: DataFrame,
     members = named.select("text", "sid", "root", "blocks", "block").mapInArrow(
         sets, "sid bigint, items binary, root bigint, blocks int, block int"
     )
-    without = unnamed.mapInArrow(sets, "sid bigint, items binary").join(
-        bringer.where("doc_id is null").drop("doc_id"), "sid"
-    )
-    members = members.unionByName(without)
     # each block meets every block of its cluster once
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     paired = members.select("sid", "items", "root", "block", other.alias("other"), "blocks")
