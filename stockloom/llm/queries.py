@@ -10,6 +10,7 @@ from stockloom.llm.bounded_packing import op8_packing
 from stockloom.llm.chat import OP1_SQL, op1_chat_format
 from stockloom.llm.crf_language import op9_language
 from stockloom.llm.extendible import OP10_SQL, op10_extendible_shards
+from stockloom.llm.golay_simhash import op11_simhash_components
 from stockloom.llm.grammar_store import op3_token_files
 from stockloom.llm.jaccard_rtree import OP5_SQL, op5_jaccard_components
 from stockloom.llm.multi_index import op7_nearest_vectors
@@ -30,6 +31,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_language,
         op10_extendible_shards,
+        op11_simhash_components,
     )
 }
 LLM_STATEMENTS: dict[str, str] = {
