@@ -14,6 +14,7 @@ from stockloom.llm.golay_simhash import op11_simhash_components
 from stockloom.llm.grammar_store import op3_token_files
 from stockloom.llm.jaccard_rtree import OP5_SQL, op5_jaccard_components
 from stockloom.llm.multi_index import op7_nearest_vectors
+from stockloom.llm.nra_search import OP13_SQL, op13_ranked_search
 from stockloom.llm.ordinal_quality import op4_quality
 from stockloom.llm.quartile_digest import op6_fingerprints
 from stockloom.llm.soft_mixing import op2_mixing
@@ -32,10 +33,12 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_language,
         op10_extendible_shards,
         op11_simhash_components,
+        op13_ranked_search,
     )
 }
 LLM_STATEMENTS: dict[str, str] = {
     "op1_chat_format": OP1_SQL,
     "op5_jaccard_components": OP5_SQL,
     "op10_extendible_shards": OP10_SQL,
+    "op13_ranked_search": OP13_SQL,
 }
