@@ -18,6 +18,7 @@ from stockloom.llm.nra_search import OP13_SQL, op13_ranked_search
 from stockloom.llm.ordinal_quality import op4_quality
 from stockloom.llm.quartile_digest import op6_fingerprints
 from stockloom.llm.soft_mixing import op2_mixing
+from stockloom.llm.token_alignment import op12_token_alignment
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
@@ -33,6 +34,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_language,
         op10_extendible_shards,
         op11_simhash_components,
+        op12_token_alignment,
         op13_ranked_search,
     )
 }

@@ -18,9 +18,9 @@ from tokenizers import Tokenizer
 #: White space other than blank and line feed; texts that hold any are cut with more care.
 _RARE_SPACE = [chr(c) for c in (*range(0x09, 0x0A), *range(0x0B, 0x0E), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_ALPHABET = {b: chr(b) for b in _PRINTABLE}
-_ALPHABET |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(_PRINTABLE))}
-_BLANK = _ALPHABET[0x20]
+ALPHABET = {b: chr(b) for b in _PRINTABLE}
+ALPHABET |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(_PRINTABLE))}
+_BLANK = ALPHABET[0x20]
 
 
 def _bytes(ids: list[int]) -> bytes:
@@ -52,7 +52,7 @@ class TextEncoder:
 
     def _letters(self, blank: str, word: str) -> bytes:
         """Ids of letters only, after a blank or not: one piece of the pre-tokenizer, so the model alone decides."""
-        mapped = blank + (word if word.isascii() else "".join([_ALPHABET[b] for b in word.encode()]))
+        mapped = blank + (word if word.isascii() else "".join([ALPHABET[b] for b in word.encode()]))
         return _bytes([t.id for t in self.model.tokenize(mapped)])
 
     def _word(self, blank: str, part: str) -> bytes:
