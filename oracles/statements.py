@@ -175,9 +175,34 @@ PARTS = {
     "bal": """
         select q.product_id, p.code_name, q.location_id, l.complete_name, sum(q.quantity) as qty from quant q join loc l on l.id = q.location_id and l.usage = 'internal'
         join (select prod.id, prod.code || ' - ' || tmpl.name as code_name from prod join tmpl on tmpl.id = prod.tmpl_id) p on p.id = q.product_id group by all having sum(q.quantity) <> 0""",
+    # Stock as each receipt finds it: moves before the run, and the done legs of receipts before it.
+    "feed": """
+        select t.a, m.product_id, m.warehouse_id, m.receipt_id, sum(m.qty / u.factor) as q_in, null as q_out from tmove m join uom u on u.id = m.uom_id
+        join stock_tree t on t.d = m.dest where m.state = 'done' and m.src is not null and not exists (select 1 from stock_tree x where x.a = t.a and x.d = m.src) group by all
+        union all
+        select t.a, m.product_id, m.warehouse_id, m.receipt_id, null, sum(m.qty / u.factor) from tmove m join uom u on u.id = m.uom_id
+        join stock_tree t on t.d = m.src where m.state = 'done' and m.dest is not null and not exists (select 1 from stock_tree x where x.a = t.a and x.d = m.dest) group by all""",
+    "turn": """
+        select c.warehouse_id, c.receipt_id, c.product_id, c.a, sum(f.q_in) as q_in, sum(f.q_out) as q_out
+        from (select distinct k.warehouse_id, k.receipt_id, k.product_id, w.stock_id as a from kit k join wh w on w.id = k.warehouse_id) c
+        left join feed f on f.a = c.a and f.product_id = c.product_id and (f.warehouse_id < c.warehouse_id or f.warehouse_id = c.warehouse_id and f.receipt_id < c.receipt_id)
+        group by all""",
+    "kqoh": """
+        select t.warehouse_id, t.receipt_id, t.product_id, round((case when i.q is null and t.q_in is null then 0
+          else coalesce(i.q, 0) + coalesce(t.q_in, 0) - coalesce(o.q, 0) - coalesce(t.q_out, 0) end)::decimal(12,2))::int as qoh
+        from turn t left join (select a, product_id, sum(q) as q from flow_in where state = 'done' group by all) i on i.a = t.a and i.product_id = t.product_id
+        left join (select a, product_id, sum(q) as q from flow_out where state = 'done' group by all) o on o.a = t.a and o.product_id = t.product_id""",
+    # Exceptions receipt by receipt: what is open already adds up, else the short lines of a receipt open a row.
+    "krec": """
+        select k.warehouse_id, k.product_id, k.receipt_id, max(h.qoh) as qoh, sum(k.qty) as q, sum(k.qty) filter (k.qty - h.qoh > 0) as short
+        from kit k join kqoh h on h.warehouse_id = k.warehouse_id and h.receipt_id = k.receipt_id and h.product_id = k.product_id group by all""",
+    "kopen": f"""
+        select r.*, exists (select 1 from exc e where e.warehouse_id = r.warehouse_id and e.product_id = r.product_id and e.state = 'new' and e.sync_date = {RUN}) as known,
+          coalesce(bool_or(short is not null) over (partition by warehouse_id, product_id order by receipt_id rows between unbounded preceding and 1 preceding), false) as opened
+        from krec r""",
     "kq": """
-        select k.warehouse_id, k.product_id, sum(k.qty) as q, max(round(coalesce(h.qty, 0))::int) as qoh from kit k join wh w on w.id = k.warehouse_id
-        left join on_hand h on h.a = w.stock_id and h.product_id = k.product_id group by all""",
+        select warehouse_id, product_id, known, sum(case when known or opened then q else short end) as q, min(case when not opened and short is not null then qoh end) as qoh
+        from kopen group by all""",
     # FIFO repair by range joins.
     "fm": "select * from mv where ((is_in or is_out) and rem < 0) or (is_in and rem > 0)",
     "fnet": """
@@ -398,16 +423,15 @@ _QUERIES = {
           and exists (select 1 from doc where doc.warehouse_id = d.warehouse_id and doc.receipt_id = d.receipt_id and doc.state <> 'cancel')""",
     "e17_kitting_lines": """
         select k.delivery_id, k.warehouse_id, k.receipt_id, k.line as order_line_id, k.order_id, k.order_name, k.partner_id, k.company_id, k.product_id, k.product_name, k.uom_id as product_uom,
-          k.ordered_qty, k.qty as product_uom_qty, k.weight, k.agent as default_ofc_id, round(coalesce(h.qty, 0))::int as product_qoh, k.receipt_ref, k.date_delivery as date_expected
-        from kit k join wh w on w.id = k.warehouse_id left join on_hand h on h.a = w.stock_id and h.product_id = k.product_id""",
+          k.ordered_qty, k.qty as product_uom_qty, k.weight, k.agent as default_ofc_id, h.qoh as product_qoh, k.receipt_ref, k.date_delivery as date_expected
+        from kit k join kqoh h on h.warehouse_id = k.warehouse_id and h.receipt_id = k.receipt_id and h.product_id = k.product_id""",
     "e17_receipt_totals": "select warehouse_id, receipt_id, weight, items, order_id, order_name, partner_id, company_id, receipt_ref, agent as agent_warehouse_id from rtot",
     "e17_invalid_receipts": """
         select id, true as processed, 'invalid order' as remarks from fresh f where not processed and not exists (select 1 from kit k where k.warehouse_id = f.warehouse_id and k.receipt_id = f.receipt_id)""",
     "e18_stock_exceptions": f"""
         select e.warehouse_id, e.product_id, e.sync_date, e.state, e.initial_qoh, case when m.q is null then e.kitted_qty else e.kitted_qty + m.q end::bigint as kitted_qty, case when m.q is null then e.adjusted_qty else 0 end as adjusted_qty
         from exc e left join kq m on m.warehouse_id = e.warehouse_id and m.product_id = e.product_id and e.state = 'new' and e.sync_date = {RUN}
-        union all select m.warehouse_id, m.product_id, {RUN}, 'new', m.qoh, m.q::bigint, 0 from kq m where m.q > m.qoh
-          and not exists (select 1 from exc e where e.warehouse_id = m.warehouse_id and e.product_id = m.product_id and e.state = 'new' and e.sync_date = {RUN})""",
+        union all select m.warehouse_id, m.product_id, {RUN}, 'new', m.qoh, m.q::bigint, 0 from kq m where not m.known and m.q is not null""",
     "e19_consumed_quants": "select delivery_id as demand_id, line as order_line_id, quant_id, q::decimal(18,4) as quant_qty, unit_cost as quant_cost from used",
     "e19_lot_moves": """
         select u.quant_id, k.warehouse_id, k.receipt_id, u.delivery_id, 1 as leg, u.q::decimal(18,4) as quant_qty, u.quant_id is null as negative from used u join kit k on k.delivery_id = u.delivery_id""",

@@ -75,12 +75,96 @@ def usable_deliveries(
     )
 
 
-def kitting_lines(usable: DataFrame, on_hand: DataFrame, warehouses: DataFrame, locations: DataFrame) -> DataFrame:
-    """Usable deliveries with the stock of the centre, ``product_qoh``."""
-    rows = attach(usable, locations_of_type(warehouses, locations, "stock"), {"warehouse_id": "warehouse_id"})
-    stock = on_hand.select("location_id", "product_id", "qty_on_hand")
-    rows = attach(rows, stock, {"location_id": "location_id", "product_id": "product_id"})
-    return rows.withColumn("product_qoh", as_int(F.coalesce("qty_on_hand", F.lit(0)))).drop("location_id", "qty_on_hand")
+def kitting_lines(
+    usable: DataFrame,
+    flows: DataFrame,
+    closure: DataFrame,
+    uoms: DataFrame,
+    partners: DataFrame,
+    warehouses: DataFrame,
+    locations: DataFrame,
+    pieces: int | None = None,
+) -> DataFrame:
+    """Usable deliveries with ``product_qoh``, the stock of the centre when their receipt's turn comes.
+
+    Receipts take their turns in the order of ``(warehouse_id, receipt_id)``. A turn sees the done moves before the run
+    (``flows``, of :func:`~stockloom.operators.balances.subtree_flows` over at least the stock places of ``closure``) and
+    the done legs of all earlier receipts of the run, in their units, wherever these cross the border of the stock place.
+    As ever, stock is 0 as long as nothing has come in.
+    """
+    place = locations_of_type(warehouses, locations, "stock")
+    rows = attach(usable, place, {"warehouse_id": "warehouse_id"})
+    key = ["location_id", "product_id"]
+    turns = rows.filter(F.col("location_id").isNotNull()).select(*key, *RECEIPT).distinct()
+    earlier = _flows_of_earlier_receipts(turns, usable, closure, uoms, partners, warehouses, pieces)
+    before = flows.groupBy(*key).agg(F.sum("qty_in").alias("__in"), F.sum("qty_out").alias("__out"), F.bool_or("has_in").alias("__has_in"))
+    seen = attach(earlier, before, {c: c for c in key})
+    net = F.coalesce("__in", F.lit(0)) + F.col("run_in") - F.coalesce("__out", F.lit(0)) - F.col("run_out")
+    arrived = F.coalesce("__has_in", F.lit(False)) | (F.col("run_ins") > 0)
+    stock = as_int(as_numeric(F.when(arrived, net).otherwise(0), 12, 2)).alias("product_qoh")
+    rows = attach(rows, seen.select(*key, *RECEIPT, stock), {c: c for c in (*key, *RECEIPT)})
+    return rows.withColumn("product_qoh", F.coalesce("product_qoh", F.lit(0))).drop("location_id")
+
+
+def _flows_of_earlier_receipts(
+    turns: DataFrame, usable: DataFrame, closure: DataFrame, uoms: DataFrame, partners: DataFrame, warehouses: DataFrame, pieces: int | None
+) -> DataFrame:
+    """``turns`` with ``run_in``, ``run_out`` and ``run_ins``: what earlier receipts bring into and take out of the place.
+
+    Only stock to output and output to the agent's output are done within a run. Which stock places such a leg touches
+    depends on centre and agent alone, so the tree is asked once for each pair of them, never per line.
+    """
+    key = ["location_id", "product_id"]
+    agent = receipt_totals(usable).select(*RECEIPT, "agent_warehouse_id")
+    moved = attach(usable, agent, {c: c for c in RECEIPT}).join(
+        partners.select(F.col("id").alias("partner_id")), "partner_id", "left_semi"
+    )
+    moved = (
+        moved.groupBy(*RECEIPT, "agent_warehouse_id", "product_id", "product_uom")
+        .agg(F.sum("product_uom_qty").alias("qty"), F.count(F.lit(1)).alias("moves"))
+        .join(uoms.select(F.col("id").alias("product_uom"), "factor"), "product_uom")
+        .withColumn("qty", (F.col("qty") / F.col("factor")).cast("decimal(28,10)"))
+    )
+    touched = _stock_borders(moved.select("warehouse_id", "agent_warehouse_id").distinct(), closure, warehouses)
+    flows = attach(moved, touched, {"warehouse_id": "warehouse_id", "agent_warehouse_id": "agent_warehouse_id"})
+    flows = flows.select(*RECEIPT, "product_id", "qty", "moves", F.explode("borders").alias("b")).select(
+        F.col("b.location_id").alias("location_id"),
+        "product_id",
+        *RECEIPT,
+        F.when(F.col("b.is_in"), F.col("qty")).alias("in"),
+        F.when(~F.col("b.is_in"), F.col("qty")).alias("out"),
+        F.when(F.col("b.is_in"), F.col("moves")).alias("ins"),
+        F.lit(False).alias("turn"),
+    )
+    both = flows.unionByName(turns.withColumn("turn", F.lit(True)), allowMissingColumns=True)
+    each = both.groupBy(*key, *RECEIPT).agg(*[F.sum(c).alias(c) for c in ("in", "out", "ins")], F.max("turn").alias("turn"))
+    each = in_pieces(each, key, RECEIPT, pieces)
+    sums = {f"run_{c}": F.coalesce(c, F.lit(0)) for c in ("in", "out", "ins")}
+    return running(each, sums, "sum", key, ["piece"], RECEIPT).filter("turn").select(*key, *RECEIPT, *sums)
+
+
+def _stock_borders(pairs: DataFrame, closure: DataFrame, warehouses: DataFrame) -> DataFrame:
+    """``(warehouse_id, agent_warehouse_id, borders)``: the stock places whose border the done legs cross, and the way."""
+    places = warehouses.select(
+        F.col("id").alias("warehouse_id"), F.col("lot_stock_id").alias("stock"), F.col("wh_output_stock_loc_id").alias("output")
+    )
+    agents = places.select(F.col("warehouse_id").alias("agent_warehouse_id"), F.col("output").alias("agent_output"))
+    routed = pairs.join(places, "warehouse_id").join(agents, "agent_warehouse_id", "left")
+    leg = lambda source, dest: F.struct(F.col(source).alias("source"), F.col(dest).alias("dest"))
+    transit = F.col("agent_warehouse_id") != F.col("warehouse_id")
+    legs = F.when(transit, F.array(leg("stock", "output"), leg("output", "agent_output"))).otherwise(F.array(leg("stock", "output")))
+    key = ["warehouse_id", "agent_warehouse_id"]
+    routed = routed.select(*key, F.posexplode(legs).alias("leg", "l")).filter("l.source <> l.dest")
+    sides = F.array(
+        F.struct(F.lit(True).alias("is_in"), F.col("l.dest").alias("node"), F.col("l.source").alias("other")),
+        F.struct(F.lit(False).alias("is_in"), F.col("l.source").alias("node"), F.col("l.dest").alias("other")),
+    )
+    ends = routed.select(*key, "leg", F.explode(sides).alias("s")).select(*key, "leg", "s.*")
+    stock = closure.join(places.select(F.col("stock").alias("ancestor_id")).distinct(), "ancestor_id", "left_semi")
+    inside = ends.join(stock.select(F.col("ancestor_id").alias("location_id"), F.col("descendant_id").alias("node")), "node")
+    outside = stock.select(F.col("ancestor_id").alias("location_id"), F.col("descendant_id").alias("other"))
+    crossing = inside.join(outside, ["location_id", "other"], "left_anti")
+    return crossing.groupBy(*key).agg(F.collect_list(F.struct("location_id", "is_in", "leg")).alias("borders"))
 
 
 def receipt_totals(kit_lines: DataFrame) -> DataFrame:
@@ -105,22 +189,35 @@ def invalid_changes(deliveries: DataFrame, kit_lines: DataFrame) -> DataFrame:
 
 
 def upsert_stock_exceptions(exceptions: DataFrame, kit_lines: DataFrame, today: date) -> DataFrame:
-    """The exception table after kitting: today's open rows add up, new shortages are inserted.
+    """The exception table after kitting, receipt by receipt in the order of their ids.
 
-    Quantities are summed per warehouse and product first.
+    Where a warehouse and product have an open row of today, every line adds its quantity and ``adjusted_qty`` becomes 0.
+    Where they have none, the first receipt with a line that wants more than the stock of its turn inserts one; lines
+    before it leave no trace, those of later receipts add up. Of the inserting receipt only the short lines count; several of
+    them make one row.
     """
     keys = ["warehouse_id", "product_id"]
-    kitted = kit_lines.groupBy(*keys).agg(
-        F.sum("product_uom_qty").alias("kitted_qty"), F.max("product_qoh").alias("initial_qoh")
-    )
-    additions = kitted.select(
-        *keys, "kitted_qty", "initial_qoh", F.lit(0).alias("adjusted_qty"), F.lit("new").alias("state"), F.lit(today).alias("sync_date")
+    wanted, stock = F.col("product_uom_qty"), F.col("product_qoh")
+    receipts = kit_lines.groupBy(*keys, "receipt_id").agg(
+        F.sum(wanted).alias("qty"), F.sum(F.when(wanted - stock > 0, wanted)).alias("short"), F.max(stock).alias("qoh")
     )
     current = (F.col("sync_date") == F.lit(today)) & (F.col("state") == "new")
     opened = F.coalesce(current, F.lit(False))
-    shortage = F.coalesce(F.col("__add_kitted_qty") - F.col("__add_initial_qoh") > 0, F.lit(False))
-    touched = accumulate(exceptions.filter(opened), additions, keys, "kitted_qty", shortage, reset=["adjusted_qty"])
-    return touched.unionByName(exceptions.filter(~opened))
+    kitted = receipts.groupBy(*keys).agg(F.sum("qty").alias("kitted_qty"))
+    touched = accumulate(exceptions.filter(opened), kitted, keys, "kitted_qty", F.lit(False), reset=["adjusted_qty"])
+
+    first = receipts.filter("short is not null").groupBy(*keys).agg(F.min("receipt_id").alias("first"))
+    first = first.join(exceptions.filter(opened).select(*keys), keys, "left_anti")
+    crossing = F.col("receipt_id") == F.col("first")
+    counted = F.when(crossing, F.col("short")).when(F.col("receipt_id") > F.col("first"), F.col("qty"))
+    inserted = receipts.join(first, keys).groupBy(*keys).agg(
+        F.max(F.when(crossing, F.col("qoh"))).alias("initial_qoh"), F.sum(counted).alias("kitted_qty")
+    )
+    inserted = inserted.withColumns({"adjusted_qty": F.lit(0), "state": F.lit("new"), "sync_date": F.lit(today)})
+    shaped = [
+        (F.col(f.name) if f.name in inserted.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in exceptions.schema.fields
+    ]
+    return touched.unionByName(inserted.select(*shaped)).unionByName(exceptions.filter(~opened))
 
 
 def consume_quants(

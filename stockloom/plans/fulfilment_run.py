@@ -36,8 +36,13 @@ def usable(tables: Mapping[str, DataFrame], deliveries: DataFrame, today: date)
 
 
 def with_stock(tables: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:
-    on_hand = balances.qty_on_hand(tables["stock_move"], tables["product_uom"], stock_closure(tables))
-    return kitting.kitting_lines(lines, on_hand, tables["stock_warehouse"], tables["stock_location"])
+    """Stored lines with the stock each receipt finds when its turn comes."""
+    lines, closure = materialize(lines), materialize(stock_closure(tables).select("ancestor_id", "descendant_id"))
+    done = tables["stock_move"].filter(F.col("state") == "done")
+    done = done.join(lines.select("product_id").distinct(), "product_id", "left_semi")
+    flows = balances.subtree_flows(done, tables["product_uom"], closure)
+    names = ("product_uom", "res_partner", "stock_warehouse", "stock_location")
+    return kitting.kitting_lines(lines, flows, closure, *[tables[n] for n in names])
 
 
 def consumption(tables: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:

@@ -117,7 +117,8 @@ def test_exceptions_add_up_and_insert(spark):
     shape = schema("stock_exceptions")
     day = RUN_DATE
     table = spark.createDataFrame([(1, 1, day, "new", 3, 4, 9), (1, 2, day, "done", 3, 4, 9), (1, 4, day, "new", 1, 1, 1)], shape)
-    lines = spark.createDataFrame([(1, 1, 2, 100), (1, 1, 3, 100), (1, 2, 5, 1), (1, 3, 5, 9)], "warehouse_id bigint, product_id bigint, product_uom_qty int, product_qoh int")
+    rows = [(1, 1, 1, 2, 100), (1, 1, 1, 3, 100), (1, 2, 1, 5, 1), (1, 3, 1, 5, 9)]
+    lines = spark.createDataFrame(rows, "warehouse_id bigint, product_id bigint, receipt_id bigint, product_uom_qty int, product_qoh int")
     out = kitting.upsert_stock_exceptions(table, lines, day)
     got = sorted((r.product_id, r.state, r.initial_qoh, r.kitted_qty, r.adjusted_qty) for r in out.collect())
     assert got == [(1, "new", 3, 9, 0), (2, "done", 3, 4, 9), (2, "new", 1, 5, 0), (4, "new", 1, 1, 1)]
