@@ -17,8 +17,10 @@ A fingerprint is entered under seven home keys and looks under about 60 probe ke
 fingerprints seldom meet. Candidates are verified by counting bits.
 
 Groups of thousands of near copies would meet under many keys in all pairs. Links inside a key are therefore first made to
-the smallest fingerprint at home there, an aggregate and a join; probes then only look for homes that belong to another component
-so far, so the pairs of a group that hangs together are never listed and no link between components is lost.
+the smallest fingerprint at home there, an aggregate and a join. Probes then only look for homes that belong to another component
+so far, and a larger one: either of two linked fingerprints finds the other, so the one in the smaller component may do it.
+The pairs of a group that hangs together are never listed, its members do not look for the loose ones around it, and no
+link between components is lost.
 
 Defined results: words are maximal runs of bytes other than blank and 0x09-0x0D after lower-casing A-Z; a text of fewer words
 than the width is hashed as one shingle; null texts and texts without words have fingerprint zero and link like any other.
@@ -159,7 +161,7 @@ def _segments(fps: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
 
 
 def home_keys(fps: np.ndarray) -> np.ndarray:
-    """Seven keys of each fingerprint, a row each."""
+    """Seven keys of each fingerprint, a row of the array each."""
     cut, odd = _segments(fps)
     home = [codewords(x)[0][:, 0] for x in cut]
     keys = [k << 40 | cut[i] << 12 | home[j] for k, (i, j) in enumerate(permutations(range(3), 2))]
@@ -186,7 +188,7 @@ def _homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys = home_keys(batch.column("fp").to_numpy().view(np.uint64))
         row = pa.array(np.repeat(np.arange(len(keys)), keys.shape[1]))
-        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *(batch.column(n).take(row) for n in ("fp", "root"))], ["key", "fp", "root"])
+        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *(c.take(row) for c in batch.columns)], ["key", *batch.schema.names])
 
 
 def _probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,26 +197,28 @@ def _probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(start, 4096)
             keys, rows = probe_keys(part.column("fp").to_numpy().view(np.uint64))
             row = pa.array(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), *(part.column(n).take(row) for n in ("fp", "root"))], ["key", "fp", "root"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), *(c.take(row) for c in part.columns)], ["key", *part.schema.names])
 
 
 def fingerprint_components(fps: DataFrame, errors: int = MOST_ERRORS) -> DataFrame:
     """Distinct fp -> stored (fp, root); root is one fingerprint of the component."""
     if not 0 <= errors <= MOST_ERRORS:
         raise ValueError(f"the keys find up to {MOST_ERRORS} errors")
-    schema = "key bigint, fp bigint, root bigint"
     alone = fps.select("fp", F.col("fp").alias("root"))
-    homes = alone.mapInArrow(_homes, schema).select("key", "fp")
+    homes = alone.select("fp").mapInArrow(_homes, "key bigint, fp bigint")
     hubs = homes.groupBy("key").agg(F.min("fp").alias("hub"))
     near = homes.join(hubs, "key").where(f"fp <> hub and bit_count(fp ^ hub) <= {errors}")
     first = components(near.select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct())
     rooted = materialize(_renamed(alone, first, "fp"))
 
-    # what is at home under a key, by component; a probe looks at other components than its own
-    homes = rooted.mapInArrow(_homes, schema).withColumnRenamed("root", "other")
-    groups = homes.select("key", "other").distinct()
-    strangers = rooted.mapInArrow(_probes, schema).join(groups, "key").where("root <> other")
-    met = strangers.join(homes.withColumnRenamed("fp", "home"), ["key", "other"]).where(f"bit_count(fp ^ home) <= {errors}")
+    # components by size; a probe looks at larger ones than its own
+    sizes = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    sized = materialize(rooted.join(sizes, "root").select("fp", "root", "size"))
+    schema = "key bigint, fp bigint, root bigint, size bigint"
+    homes = sized.mapInArrow(_homes, schema).select("key", F.col("fp").alias("home"), F.col("root").alias("other"), F.col("size").alias("others"))
+    groups = homes.select("key", "other", "others").distinct()
+    strangers = sized.mapInArrow(_probes, schema).join(groups, "key").where("size < others or (size = others and root < other)")
+    met = strangers.select("key", "fp", "root", "other").join(homes.drop("others"), ["key", "other"]).where(f"bit_count(fp ^ home) <= {errors}")
     links = materialize(met.select(F.col("root").alias("a"), F.col("other").alias("b")).distinct())
     return materialize(_renamed(rooted, components(links), "root"))
 
