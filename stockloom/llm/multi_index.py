@@ -29,19 +29,19 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from stockloom.session import materialize
 
-#: Size of the sample, largest codebook, and rows a cell should hold on average.
-SAMPLE, CODEBOOK, PER_CELL = 4000, 64, 64
+#: Size of the sample, largest codebook, and entries a cell should hold on average. The cells' counts, at most the square of
+#: the largest codebook, are what the driver gathers; from 4 million entries on cells hold more than the average.
+SAMPLE, CODEBOOK, PER_CELL = 4000, 256, 64
+#: Queries whose inner products with a piece are formed at once.
+BLOCK = 128
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id and vector (array of doubles) of the rows that take part."""
+    """vec_id and vector (array of doubles) of the rows that take part, equal rows once."""
     values = F.transform("embedding", lambda x: x.cast("double"))
     rows = vectors.where("vec_id is not null and embedding is not null").select("vec_id", values.alias("vector"))
     finite = ~F.exists("vector", lambda x: F.coalesce(F.isnan(x) | (F.abs(x) == float("inf")), F.lit(True)))
-    rows = rows.where(finite & F.exists("vector", lambda x: x != 0))
-    rows = rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    sizes = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    return rows.where(F.size("vector") == (sizes[0]["n"] if sizes else 0))
+    return rows.where(finite & F.exists("vector", lambda x: x != 0)).distinct()
 
 
 def _nearest(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -121,28 +121,37 @@ class MultiIndex:
         return passed
 
 
-def fit_index(rows: DataFrame, top: int, recall: float = 0.97, margin: float = 0.02, sample: int = SAMPLE) -> MultiIndex | None:
-    """Fit on the rows with the smallest hashes of their id; None for an empty table."""
+def fit_index(entries: DataFrame, top: int, recall: float = 0.95, margin: float = 0.02, sample: int = SAMPLE) -> MultiIndex | None:
+    """Fit on the entries with the smallest hashes of their vector; None for an empty table."""
     norm = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    n, largest = rows.agg(F.count(F.lit(1)), F.max(norm)).first()
+    n, largest = entries.agg(F.count(F.lit(1)), F.max(norm)).first()
     if not n:
         return None
-    near = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample)
+    near = entries.orderBy(F.xxhash64("vector"), "vector").limit(sample)
     points = np.array([r["vector"] for r in near.select("vector").collect()], np.float64)
     return MultiIndex(points, n, largest, top, recall, margin)
 
 
-def search(rows: DataFrame, queries: DataFrame, top: int = 20, rows_per_piece: int = 4096, queries_per_piece: int = 1024) -> DataFrame:
-    """query_id, rank, vec_id, score: the ``top`` rows of largest inner product found for each query but itself."""
-    spark = rows.sparkSession
-    index = fit_index(rows, top)
-    if index is None:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    k = len(index.books[0])
+def search(rows: DataFrame, queries: DataFrame, top: int = 20, rows_per_piece: int = 16384, queries_per_piece: int = 16384) -> DataFrame:
+    """query_id, rank, vec_id, score: the ``top`` rows of largest inner product found for each query row but itself."""
+    lengths = sorted(r[0] for r in rows.select(F.size("vector").alias("n")).distinct().collect())
+    if not lengths:
+        return rows.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    found = None
+    for n in lengths:
+        own = (df if len(lengths) == 1 else df.where(F.size("vector") == n) for df in (rows, queries))
+        part = _search(*own, top, rows_per_piece, queries_per_piece)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _search(rows: DataFrame, queries: DataFrame, top: int, rows_per_piece: int, queries_per_piece: int) -> DataFrame:
     # equal vectors: one entry with its top + 1 smallest ids (one may be the query itself)
     by_vector = Window.partitionBy("vector").orderBy("vec_id")
     numbered = rows.withColumn("n", F.row_number().over(by_vector)).where(F.col("n") <= top + 1)
-    entries = numbered.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    entries = materialize(numbered.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
+    index = fit_index(entries, top)
+    k = len(index.books[0])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,30 +164,28 @@ def search(rows: DataFrame, queries: DataFrame, top: int = 20, rows_per_piece: i
         entries.select("ids", "vector").mapInArrow(place, "ids array<bigint>, vector array<double>, one int, two int")
     )
     counts = np.zeros((k, k), np.int64)
-    for r in placed.groupBy("one", "two").agg(F.sum(F.size("ids")).alias("n")).collect():  # k x k rows at most
-        counts[r["one"], r["two"]] = r["n"]
-    sizes = placed.groupBy("one").count()  # k rows at most
-    pieces_of = {r["one"]: -(-r["count"] // rows_per_piece) for r in sizes.collect()}
+    for r in placed.groupBy("one", "two").count().collect():  # k x k rows at most
+        counts[r["one"], r["two"]] = r["count"]
+    pieces_of = {int(c): -(-int(n) // rows_per_piece) for c, n in enumerate(counts.sum(1)) if n}
     query_pieces = max(1, -(-queries.count() // queries_per_piece))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                vectors, ids = _matrix(part.column("vector")), part.column("vec_id").to_pylist()
-                out = []
+                vectors, out = _matrix(part.column("vector")), []
                 for q, (d1, d2) in enumerate(zip(*index.distances(vectors), strict=True)):
                     passed = index.walk(d1, d2, counts)
-                    out += [(ids[q], q, int(c), p, passed[c].tobytes()) for c in np.flatnonzero(passed.any(1)) for p in range(pieces_of.get(int(c), 0))]
-                columns = list(zip(*out, strict=True)) if out else [[]] * 5
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-                ids_, at, one, piece, mask = (pa.array(c, t) for c, t in zip(columns, kinds, strict=True))
+                    out += [(q, int(c), p, np.packbits(passed[c]).tobytes()) for c in np.flatnonzero(passed.any(1)) for p in range(pieces_of.get(int(c), 0))]
+                columns = list(zip(*out, strict=True)) if out else [[]] * 4
+                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
+                at, one, piece, mask = (pa.array(c, t) for c, t in zip(columns, kinds, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [ids_, part.column("vector").take(at), one, piece, mask], ["query_id", "query", "one", "piece", "mask"]
+                    [*(part.column(c).take(at) for c in ("vec_id", "key", "vector")), one, piece, mask], ["query_id", "key", "query", "one", "piece", "mask"]
                 )
 
-    routed = queries.select("vec_id", "vector").mapInArrow(
-        route, "query_id bigint, query array<double>, one int, piece int, mask binary"
+    routed = queries.select("vec_id", "vector", F.xxhash64("vector").alias("key")).mapInArrow(
+        route, "query_id bigint, key bigint, query array<double>, one int, piece int, mask binary"
     )
     routed = routed.withColumn("turn", F.pmod(F.xxhash64("query_id"), F.lit(query_pieces)).cast("int"))
     piece_count = F.element_at(F.create_map(*[F.lit(int(x)) for kv in pieces_of.items() for x in kv]), F.col("one"))
@@ -186,24 +193,25 @@ def search(rows: DataFrame, queries: DataFrame, top: int = 20, rows_per_piece: i
     dealt = dealt.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(query_pieces - 1))))
 
     def rerank(entry: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         if len(entry) and len(asked):
-            queries_, masks = np.stack(asked["query"].to_numpy()), np.stack([np.frombuffer(m, bool) for m in asked["mask"]])
-            for cell, rows_ in entry.groupby("two"):
-                at = np.flatnonzero(masks[:, cell])
-                if len(at):
-                    lengths = rows_["ids"].map(len).to_numpy()
-                    ids = np.concatenate(rows_["ids"].to_numpy())
-                    scores = np.repeat(queries_[at] @ np.stack(rows_["vector"].to_numpy()).T, lengths, axis=1)
-                    found.append((np.repeat(asked["query_id"].to_numpy()[at], len(ids)), np.tile(ids, len(at)), scores.ravel()))
-                    if sum(len(f[0]) for f in found) > 4_000_000:
-                        found = [_best(found, top)]
-        query_id, vec_id, score = _best(found, top) if found else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
-        return pd.DataFrame({"query_id": query_id, "vec_id": vec_id, "score": score})
+            vectors, two = np.stack(entry["vector"].to_numpy()), entry["two"].to_numpy()
+            ids, lengths = np.concatenate(entry["ids"].to_numpy()), entry["ids"].map(len).to_numpy()
+            first = np.cumsum(lengths) - lengths
+            for start in range(0, len(asked), BLOCK):
+                part = asked.iloc[start : start + BLOCK]
+                queries_ = np.stack(part["query"].to_numpy())
+                masks = np.unpackbits(np.stack([np.frombuffer(m, np.uint8) for m in part["mask"]]), axis=1)[:, :k].astype(bool)
+                names = part["query_id"].to_numpy()
+                query, vec_id, score = _best(queries_, names, masks[:, two], vectors, ids, first, lengths, top)
+                found.append((names[query], part["key"].to_numpy()[query], vec_id, score))
+        query_id, key, vec_id, score = (np.concatenate(c) for c in zip(*found, strict=True))
+        return pd.DataFrame({"query_id": query_id, "key": key, "vec_id": vec_id, "score": score})
 
     keys = ("one", "piece", "turn")
-    best = dealt.groupBy(*keys).cogroup(routed.groupBy(*keys)).applyInPandas(rerank, "query_id bigint, vec_id bigint, score double")
-    nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    schema = "query_id bigint, key bigint, vec_id bigint, score double"
+    best = dealt.groupBy(*keys).cogroup(routed.groupBy(*keys)).applyInPandas(rerank, schema)
+    nearest = Window.partitionBy("query_id", "key").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= top)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
@@ -213,17 +221,31 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
-def _best(found: list, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The top rows of each query, itself left out."""
-    query, ids, score = (np.concatenate(c) for c in zip(*found, strict=True))
-    other = query != ids
-    query, ids, score = query[other], ids[other], score[other]
-    order = np.lexsort((ids, -score, query))
-    query, ids, score = query[order], ids[order], score[order]
-    first = np.r_[True, query[1:] != query[:-1]] if len(query) else np.zeros(0, bool)
-    at = np.arange(len(query))
-    keep = at - np.maximum.accumulate(np.where(first, at, 0)) < top if len(query) else first
-    return query[keep], ids[keep], score[keep]
+def _best(
+    queries: np.ndarray, names: np.ndarray, passed: np.ndarray, vectors: np.ndarray, ids: np.ndarray, first: np.ndarray, lengths: np.ndarray, top: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of a query, id and score of the top rows of each among the passed entries, itself left out.
+
+    Entry e has the ids ``first[e]`` to ``first[e] + lengths[e]``.
+    """
+    scores = queries @ vectors.T
+    scores[~passed] = -np.inf
+    least = scores.min(1)
+    if scores.shape[1] > top:
+        least = np.partition(scores, -top - 1, axis=1)[:, -top - 1]
+    query, entry = np.nonzero((scores >= least[:, None]) & passed)
+    score, times = scores[query, entry], lengths[entry]
+    at = np.repeat(np.arange(len(query)), times)
+    place = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first[entry], times)
+    query, entry, score, found = query[at], entry[at], score[at], ids[place]
+    own = found == names[query]
+    own[own] = (vectors[entry[own]] == queries[query[own]]).all(1)
+    query, score, found = query[~own], score[~own], found[~own]
+    order = np.lexsort((found, -score, query))
+    query, score, found = query[order], score[order], found[order]
+    begin = np.searchsorted(query, np.arange(len(queries)))
+    keep = np.arange(len(query)) - begin[query] < top
+    return query[keep], found[keep], score[keep]
 
 
 def op7_nearest_vectors(spark, folder: str) -> DataFrame:

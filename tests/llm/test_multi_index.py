@@ -73,6 +73,33 @@ def test_awkward_rows(spark, tmp_path):
     assert LLM_QUERIES["op7_nearest_vectors"](spark, none).count() == 0
 
 
+def test_a_third_of_rows_equal_and_short(spark):
+    rng = np.random.default_rng(5)
+    unit = rng.normal(size=(2000, 32))
+    unit = (unit / np.linalg.norm(unit, axis=1, keepdims=True)).astype("float32").tolist()
+    short = (0.1 * np.array(unit[0])).astype("float32").tolist()
+    plain = [(i, v) for i, v in enumerate(unit)]
+    for rows in (plain, plain + [(5000 + i, short) for i in range(1000)]):
+        df = index.usable(frame(spark, rows))
+        assert recall(result(index.search(df, df.where("vec_id % 20 = 0"))), brute(rows)) >= 0.9
+
+
+def test_clustered_vectors(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(40, 16))
+    rows = [(i, (centres[i % 40] + 0.1 * rng.normal(size=16)).astype("float32").tolist()) for i in range(1200)]
+    df = index.usable(frame(spark, rows))
+    assert recall(result(index.search(df, df.where("vec_id % 20 = 0"))), brute(rows)) >= 0.9
+
+
+def test_repeated_ids_and_lengths(spark):
+    """Rows of one id with different vectors are rows of their own; each length is searched by itself."""
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [0.0, 1.0]), (7, [0.5, 0.5]), (40, [1.0, 2.0, 3.0]), (41, [1.0, 1.0, 1.0]), (60, [1.0])]
+    df = index.usable(frame(spark, rows))
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in index.search(df, df.where("vec_id % 20 = 0")).collect())
+    assert got == [(20, 1, 7, 0.5), (20, 1, 7, 0.5), (20, 2, 20, 0.0), (20, 2, 20, 0.0), (40, 1, 41, 6.0)]
+
+
 def test_small_pieces(spark):
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=6).astype("float32").tolist()) for i in range(400)]
