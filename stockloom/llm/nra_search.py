@@ -1,18 +1,20 @@
 """Ranked lexical search by NRA: sorted lists are read from the top, documents keep score intervals, nothing is looked up.
 
-Terms are maximal runs of digits, letters and characters beyond ASCII, with A-Z lower-cased. For each term of the queries a list of
-postings is stored, highest impact first, cut into rounds: the first round of a list has about ``block`` postings, each later
-one ``growth`` times what came before it. Where a round ends follows from a histogram of impacts, so a list that holds
-most documents is never numbered in one task, and equal impacts are read together. The lists are range-partitioned
-by round, term and impact; a round reads its own folder only.
-
-After a round a document has a lower score (its terms seen so far) and an upper one (plus, for each term not seen, the highest impact that
-the list has left). With the k-th largest lower score as border a query
-* drops documents whose upper score is below it, or equal to it with a larger id than the k-th document's;
-* takes no new documents once the sum of what all its lists have left is below it, and from then on reads a list only
-  for the documents it still has;
-* ends when no document is left whose interval is open. Its first k documents then have exact scores, ties included.
-Lists that are read to their end leave nothing, so every query ends with the last round at the latest.
+Terms are maximal runs of digits, letters and characters beyond ASCII, with A-Z lower-cased. Corpus counts (N, L, the df of each
+term of a query) come first, over all documents. The postings of the queries' terms are then dealt by document to shards of about
+``SHARD`` postings, however frequent a term is. A shard holds one list per term, highest impact first, and every query
+reads its lists there, ``FIRST_READ`` postings of each at first and ``GROWTH`` times what has been read with each further round.
+
+After a round a document has a lower score (its terms seen so far) and an upper one (plus, for each term not seen, the highest gain
+that the list has left). With the k-th largest lower score of the shard as border a query
+* takes no new documents once the sum of what all its lists have left is below the border;
+* keeps the documents whose upper score is not below the border, ties included;
+* ends when none of these has an open interval. Then membership, ties and scores are exact.
+Lists that are read to their end leave nothing, so every query ends. The best of each shard, k rows a query, are
+merged into the best of all.
+
+A query set too large for one task's memory is cut into blocks of about ``ASKED`` terms; a shard and a block meet in one
+task. Nothing is broadcast by hand or collected but N, L and the number of shards and blocks.
 
 Scores are 64-bit integers: a term's weight w = floor(1000 ln((2N + 2) / (2 df + 1))), its impact in a document
 (10^9 tf) div (1000 tf + 8 m), m = 10 + (90 n N) div L; the score sums w * impact over the query's distinct terms.
@@ -27,16 +29,18 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from stockloom.llm.text_batches import sliced
-from stockloom.session import materialize, new_folder
+from stockloom.session import materialize
 
-#: Postings of a list's first round, and the factor by which what has been read grows with each round.
-FIRST_READ, GROWTH = 4096, 4
-#: Impacts are below a million; a histogram has a bar per so many.
-BAR = 1000
+#: Postings of a list read at first, and the factor by which what has been read grows with each round.
+FIRST_READ, GROWTH = 256, 4
+#: Postings of a shard and terms of a block of queries, on average.
+SHARD, ASKED = 1 << 20, 1 << 16
 PIECE = 1 << 20
 #: Bytes that end a term become blanks, capital letters small ones.
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
@@ -86,123 +90,89 @@ def occurrences(rows: DataFrame) -> DataFrame:
     return counted.select("row", "id", "n", each).select("row", "id", "n", F.col("each.terms").alias("term"), F.col("each.times").alias("tf"))
 
 
-class ImpactLists:
-    """The postings of all terms that the queries hold, by round, and what is left of each list after a round."""
-
-    def __init__(self, documents: DataFrame, vocabulary: DataFrame, block: int, growth: int):
-        """documents (id, text); vocabulary (term, t) with a distinct number t per term and one for the empty term."""
-        found = occurrences(documents).join(vocabulary, "term").select("t", "term", "row", "id", "n", "tf")
-        found = materialize(found)
-        whole = found.where(F.col("term") == WHOLE.decode())
-        self.documents, self.length = whole.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-        if not self.documents:
-            return
-        self.session = documents.sparkSession
-        impact = F.expr(f"(1000000000 * tf) div (1000 * tf + 8 * (10 + (90 * n * {self.documents}) div {self.length}))")
-        postings = found.where(F.col("term") != WHOLE.decode()).select("t", "row", "id", impact.alias("impact"))
-
-        bars = postings.groupBy("t", F.expr(f"impact div {BAR}").alias("bar")).agg(F.count(F.lit(1)).alias("size"), F.max("impact").alias("top"))
-        above = Window.partitionBy("t").orderBy(F.desc("bar")).rowsBetween(Window.unboundedPreceding, -1)
-        before = F.coalesce(F.sum("size").over(above), F.lit(0))
-        late = F.floor(F.log(before / block) / F.log(F.lit(float(growth)))).cast("int") + 1
-        bars = materialize(bars.withColumn("round", F.when(before < block, 0).otherwise(F.greatest(late, F.lit(1)))))
-        #: t, round, top: the highest impact that the round reads
-        self.tops = materialize(bars.groupBy("t", "round").agg(F.max("top").alias("top"), F.min("bar").alias("bar"), F.sum("size").alias("size")))
-        #: t, w
-        held = self.tops.groupBy("t").agg(F.sum("size").alias("df"))
-        weight = F.floor(1000 * F.log((F.lit(2.0) * self.documents + 2) / (F.lit(2.0) * F.col("df") + 1))).cast("bigint")
-        self.weights = held.select("t", weight.alias("w"))
-        self.rounds = 1 + (self.tops.agg(F.max("round")).first()[0] or 0)
-
-        ends = self.tops.groupBy("t").agg(F.sort_array(F.collect_list(F.struct("round", "bar"))).alias("ends"))
-        # rounds run on without a gap only by what they read: the first whose lowest bar is not above the posting's
-        own = F.expr(f"element_at(filter(ends, e -> e.bar <= impact div {BAR}), 1).round").alias("round")
-        lists = postings.join(ends, "t").select(own, "t", "impact", "row", "id")
-        order = ["round", "t", F.desc("impact"), "row"]
-        self.folder = new_folder(self.session, "lists")
-        lists.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("round").parquet(self.folder)
-
-    def read(self, turn: int) -> DataFrame:
-        """t, impact, row, id of one round."""
-        schema = "t bigint, impact bigint, row bigint, id bigint, round int"
-        return self.session.read.schema(schema).parquet(self.folder).where(F.col("round") == turn).drop("round")
-
-    def left(self, turn: int) -> DataFrame:
-        """t, top of the lists that go on after a round."""
-        return self.tops.where(F.col("round") > turn).groupBy("t").agg(F.max("top").alias("top"))
-
-
-def _intervals(state: DataFrame, asked: DataFrame, left: DataFrame, k: int) -> DataFrame:
-    """state with total (what the query's lists have left), upper, and the border: kth score and kth id, null below k documents."""
-    rest = asked.select("q", F.posexplode(F.arrays_zip("ts", "ws")).alias("pos", "term"))
-    rest = rest.select("q", "pos", F.col("term.ts").alias("t"), F.col("term.ws").alias("w")).join(left, "t", "left")
-    rest = rest.select("q", "pos", (F.col("w") * F.coalesce("top", F.lit(0))).alias("rest"))
-    rest = rest.groupBy("q").agg(F.sum("rest").alias("total"), F.sort_array(F.collect_list(F.struct("pos", "rest"))).alias("rests"))
-    first = Window.partitionBy("q").orderBy(F.desc("lower"), F.asc_nulls_last("id"), "row")
-    border = state.select("q", "lower", "id", "row").withColumn("n", F.row_number().over(first)).where(F.col("n") <= k)
-    border = border.where(F.col("n") == k).select("q", F.col("lower").alias("kth"), F.col("id").alias("kth_id"))
-    seen = F.expr("aggregate(seen, 0L, (a, p) -> a + rests[p].rest)")
-    return state.join(rest, "q").join(border, "q", "left").withColumn("upper", F.col("lower") + F.col("total") - seen).drop("rests")
-
-
-def _in_reach() -> Column:
-    tie = (F.col("upper") == F.col("kth")) & F.coalesce(F.col("id") <= F.col("kth_id"), F.col("kth_id").isNull())
-    return F.col("kth").isNull() | (F.col("upper") > F.col("kth")) | tie
-
-
-def search(documents: DataFrame, queries: DataFrame, k: int = 10, block: int = FIRST_READ, growth: int = GROWTH) -> DataFrame:
+def best_documents(lists: list[tuple[np.ndarray, np.ndarray]], ids: np.ndarray, k: int, first_read: int, growth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of the documents 0 .. len(ids) - 1 with a score above 0, and their exact scores.
+
+    A list holds documents and their gains, highest first; ``ids`` decide between equal scores.
+    """
+    lower, read, depth = np.zeros(len(ids), np.int64), [0] * len(lists), first_read
+    while True:
+        for j, (documents, gains) in enumerate(lists):
+            upto = min(depth, len(gains))
+            lower[documents[read[j] : upto]] += gains[read[j] : upto]
+            read[j] = upto
+        left = [int(gains[at]) if at < len(gains) else 0 for at, (_, gains) in zip(read, lists, strict=True)]
+        total = sum(left)
+        border = int(np.partition(lower, -k)[-k]) if len(lower) >= k else 0
+        if total < border or not total:
+            seen = np.zeros(len(ids), np.int64)
+            for at, rest, (documents, _) in zip(read, left, lists, strict=True):
+                if rest:
+                    seen[documents[:at]] += rest
+            upper = lower + (total - seen)
+            reach = np.flatnonzero((lower > 0) & (upper >= border))
+            if (upper[reach] == lower[reach]).all():
+                break
+        depth *= growth
+    reach = reach[np.lexsort((ids[reach], -lower[reach]))][:k]
+    return reach, lower[reach]
+
+
+def _shard_search(k: int, first_read: int, growth: int):
+    def run(postings: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        postings = postings.sort_values(["t", "impact"], ascending=[True, False], ignore_index=True)
+        rows, document = np.unique(postings["row"].to_numpy(), return_inverse=True)
+        place = np.empty(len(rows), np.int64)
+        place[document] = np.arange(len(document))
+        names = postings[["unnamed", "id", "row"]].iloc[place]
+        # the rank of each document among equal scores
+        ids = np.empty(len(rows), np.int64)
+        ids[np.lexsort((names["row"], names["id"], names["unnamed"]))] = np.arange(len(rows))
+        impacts, terms = postings["impact"].to_numpy(), postings["t"].to_numpy()
+        found = []
+        for q, own in asked.groupby("q"):
+            starts, ends = (np.searchsorted(terms, own["t"].to_numpy(), side) for side in ("left", "right"))
+            lists = [(document[i:j], impacts[i:j] * w) for i, j, w in zip(starts, ends, own["w"].tolist(), strict=True) if i < j]
+            if lists:
+                best, scores = best_documents(lists, ids, k, first_read, growth)
+                found.append(names.iloc[best].assign(q=q, score=scores))
+        columns = ["q", "row", "id", "unnamed", "score"]
+        return pd.concat(found)[columns] if found else pd.DataFrame(columns=columns).astype({c: "int64" for c in columns} | {"unnamed": bool})
+
+    return run
+
+
+def search(
+    documents: DataFrame, queries: DataFrame, k: int = 10, first_read: int = FIRST_READ, growth: int = GROWTH, shard: int = SHARD, block: int = ASKED
+) -> DataFrame:
     """documents (id, text), queries (id, text) -> item_id, rank, doc_id, score: the k best documents of each query."""
-    spark = documents.sparkSession
-    empty = spark.createDataFrame([], "item_id bigint, rank int, doc_id bigint, score bigint")
-    words = materialize(occurrences(queries).select(F.col("row").alias("q"), F.col("id").alias("item_id"), "term"))
-    vocabulary = materialize(words.select("term").distinct().select("term", F.monotonically_increasing_id().alias("t")))
-    lists = ImpactLists(documents, vocabulary, block, growth)
-    if not lists.documents:
-        return empty
-
-    terms = words.join(vocabulary, "term").join(lists.weights, "t").where("w > 0")
-    gathered = F.sort_array(F.collect_list(F.struct("t", "w")))
-    asked = terms.groupBy("q", "item_id").agg(gathered.alias("terms"))
-    #: a query's terms by position: numbers and weights
-    asked = materialize(asked.select("q", "item_id", F.col("terms.t").alias("ts"), F.col("terms.w").alias("ws")))
-
-    state = spark.createDataFrame([], "q bigint, row bigint, id bigint, lower bigint, seen array<int>, growing boolean")
-    status, ended = asked.select("q", F.lit(True).alias("growing")), []
-    for turn in range(lists.rounds):
-        read = lists.read(turn)
-        each = asked.join(status.where("growing"), "q").select("q", F.posexplode(F.arrays_zip("ts", "ws")).alias("pos", "term"))
-        each = each.select("q", "pos", F.col("term.ts").alias("t"), F.col("term.ws").alias("w"))
-        news = read.join(each, "t").select("q", "row", "id", (F.col("w") * F.col("impact")).alias("lower"), F.array("pos").alias("seen"))
-        if turn:
-            # queries that take no new documents: their documents meet only the lists in which they have not been seen
-            unseen = F.explode(F.array_except(F.sequence(F.lit(0), F.size("ts") - 1), F.col("seen"))).alias("pos")
-            held = state.where("not growing").select("q", "row", "seen").join(asked, "q").select("q", "row", "ts", "ws", unseen)
-            held = held.select("q", "row", "pos", F.expr("ts[pos]").alias("t"), F.expr("ws[pos]").alias("w"))
-            more = read.join(held, ["t", "row"]).select("q", "row", "id", (F.col("w") * F.col("impact")).alias("lower"), F.array("pos").alias("seen"))
-            news = news.unionByName(more).unionByName(state.select("q", "row", "id", "lower", "seen"))
-        summed = news.groupBy("q", "row").agg(F.max("id").alias("id"), F.sum("lower").alias("lower"), F.flatten(F.collect_list("seen")).alias("seen"))
-        summed = _intervals(materialize(summed), asked, lists.left(turn), k).where(_in_reach())
-        growing = (F.col("total") > 0) & F.coalesce(F.col("total") >= F.col("kth"), F.lit(True))
-        summed = materialize(summed.select("q", "row", "id", "lower", "upper", "seen", growing.alias("growing")))
-        status = summed.groupBy("q").agg(F.max("growing").alias("growing"), F.max(F.col("growing") | (F.col("upper") > F.col("lower"))).alias("open"))
-        # a query without any document so far goes on as long as its lists do
-        status = materialize(asked.select("q").join(status, "q", "left").select("q", F.coalesce("growing", F.lit(True)).alias("growing"), F.coalesce("open", F.lit(True)).alias("open")))
-        ended.append(summed.join(status.where("not open"), "q", "left_semi").select("q", "row", "id", "lower"))
-        status = status.where("open")
-        asked = materialize(asked.join(status, "q", "left_semi"))
-        state = summed.join(status, "q", "left_semi").drop("upper")
-        if not asked.take(1):
-            break
-    if not ended:
-        return empty
-    # after the last round nothing is left, so what is still open has no document
-    items = words.select("q", "item_id").distinct()
-    first = Window.partitionBy("q").orderBy(F.desc("lower"), F.asc_nulls_last("id"), "row")
-    found = ended[0]
-    for part in ended[1:]:
-        found = found.unionByName(part)
-    found = found.where("lower > 0").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k)
-    return found.join(items, "q").select("item_id", "rank", F.col("id").alias("doc_id"), F.col("lower").alias("score"))
+    words = materialize(occurrences(queries).where(F.col("term") != "").select(F.col("row").alias("q"), F.col("id").alias("item_id"), "term"))
+    whole = F.explode(F.array(F.lit(""), F.col("term"))).alias("term")
+    vocabulary = materialize(words.select(whole).distinct().select("term", F.monotonically_increasing_id().alias("t")))
+    found = materialize(occurrences(documents).join(vocabulary, "term").select("t", (F.col("term") == "").alias("whole"), "row", "id", "n", "tf"))
+    totals = F.count_if("whole"), F.coalesce(F.sum(F.when(F.col("whole"), F.col("n"))), F.lit(1)), F.count_if(~F.col("whole"))
+    many, length, size = found.agg(*totals).first()
+
+    impact = F.expr(f"(1000000000 * tf) div (1000 * tf + 8 * (10 + (90 * n * {many}) div {length}))").alias("impact")
+    postings = found.where("not whole").select("t", "row", F.col("id").isNull().alias("unnamed"), F.coalesce("id", F.lit(0)).alias("id"), impact)
+    weight = F.floor(1000 * F.log((F.lit(2.0) * many + 2) / (F.lit(2.0) * F.col("df") + 1))).cast("bigint")
+    weights = postings.groupBy("t").agg(F.count(F.lit(1)).alias("df")).select("t", weight.alias("w")).where("w > 0")
+    asked = materialize(words.join(vocabulary, "term").join(weights, "t").select("q", "t", "w"))
+    blocks = F.lit(asked.count() // block + 1)
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("q"), blocks).cast("int"))
+
+    shards = size // shard + 1
+    # both sides of a cogroup need keys of one type, as an int and a bigint are dealt to different partitions
+    dealt = postings.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
+    dealt = dealt.join(asked.select("t", "block").distinct(), "t")
+    everywhere = asked.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumnRenamed("block", "part")
+    near = dealt.groupBy("shard", "block").cogroup(everywhere.groupBy("at", "part")).applyInPandas(
+        _shard_search(k, first_read, growth), "q bigint, row bigint, id bigint, unnamed boolean, score bigint"
+    )
+    first = Window.partitionBy("q").orderBy(F.desc("score"), "unnamed", "id", "row")
+    best = near.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k)
+    named = best.withColumn("doc_id", F.when(~F.col("unnamed"), F.col("id")))
+    return named.join(words.select("q", "item_id").distinct(), "q").select("item_id", "rank", "doc_id", "score")
 
 
 def op13_ranked_search(spark, folder: str) -> DataFrame:

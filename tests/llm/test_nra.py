@@ -53,7 +53,23 @@ def test_many_rounds_equal_scoring_all(spark):
     queries = [(r["item_id"], r["text"]) for r in sample(table="benchmark")][:12]
     queries += [(900, rows[3][1][:300]), (901, "the of and"), (902, "zzzz-nowhere"), (903, ""), (904, None)]
     expected = plain_search(rows, queries)
-    assert found(search(frame(spark, rows), frame(spark, queries), block=4, growth=3)) == expected
+    assert found(search(frame(spark, rows), frame(spark, queries), first_read=4, growth=3, shard=3000, block=200)) == expected
+
+
+def test_rows_do_not_depend_on_how_partitions_are_dealt(spark):
+    """Many partitions, none put together: shards and queries must still meet."""
+    rows = [(r["doc_id"], r["text"]) for r in sample()][:120]
+    queries = [(r["item_id"], r["text"]) for r in sample(table="benchmark")][:4]
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "23"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        for shard in (1 << 20, 1000):
+            assert found(search(frame(spark, rows), frame(spark, queries), shard=shard)) == plain_search(rows, queries)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_ties_copies_and_awkward_rows(spark):
@@ -61,7 +77,7 @@ def test_ties_copies_and_awkward_rows(spark):
     rows = texts() + copies + [(500 + i, words(25, i)) for i in range(60)]
     queries = [(1, words(12, 4)), (2, words(9, 7)), (2, words(9, 7)), (None, "the river x"), (3, "ZÜRICH 日本語 endoftext"), (4, words(400, 2))]
     for k in (1, 10):
-        assert found(search(frame(spark, rows), frame(spark, queries), k=k, block=8, growth=2)) == plain_search(rows, queries, k)
+        assert found(search(frame(spark, rows), frame(spark, queries), k=k, first_read=8, growth=2, shard=500, block=40)) == plain_search(rows, queries, k)
 
 
 def test_empty_tables(spark):
