@@ -17,8 +17,11 @@ OPEN_ORDER_STATES = ("draft", "progress")
 def subtree_flows(moves: DataFrame, uoms: DataFrame, closure: DataFrame) -> DataFrame:
     """In- and out-flow per ``(location_id, product_id, product_uom)`` over the subtree of each closure ancestor.
 
-    Moves shrink to one row per product, unit and place pair before anything is joined. Moves inside a subtree, or
-    with an unknown place, count in neither direction.
+    Moves inside a subtree, or with an unknown place, count in neither direction. A subtree holds both ends of a move
+    exactly if it holds the lowest place above both, so a move is three marks: what comes in at its destination, what goes
+    out at its source, and both taken back at the lowest common place. Marks add up per node before the tree is asked;
+    the flow of a subtree is the sum of the marks of its nodes. So neither moves nor pairs of places are multiplied by the
+    depth of the tree, only nodes that hold a product are.
     """
     pairs = (
         moves.filter(F.col("location_id").isNotNull() & F.col("location_dest_id").isNotNull())
@@ -28,29 +31,46 @@ def subtree_flows(moves: DataFrame, uoms: DataFrame, closure: DataFrame) -> Data
         .join(uoms.select(F.col("id").alias("product_uom"), "factor"), "product_uom")
         .withColumn("qty", F.col("qty") / F.col("factor"))
     )
-    sides = F.array(
-        F.struct(F.lit(True).alias("is_in"), F.col("location_dest_id").alias("node"), F.col("location_id").alias("other")),
-        F.struct(F.lit(False).alias("is_in"), F.col("location_id").alias("node"), F.col("location_dest_id").alias("other")),
-    )
-    ends = pairs.select("product_id", "product_uom", "qty", F.explode(sides).alias("s")).select(
-        "product_id", "product_uom", "qty", "s.is_in", "s.node", "s.other"
-    )
-    touched = ends.join(
-        closure.select(F.col("ancestor_id").alias("location_id"), F.col("descendant_id").alias("node")), "node"
-    )
-    crossing = touched.join(
-        closure.select(F.col("ancestor_id").alias("location_id"), F.col("descendant_id").alias("other")),
-        ["location_id", "other"],
-        "left_anti",
-    )
-    return crossing.groupBy("location_id", "product_id", "product_uom").agg(
-        F.sum(F.when(F.col("is_in"), F.col("qty"))).alias("qty_in"),
-        F.sum(F.when(~F.col("is_in"), F.col("qty"))).alias("qty_out"),
-        F.bool_or("is_in").alias("has_in"),
-        F.bool_or(~F.col("is_in")).alias("has_out"),
+    ends = ["location_id", "location_dest_id"]
+    pairs = pairs.join(lowest_common(pairs.select(*ends).distinct(), closure), ends, "left")
+
+    def mark(node: str, into: int, out: int):
+        flow = lambda sign: F.lit(sign) * F.col("qty")
+        return F.struct(
+            F.col(node).alias("node"), flow(into).alias("in"), flow(out).alias("out"), F.lit(into).alias("ins"), F.lit(out).alias("outs")
+        )
+
+    marks = F.array(mark("location_dest_id", 1, 0), mark("location_id", 0, 1), mark("common_id", -1, -1))
+    amounts, keys = ("in", "out", "ins", "outs"), ["product_id", "product_uom"]
+    marked = pairs.select(*keys, F.explode(marks).alias("m")).select(*keys, "m.*").filter(F.col("node").isNotNull())
+    marked = marked.groupBy(*keys, "node").agg(*[F.sum(c).alias(c) for c in amounts])
+    above = closure.select(F.col("ancestor_id").alias("location_id"), F.col("descendant_id").alias("node"))
+    flows = marked.join(above, "node").groupBy("location_id", *keys).agg(*[F.sum(c).alias(c) for c in amounts])
+    has_in, has_out = F.col("ins") > 0, F.col("outs") > 0
+    return flows.filter(has_in | has_out).select(
+        "location_id",
+        *keys,
+        F.when(has_in, F.col("in")).alias("qty_in"),
+        F.when(has_out, F.col("out")).alias("qty_out"),
+        has_in.alias("has_in"),
+        has_out.alias("has_out"),
     )
 
 
+def lowest_common(pairs: DataFrame, closure: DataFrame) -> DataFrame:
+    """``(location_id, location_dest_id, common_id)``: the lowest closure ancestor of both, where there is one.
+
+    Of the common ancestors, which lie inside each other, the lowest has the most ancestors itself.
+    """
+    up = closure.select("ancestor_id", "descendant_id")
+    depth = up.groupBy(F.col("descendant_id").alias("ancestor_id")).agg(F.count(F.lit(1)).alias("depth"))
+    up = up.join(depth, "ancestor_id")
+    from_source = up.withColumnRenamed("descendant_id", "location_id")
+    from_dest = up.select("ancestor_id", F.col("descendant_id").alias("location_dest_id"))
+    both = pairs.join(from_source, "location_id").join(from_dest, ["location_dest_id", "ancestor_id"])
+    return both.groupBy("location_id", "location_dest_id").agg(F.max_by("ancestor_id", "depth").alias("common_id"))
+
+
 def _net(flows: DataFrame, name: str) -> DataFrame:
     """Net per location and product; 0 where nothing ever came in, whatever went out."""
     net = F.coalesce(F.sum("qty_in"), F.lit(0)) - F.coalesce(F.sum("qty_out"), F.lit(0))

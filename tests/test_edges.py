@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import date
 from decimal import Decimal
 
@@ -40,6 +41,29 @@ def test_on_hand_without_inflow_is_zero(spark, uoms, closure):
     assert got == {1: 0, 2: Decimal(11)}
 
 
+def test_flows_of_all_places_equal_a_loop(spark, uoms):
+    """Random moves over a random tree: each place counts the moves that cross its border."""
+    rng = random.Random(8)
+    parent = {i: rng.randrange(i) for i in range(1, 25)}
+    above = {i: {i} for i in range(25)}
+    for i in range(1, 25):
+        above[i] |= above[parent[i]]
+    for wanted in (set(range(25)), set(rng.sample(range(25), 7))):
+        closure = spark.createDataFrame([(a, d) for d in above for a in above[d] & wanted], "ancestor_id bigint, descendant_id bigint")
+        rows = [(rng.randint(1, 3), rng.randint(1, 9), rng.randint(1, 3), *(rng.choice([None, 99, *range(25)]) for _ in range(2))) for _ in range(200)]
+        expected = {}
+        for p, q, u, s, d in rows:
+            if u < 3 and s is not None and d is not None:
+                for place in above.get(d, set()) ^ above.get(s, set()):
+                    if place in wanted:
+                        flow = expected.setdefault((place, p, u), [None, None])
+                        k = 0 if place in above.get(d, set()) else 1
+                        flow[k] = (flow[k] or 0) + (q if u == 1 else 2 * q)
+        got = balances.subtree_flows(moves(spark, rows), uoms, closure).collect()
+        assert {(r.location_id, r.product_id, r.product_uom): [r.qty_in, r.qty_out] for r in got} == expected
+        assert all((r.has_in, r.has_out) == (r.qty_in is not None, r.qty_out is not None) for r in got)
+
+
 def test_flow_report_pairs_every_in_unit_with_every_out_unit(spark, uoms, closure):
     rows = moves(spark, [(1, 6, 1, 99, 10), (1, 2, 2, 99, 10), (1, 1, 1, 10, 99), (2, 3, 1, 99, 10)])
     products = spark.createDataFrame([(1, "A", "a", True), (2, "B", "b", True)], "id bigint, default_code string, name string, active boolean")
