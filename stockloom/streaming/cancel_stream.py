@@ -19,18 +19,29 @@ State = Callable[[int], tuple[DataFrame, DataFrame, DataFrame]]
 class LineState:
     """Order lines as they stand before a batch: the table they started from and the changes of all earlier batches.
 
-    Only changed lines are stored, one folder per batch, so a replayed batch replaces its own changes.
+    Only changed lines are stored, one folder per batch, so a replayed batch replaces its own changes. Every ``every``
+    batches the changes so far are put together as a snapshot, one row per changed line; a batch reads the newest snapshot before it
+    and the changes since, however long the stream has been running.
     """
 
-    def __init__(self, folder: str, lines: DataFrame) -> None:
+    def __init__(self, folder: str, lines: DataFrame, every: int = 8) -> None:
         self.lines = lines if "write_uid" in lines.columns else lines.withColumn("write_uid", F.lit(None).cast("bigint"))
-        kept = [f for f in self.lines.schema if f.name in ("id", *CHANGED)]
-        self.changes = Ledger(folder, StructType(kept))
+        kept = StructType([f for f in self.lines.schema if f.name in ("id", *CHANGED)])
+        self.changes, self.snapshots, self.every = Ledger(folder, kept), Ledger(f"{folder.rstrip('/')}-snapshots", kept), every
 
-    def before(self, batch_id: int) -> DataFrame:
+    def changed(self, batch_id: int) -> DataFrame:
+        """The changed lines as they stand before a batch, one row each."""
         spark = self.lines.sparkSession
-        earlier = self.changes.rows(spark).filter(F.col("batch") < batch_id)
-        latest = earlier.groupBy("id").agg(F.max_by(F.struct(*CHANGED), "batch").alias("__new"))
+        # the snapshot of batch b holds the changes up to and with b
+        start = max([b for b in self.snapshots.batches(spark) if b < batch_id], default=None)
+        recent = self.changes.between(spark, -1 if start is None else start + 1, batch_id)
+        if start is not None:
+            recent = recent.unionByName(self.snapshots.between(spark, start, start + 1))
+        latest = recent.groupBy("id").agg(F.max_by(F.struct(*CHANGED), "batch").alias("new"))
+        return latest.select("id", *[F.col(f"new.{c}").alias(c) for c in CHANGED])
+
+    def before(self, batch_id: int) -> DataFrame:
+        latest = self.changed(batch_id).select("id", F.struct(*CHANGED).alias("__new"))
         joined = self.lines.join(latest, "id", "left")
         now = {c: F.when(F.col("__new").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(c)) for c in CHANGED}
         return joined.withColumns(now).select(*self.lines.columns)
@@ -40,6 +51,8 @@ class LineState:
         changed = updated.select("id", *[F.col(c).cast(self.lines.schema[c].dataType).alias(c) for c in CHANGED]).join(old, "id")
         changed = changed.filter(~F.struct(*CHANGED).eqNullSafe(F.col("__old"))).select("id", *CHANGED)
         self.changes.write(changed, batch_id)
+        if batch_id % self.every == self.every - 1:
+            self.snapshots.write(self.changed(batch_id + 1), batch_id)
 
 
 def start_cancellations(

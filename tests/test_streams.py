@@ -9,6 +9,7 @@ from stockloom.operators.cancellation import apply_cancellations
 from stockloom.operators.intake import DELIVERY_KEY, mark_duplicate_deliveries, unprocessed
 from stockloom.session import new_folder
 from stockloom.sources.schemas import schema
+from stockloom.sources.tables import conform
 from stockloom.streaming.catalogue import STREAM_QUERIES
 from stockloom.streaming.cancel_stream import LineState, start_cancellations
 from stockloom.streaming.intake_stream import accept_deliveries, start_intake
@@ -70,6 +71,39 @@ def test_later_batches_see_earlier_reductions(spark, business):
     assert lines.changes.rows(spark).count() == 2
 
 
+def test_a_batch_reads_the_last_snapshot_and_what_came_since(spark):
+    """Thirty batches, some replayed: the same lines as from all changes, out of a bounded number of folders."""
+    shape = "id bigint, product_uom_qty int, commission decimal(12,2), state string, write_uid bigint"
+    first = spark.createDataFrame([(i, 50, None, "confirmed", None) for i in range(20)], shape)
+    lines = LineState(new_folder(spark, "state"), first, every=4)
+    quantity = {i: 50 for i in range(20)}
+    for batch_id in (0, 1, 2, 3, 3, 4, 5, 6, 7, 7, *range(8, 14)):
+        before = {r.id: r.product_uom_qty for r in lines.before(batch_id).collect()}
+        hit = {batch_id % 20, batch_id * 7 % 20}
+        lines.store(spark.createDataFrame([(i, q - (i in hit), None, "confirmed", None) for i, q in before.items()], shape), batch_id)
+        quantity = {i: q - (i in hit) for i, q in before.items()}
+    assert {r.id: r.product_uom_qty for r in lines.before(14).collect()} == quantity
+    assert sum(50 - q for q in quantity.values()) == sum(len({b % 20, b * 7 % 20}) for b in range(14))
+    assert lines.snapshots.batches(spark) == [3, 7, 11]
+    read = {f.rsplit("/", 2)[1] for f in lines.changed(14).inputFiles()}
+    assert read == {"batch=11", "batch=12", "batch=13"}
+    # a replay of batch 11 does not see its own snapshot
+    read = {f.rsplit("/", 2)[1] for f in lines.changed(11).inputFiles()}
+    assert read == {"batch=7", "batch=8", "batch=9", "batch=10"}
+
+
+def test_a_ledger_with_a_horizon_looks_back_so_far_only(spark):
+    ledger = Ledger(new_folder(spark, "ledger"), schema("ofs_delivery"), horizon=2)
+    row = spark.createDataFrame([(9, 1, 1, 1, 2, False)], "id bigint, warehouse_id bigint, receipt_id bigint, line_id bigint, qty int, processed boolean")
+    row = conform(row, "ofs_delivery")
+    accepted = []
+    for batch_id, rows in enumerate([row, row, row.limit(0), row.limit(0), row]):
+        ledger.write(accept_deliveries(rows, ledger.before(spark, batch_id)), batch_id)
+        accepted.append(ledger.between(spark, batch_id, batch_id + 1).count())
+        assert len(ledger.before(spark, batch_id).inputFiles()) <= 2 * 4
+    assert accepted == [1, 0, 0, 0, 1]
+
+
 def test_queries_do_not_depend_on_the_files(spark):
     whole = "/root/testdata/sf0.001"
     cut = new_folder(spark, "cut")
