@@ -22,6 +22,8 @@ from stockloom.session import materialize
 
 #: A text stays if its words agree on one language to this degree.
 LEAST_AGREEMENT = 0.5
+#: Mixing uses a document so many times at most; a domain too small for its share is warned of.
+MOST_USES = 16.0
 
 
 def _aside(docs: DataFrame) -> tuple[DataFrame, list]:
@@ -61,10 +63,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are repeated until expected tokens per domain have the wanted shares; none is left out."""
+    """Documents are repeated, up to MOST_USES times, until expected tokens per domain have the wanted shares; none is left out."""
     labelled = domain_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"), docs)
     model = fit_domains(labelled, docs, sorted(TARGETS))
-    mix = solve(materialize(membership(docs, model)), model, TARGETS, least=1.0)
+    mix = solve(materialize(membership(docs, model)), model, TARGETS, least=1.0, most=MOST_USES)
     renamed, back = _aside(docs)
     return mixed_documents(renamed, mix).select(*back)
 
