@@ -124,6 +124,7 @@ def pack_documents(
             packer.out = []
         if packer:
             yield rows([p for pieces in packer.held.values() for p in pieces], True)
+        encoder.rest()
 
     source = documents.select("doc_id", "text", F.spark_partition_id().alias("part"))
     pieces = materialize(source.mapInArrow(pack, f"{PIECE}, part int, open boolean"))

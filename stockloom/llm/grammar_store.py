@@ -217,6 +217,7 @@ def write_token_files(documents: DataFrame, path: str, vocabulary: str, end_id:
                     ids, docs, size, number = [], [], 0, number + 1
         if docs:
             yield close()
+        encoder.rest()
 
     ordered.mapInArrow(shards, SHARD_SCHEMA).write.parquet(path)
 

@@ -6,9 +6,9 @@ that adds the blank itself. Control strings inside a text are plain text. Per ba
 of B the token of A. An overlap begins where one of its tokens does, so the two directions together hold every overlapping pair
 once, equal starts being taken from the first only. Ends that both sides share close a group.
 
-Both sides cut a text at a blank after a character other than white space (no entry of either vocabulary reaches over that
-place), so the parts between are encoded once per worker and kept while they take at most ``KEPT_BYTES``. A long text is aligned in
-stretches that end where both sides do.
+Both sides cut a text at a blank or line feed after a character other than white space (no entry of either vocabulary reaches
+over that place), so the parts between are encoded once per worker and kept, in two generations of ``KEPT`` parts at most. A long text is
+aligned in stretches that end where both sides do.
 
 Counts over the corpus: a task writes its documents in chunks and, for each chunk, the distinct id pairs with their links. The pairs are
 summed, the highest count of each B id is taken, and a chunk gets back the counts of its own pairs only. Nothing is broadcast,
@@ -21,8 +21,8 @@ gives an empty result.
 
 from __future__ import annotations
 
-import os
 import re
+from array import array
 from collections.abc import Iterator
 from hashlib import sha256
 
@@ -33,19 +33,18 @@ import pyarrow as pa
 import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
-from tokenizers import Tokenizer
 
 from stockloom.llm.text_batches import sliced
-from stockloom.llm.tokens import ALPHABET
+from stockloom.llm.tokens import ALPHABET, TextEncoder
 from stockloom.session import materialize
 
 #: Tokens aligned at a time; tokens and documents that make a chunk.
 STRETCH, CHUNK, MOST_DOCUMENTS = 1 << 19, 1 << 21, 1 << 16
-#: Bytes that kept parts may take, and the length from which a part is not kept.
-KEPT_BYTES, LONGEST_KEPT = 48 << 20, 64
+#: Parts of a generation, and the length from which a part is not kept.
+KEPT, LONGEST_KEPT = 200_000, 64
 #: An id of side B takes so many bits of a pair's code, and a code so many of a key with the document's number.
 B_BITS, CODE_BITS = 20, 40
-_CUT = re.compile(r" (?<!\s )")
+_CUT = re.compile(r"([ \n])(?<!\s[ \n])")
 _BYTE_OF = {c: b for b, c in ALPHABET.items()}
 
 
@@ -70,19 +69,21 @@ class TwoTokenizers:
     _loaded: dict[tuple[str, str], TwoTokenizers] = {}
 
     def __init__(self, a_path: str, b_path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.a_tokenizer = Tokenizer.from_file(a_path)
-        self.a_tokenizer.encode_special_tokens = True
+        self.a_encoder = TextEncoder(a_path)
+        self.a_encoder.tokenizer.encode_special_tokens = True
         self.b_model = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        names = [self.a_tokenizer.id_to_token(i) for i in range(self.a_tokenizer.get_vocab_size())]
+        tokenizer = self.a_encoder.tokenizer
+        names = [tokenizer.id_to_token(i) for i in range(tokenizer.get_vocab_size())]
         self.a = Side([bytes(_BYTE_OF[c] for c in n) if set(n) <= _BYTE_OF.keys() else n.encode() for n in names])
         pieces = [self.b_model.id_to_piece(i) for i in range(self.b_model.vocab_size())]
         self.b = Side([bytes([int(p[3:5], 16)]) if self.b_model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)])
         if len(names) > 1 << (CODE_BITS - B_BITS) or len(pieces) > 1 << B_BITS:
             raise ValueError("vocabularies are too large for the pair codes")
+        #: every byte has an entry of its own, so without a normalizer side A gives any text back
+        self.lossless = tokenizer.normalizer is None and len({t for t in self.a.token_bytes if len(t) == 1}) == 256
         self.blank = [self.b_model.piece_to_id("▁")]
         self.parts: dict[str, tuple[bytes, bytes, bool]] = {}
-        self.kept = 0
+        self.older: dict[str, tuple[bytes, bytes, bool]] = {}
 
     @classmethod
     def of(cls, a_path: str, b_path: str) -> TwoTokenizers:
@@ -90,25 +91,46 @@ class TwoTokenizers:
             cls._loaded[a_path, b_path] = cls(a_path, b_path)
         return cls._loaded[a_path, b_path]
 
-    def part(self, part: str) -> tuple[bytes, bytes, bool]:
-        """Ids of a blank and the part on both sides, and whether both give its bytes back."""
-        a = np.array(self.a_tokenizer.encode(" " + part, add_special_tokens=False).ids, np.uint32).tobytes()
-        b = np.array(self.b_model.encode(part) if part else self.blank, np.uint32).tobytes()
-        whole = (" " + part).encode()
-        found = a, b, self.a.joined(a) == whole == self.b.joined(b)
-        if len(part) <= LONGEST_KEPT:
-            if self.kept > KEPT_BYTES:
-                self.parts, self.kept = {}, 0
-            self.parts[part] = found
-            self.kept += 400 + len(part) + len(a) + len(b)
-        return found
+    def _encoded(self, parts: list[str]) -> list[tuple[bytes, bytes, bool]]:
+        """Per part, its ids on both sides and whether both give its bytes back."""
+        found = list(map(self.parts.get, parts))
+        if all(found):
+            return found
+        older, new = self.older.get, {}
+        for part in {p for p, f in zip(parts, found, strict=True) if f is None}:
+            if kept := older(part):
+                self.parts[part] = kept
+            else:
+                new[part] = None
+        own = dict(zip(new, self._encode(list(new)), strict=True))
+        if len(self.parts) + len(own) > KEPT:
+            self.parts, self.older = {}, self.parts
+        self.parts.update((p, f) for p, f in own.items() if len(p) <= LONGEST_KEPT)
+        return [f or own.get(p) or self.parts.get(p) or older(p) or self.older[p] for p, f in zip(parts, found, strict=True)]
+
+    def _encode(self, parts: list[str]) -> list[tuple[bytes, bytes, bool]]:
+        bare = [p[1:] if p[0] == " " else p for p in parts]
+        out = []
+        for part, b in zip(parts, self.b_model.encode(bare, num_threads=1), strict=True):
+            if part == " ":
+                b = self.blank
+            elif part[0] == "\n":
+                b = b[1:]  # without the blank that the model adds
+            a, b, whole = self.a_encoder.piece(part), array("I", b), part.encode()
+            same = whole == b"".join([self.b.token_bytes[i] for i in b]) and (self.lossless or whole == self.a.joined(a))
+            out.append((a, b.tobytes(), same))
+        return out
+
+    def rest(self) -> None:
+        """At the end of a task: one generation of parts stays for the worker's next one."""
+        self.parts, self.older = max(self.parts, self.older, key=len), {}
 
     def stretches(self, text: str | None) -> Iterator[tuple[bytes, bytes]]:
         """Ids of both sides, in stretches that end where both do; nothing if a side does not give the text back."""
         if not text:
             return
-        get, own = self.parts.get, self.part
-        found = [get(p) or own(p) for p in _CUT.split(" " + text)[1:]]
+        cut = _CUT.split(" " + text)
+        found = self._encoded([mark + rest for mark, rest in zip(cut[1::2], cut[2::2], strict=True)])
         a, b, whole = zip(*found, strict=True)
         if not all(whole):
             a, b = [b"".join(a)], [b"".join(b)]
@@ -270,6 +292,7 @@ def aligned(documents: DataFrame, a_path: str, b_path: str) -> DataFrame:
                     chunk, number = _Chunk(), number + 1
         if chunk.ids:
             yield chunk.batch(number, both)
+        both.rest()
 
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return rows.mapInArrow(run, _SCHEMA)

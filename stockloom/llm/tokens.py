@@ -21,6 +21,7 @@ _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 ALPHABET = {b: chr(b) for b in _PRINTABLE}
 ALPHABET |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(_PRINTABLE))}
 _BLANK = ALPHABET[0x20]
+_WRITTEN = str.maketrans({chr(b): c for b, c in ALPHABET.items()})
 
 
 def _bytes(ids: list[int]) -> bytes:
@@ -47,12 +48,22 @@ class TextEncoder:
             cls._loaded[vocabulary] = cls(vocabulary)
         return cls._loaded[vocabulary]
 
+    def piece(self, part: str) -> bytes:
+        """Ids of a part that begins with a blank or a line feed after a character other than white space; not kept."""
+        if part[0] == " ":
+            return self._word(_BLANK, part[1:])
+        return self._whole(part) if part[1:2].isspace() else self._mark("\n") + self._word("", part[1:])
+
+    def rest(self) -> None:
+        """At the end of a task: one generation of parts stays for the worker's next one, the fuller of the two."""
+        self.parts, self.older = max(self.parts, self.older, key=len), {}
+
     def _whole(self, text: str) -> bytes:
         return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _letters(self, blank: str, word: str) -> bytes:
         """Ids of letters only, after a blank or not: one piece of the pre-tokenizer, so the model alone decides."""
-        mapped = blank + (word if word.isascii() else "".join([ALPHABET[b] for b in word.encode()]))
+        mapped = blank + (word if word.isascii() else word.encode().decode("latin-1").translate(_WRITTEN))
         return _bytes([t.id for t in self.model.tokenize(mapped)])
 
     def _word(self, blank: str, part: str) -> bytes:
@@ -88,7 +99,7 @@ class TextEncoder:
         if not head or text[-1] in " \n" or "  " in text or "\n " in text or "\0" in text or any([c in text for c in _RARE_SPACE]):
             return self._careful(head, rest)
         found = list(map(self.parts.get, rest))
-        if None in found:
+        if not all(found):  # no part is without ids
             found = [self._cached(part) if ids is None else ids for part, ids in zip(rest, found, strict=True)]
         return self._whole(head) + b"".join(found)
 
