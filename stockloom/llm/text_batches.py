@@ -50,8 +50,12 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def sliced(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each part holds about max_bytes of text, one row at least; memory follows that size."""
+def sliced(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = 512 << 10) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each part holds about max_bytes of text, one row at least; memory follows that size.
+
+    The arrays made over a part take some eighty times its bytes. Arrow's spare memory is given back at the end, as a worker
+    is kept for other tasks.
+    """
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes, dtype=np.int64)
@@ -61,6 +65,7 @@ def sliced(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = 2 <<
             stop = max(start + 1, int(np.searchsorted(ends, before + max_bytes, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+    pa.default_memory_pool().release_unused()
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
