@@ -10,13 +10,18 @@ Every step needs only the domain totals of A r, one distributed sum. A rate depe
 on the steps' vectors so far, so rates are recomputed from those few vectors whenever they are needed: there is no state
 to keep per document, and a lost executor repeats a scan.
 
+Steps go on until the totals are within 1e-6 of their targets, or hardly move because the bounds on the rates are in the
+way, or ``most_steps`` are taken. :attr:`Mix.missed` says how far each domain stays from its target, and :func:`solve` warns of domains that stay away, those
+without any tokens among them.
+
 Defined results: null texts count as empty, have no tokens and the posteriors of an empty text; without labelled rows all
 domains are equally likely; repeated rows are documents of their own; an empty table gives an empty result and no steps.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import warnings
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -77,14 +82,21 @@ class Mix:
 
     model: DomainModel
     least: float
+    most: float = np.inf
     steps: list[np.ndarray] = field(default_factory=list)
     targets: np.ndarray | None = None
     reached: np.ndarray | None = None
 
+    @property
+    def missed(self) -> dict[str, float]:
+        """What each domain lacks of its target (or has too much, below 0), as a share of all tokens."""
+        total = self.targets.sum() or 1.0
+        return dict(zip(self.model.domains, ((self.targets - self.reached) / total).tolist(), strict=True))
+
     def rates(self, posteriors: np.ndarray) -> np.ndarray:
         out = np.ones(len(posteriors))
         for step in self.steps:
-            out = np.maximum(self.least, out - posteriors @ step)
+            out = np.clip(out - posteriors @ step, self.least, self.most)
         return out
 
 
@@ -103,9 +115,14 @@ def membership(documents: DataFrame, model: DomainModel) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, tokens bigint, posteriors array<double>")
 
 
-def solve(members: DataFrame, model: DomainModel, targets: dict[str, float], least: float = 0.0, most_steps: int = 40) -> Mix:
-    """Fit the rates. The total is the smallest one at which no domain has to shrink; members must be stored."""
-    mix, k = Mix(model, least), len(model.domains)
+def solve(
+    members: DataFrame, model: DomainModel, targets: dict[str, float], least: float = 0.0, most: float = np.inf, most_steps: int = 60
+) -> Mix:
+    """Fit the rates, between least and most. The total is the smallest one at which no domain has to shrink; members must be stored.
+
+    What is missed when the steps end is in the result, and a domain that misses more than 1e-4 of all tokens is warned of.
+    """
+    mix, k = Mix(model, least, most), len(model.domains)
     p = [F.col("posteriors")[i] for i in range(k)]
     gram = [F.sum(F.col("tokens") * p[i] * p[j]) for i in range(k) for j in range(i, k)]
     first = members.agg(*[F.sum(F.col("tokens") * x) for x in p], *gram).first()
@@ -119,7 +136,7 @@ def solve(members: DataFrame, model: DomainModel, targets: dict[str, float], lea
     total = (natural[wanted] / share[wanted]).max() if natural.sum() else 0.0
     mix.targets, mix.reached = share * total, natural
     inverse = np.linalg.pinv(g + np.eye(k) * 1e-9 * max(1.0, np.trace(g)))
-    for _ in range(most_steps if total else 0):
+    while total and len(mix.steps) < most_steps:
         if np.abs(mix.reached - mix.targets).max() <= 1e-6 * total:
             break
         mix.steps.append(inverse @ (mix.reached - mix.targets))
@@ -127,8 +144,11 @@ def solve(members: DataFrame, model: DomainModel, targets: dict[str, float], lea
         reached = np.array(list(members.agg(*[F.sum(used * x) for x in p]).first()))
         moved = np.abs(reached - mix.reached).max()
         mix.reached = reached
-        if moved <= 1e-9 * total:
+        if moved <= 1e-6 * total:
             break
+    for domain, lack in mix.missed.items():
+        if abs(lack) > 1e-4:
+            warnings.warn(f"domain {domain} misses its target by {lack:.2%} of all tokens", stacklevel=2)
     return mix
 
 
@@ -140,7 +160,7 @@ def rate_column(mix: Mix) -> Column:
 
     def apply(rate: Column, step: Column) -> Column:
         dot = F.aggregate(F.zip_with("posteriors", step, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-        return F.greatest(F.lit(float(mix.least)), rate - dot)
+        return F.least(F.lit(float(mix.most)), F.greatest(F.lit(float(mix.least)), rate - dot))
 
     return F.aggregate(steps, F.lit(1.0), apply)
 
@@ -151,11 +171,11 @@ def copies_column(rate: Column, *identity: Column | str) -> Column:
     return (F.floor(rate) + (chance < rate - F.floor(rate)).cast("int")).cast("int")
 
 
-def domain_labels(labels: DataFrame, documents: DataFrame) -> DataFrame:
-    """Rated documents by language where they are good and not toxic, the others as one domain."""
+def domain_labels(labels: DataFrame, documents: DataFrame, domains: Collection[str] = tuple(TARGETS)) -> DataFrame:
+    """Rated documents by language where they are good, not toxic and in a language that is a domain; all others as ``rest``."""
     rated = labels.where("quality is not null").select("doc_id", ((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("good"))
     joined = documents.select("doc_id", "lang").join(rated, "doc_id")
-    return joined.select("doc_id", F.when(F.col("good"), F.col("lang")).otherwise(F.lit("rest")).alias("label"))
+    return joined.select("doc_id", F.when(F.col("good") & F.col("lang").isin(*domains), F.col("lang")).otherwise(F.lit("rest")).alias("label"))
 
 
 def mixed_documents(documents: DataFrame, mix: Mix) -> DataFrame:

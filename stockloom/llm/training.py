@@ -29,12 +29,20 @@ _SYMBOL[ord("0") : ord("9") + 1] = False
 def labelled_sample(labels: DataFrame, documents: DataFrame, per_label: int, slots: int) -> DataFrame:
     """labels (doc_id, label) and documents (doc_id, text) -> stored slot, label, text; rows with nulls are left out.
 
-    per_label up to 1000 lets every task drop all but its own first rows before anything is shuffled, so a label that
-    holds most rows costs no more than others. The chosen ids, labels x per_label at most, are small enough to broadcast.
+    Labels are counted first. Of a label with n rows only those whose hash lies in about the lowest (per_label + slack) / n of all
+    hashes are ordered, however many tasks they come from; should these be too few, all rows of the label are.
+    The chosen ids, labels x per_label at most, are small enough to broadcast.
     """
     known = labels.where("doc_id is not null and label is not null").select("doc_id", "label")
+    counts = known.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
+    place = F.xxhash64("doc_id") / F.lit(2.0**64) + 0.5
+    enough = per_label + 10 * per_label**0.5 + 100
+    low = known.join(counts, "label").where(place * F.col("rows") <= enough).select("doc_id", "label")
+    short = counts.join(low.groupBy("label").agg(F.count(F.lit(1)).alias("low")), "label", "left")
+    short = short.where(F.coalesce("low", F.lit(0)) < F.least(F.lit(per_label), "rows")).select("label")
+    low = low.join(short, "label", "left_anti").unionByName(known.join(short, "label", "left_semi"))
     first = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_label).drop("n")
+    chosen = low.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_label).drop("n")
     chosen = chosen.groupBy("doc_id").agg(F.min("label").alias("label"))
     texts = documents.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     texts = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
@@ -50,10 +58,11 @@ def average_rounds(sample: DataFrame, fit: Callable[[pd.DataFrame, np.ndarray],
         run = _slot_fitter(fit, shared)
         rows = sample.groupBy("slot").applyInPandas(run, "slot int, weights binary").collect()  # a row per slot
         if not rows:
+            shared.destroy()
             return start
         found = [np.frombuffer(r["weights"], np.float32) for r in sorted(rows, key=lambda r: r["slot"])]
         start = np.mean(found, axis=0, dtype=np.float64).astype(np.float32)
-        shared.unpersist()
+        shared.destroy()
     return start
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stockloom.llm import crf_language as crf, ordinal_quality as quality, soft_mixing as mixing
 from stockloom.llm.queries import LLM_QUERIES
-from stockloom.llm.training import text_features, word_counts
+from stockloom.llm.training import labelled_sample, text_features, word_counts
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -34,6 +34,17 @@ def test_features_do_not_depend_on_the_batch():
     assert word_counts(column).tolist() == [len([w for w in (t or "").replace(" ", "_").split()]) for _, t in texts()]
 
 
+def test_labelled_sample_takes_the_lowest_hashes(spark):
+    rows = [(i, "a" if i % 3 else "b") for i in range(3000)] + [(5000 + i, "c") for i in range(3)] + [(None, "a"), (6000, None)]
+    labels = spark.createDataFrame(rows, "doc_id bigint, label string").repartition(7)
+    docs = spark.createDataFrame([(i, f"t{i}") for i, _ in rows], "doc_id bigint, text string")
+    hashed = labels.where("doc_id is not null and label is not null").select("label", F.xxhash64("doc_id").alias("h"), "doc_id").collect()
+    for per_label in (1, 20, 900):
+        got = sorted((r.label, r.doc_id) for r in labelled_sample(labels, docs, per_label, 2).collect())
+        want = [(label, r.doc_id) for label in "abc" for r in sorted((r for r in hashed if r.label == label), key=lambda r: (r.h, r.doc_id))[:per_label]]
+        assert got == sorted(want)
+
+
 # -- quality ----------------------------------------------------------------------------------------------------------
 
 
@@ -207,6 +218,39 @@ def test_mix_reaches_its_targets(spark):
         assert abs(totals[d] / sum(totals.values()) - share) < 1e-4
 
 
+def test_other_languages_join_the_rest(spark):
+    docs = spark.createDataFrame([(i, lang, "x") for i, lang in enumerate(["en", "it", None, "de", "en"])], "doc_id bigint, lang string, text string")
+    labels = spark.createDataFrame([(0, 1, 0), (1, 1, 0), (2, 1, 0), (3, 1, 0), (4, 0, 0)], "doc_id bigint, quality int, toxic int")
+    got = {r.doc_id: r.label for r in mixing.domain_labels(labels, docs).collect()}
+    assert got == {0: "en", 1: "rest", 2: "rest", 3: "de", 4: "rest"}
+
+
+def posteriors(spark, rows):
+    return spark.createDataFrame([(i, t, p) for i, (t, p) in enumerate(rows)], "doc_id bigint, tokens bigint, posteriors array<double>").cache()
+
+
+def test_steps_cut_short_are_reported(spark):
+    rows = [(100, [1.0, 0.0]), (100, [0.2, 0.8]), (50, [0.5, 0.5]), (900, [0.9, 0.1])]
+    model = mixing.DomainModel(list("ab"), np.zeros((2, 1)))
+    whole = mixing.solve(posteriors(spark, rows), model, {"a": 0.4, "b": 0.6})
+    assert max(map(abs, whole.missed.values())) < 1e-4
+    with pytest.warns(UserWarning, match="misses its target"):
+        short = mixing.solve(posteriors(spark, rows), model, {"a": 0.4, "b": 0.6}, most_steps=1)
+    assert len(short.steps) == 1 and max(map(abs, short.missed.values())) > 1e-4
+
+
+def test_a_domain_out_of_reach_is_reported(spark):
+    rows = [(100, [0.9, 0.1, 0.0]), (100, [0.2, 0.8, 0.0]), (50, [0.5, 0.5, 0.0])]
+    model = mixing.DomainModel(list("abc"), np.zeros((3, 1)))
+    with pytest.warns(UserWarning, match="domain c misses"):
+        mix = mixing.solve(posteriors(spark, rows), model, {"a": 0.4, "b": 0.4, "c": 0.2}, most=8.0, most_steps=6)
+    assert mix.missed["c"] > 0.19
+    with pytest.warns(UserWarning, match="misses its target"):
+        capped = mixing.solve(posteriors(spark, rows), model, {"a": 0.05, "b": 0.95}, least=1.0, most=3.0, most_steps=6)
+    rates = capped.rates(np.array([p for _, p in rows]))
+    assert rates.min() >= 1 and rates.max() <= 3
+
+
 def test_mixing_of_awkward_rows(spark, awkward):
     got = LLM_QUERIES["op2_mixing"](spark, awkward).collect()
     assert len(got) == len(texts()) and all(np.isfinite(r.rate) for r in got)
