@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stockloom.operators.maintenance import apply_changes
 from stockloom.sources.schemas import TABLES, schema
 
 
@@ -36,3 +37,23 @@ def conform(df: DataFrame, name: str) -> DataFrame:
 def save(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
     """Write a new version of a table. A table read in the same plan needs another path."""
     df.write.mode("errorifexists").format(fmt).partitionBy(*partition_by).save(path)
+
+
+def rewrite_changed(spark: SparkSession, folder: str, changes: DataFrame, partition_by: Sequence[str], key: str = "id") -> None:
+    """Apply a change set to a stored, partitioned table, writing only the partitions that hold a changed row.
+
+    The partitions are found by a join of keys; the read that follows is pruned to them at run time, and the dynamic
+    overwrite replaces them at its commit. Files of other partitions are not touched, and a run that fails leaves the table as
+    it was. A change set may not name a partition column, as a row would have to leave one partition and enter another.
+    """
+    moved = set(partition_by) & set(changes.columns)
+    if moved:
+        raise ValueError(f"changes would move rows between partitions: {sorted(moved)}")
+    table = spark.read.parquet(folder)
+    touched = table.join(changes.select(key), key, "left_semi").select(*partition_by).distinct()
+    touched = touched.select(*[F.col(c).alias(f"__touched_{c}") for c in partition_by])
+    same = F.lit(True)
+    for name in partition_by:
+        same = same & F.col(name).eqNullSafe(F.col(f"__touched_{name}"))
+    rows = apply_changes(table.join(touched, same, "left_semi"), changes, key)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(folder)
