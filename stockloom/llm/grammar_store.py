@@ -172,15 +172,30 @@ class Shard:
         return flat[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
 
     def document(self, k: int) -> np.ndarray:
-        return self.expand(self.symbols[self.first[k] : self.first[k + 1]])
+        symbols = self.symbols[self.first[k] : self.first[k + 1]]
+        return self._walk(symbols, 0, int(self.length_of(symbols).sum()))
 
     def token_range(self, k: int, start: int, stop: int) -> np.ndarray:
-        """Ids start to stop of document k; expands only the symbols that overlap them."""
+        """Ids start to stop of document k; expands only the symbols that overlap them, and of their rules only those."""
         symbols = self.symbols[self.first[k] : self.first[k + 1]]
         ends = np.cumsum(self.length_of(symbols))
         a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
         before = int(ends[a - 1]) if a else 0
-        return self.expand(symbols[a:b])[start - before : stop - before]
+        return self._walk(symbols[a:b], start - before, stop - before)
+
+    def _walk(self, symbols: np.ndarray, start: int, stop: int) -> np.ndarray:
+        """Ids start to stop of what the symbols stand for: down the rules, passing over those whose length ends before start."""
+        out, waiting, at = [], symbols[::-1].tolist(), 0
+        while waiting and at < stop:
+            symbol = waiting.pop()
+            if at + (size := int(self._sizes[symbol])) <= start:
+                at += size
+            elif symbol < self.terminals:
+                out.append(symbol)
+                at += 1
+            else:
+                waiting += self.rules[symbol - self.terminals, ::-1].tolist()
+        return np.array(out, np.uint32)
 
 
 def write_token_files(documents: DataFrame, path: str, vocabulary: str, end_id: int = END_ID, shard_tokens: int = 1 << 20) -> None:

@@ -65,6 +65,9 @@ def test_grammar_round_trip(seed):
         assert shard.document(k).tolist() == d.tolist()
         if len(d) > 10:
             assert shard.token_range(k, 5, len(d) - 3).tolist() == d[5:-3].tolist()
+            assert shard.token_range(k, 3, 4).tolist() == d[3:4].tolist()
+    assert "_table" not in vars(shard)  # no rule was expanded that was not asked for
+    assert shard.expand(shard.symbols).tolist() == np.concatenate(docs).tolist()
     for left, right in shard.rules:
         assert max(left, right) < 300 + len(shard.rules)
     assert len(shard.symbols) < sum(map(len, docs))
