@@ -14,9 +14,11 @@ PENDING_STATES = ("assigned", "confirmed")
 OPEN_ORDER_STATES = ("draft", "progress")
 
 
-def subtree_flows(moves: DataFrame, uoms: DataFrame, closure: DataFrame) -> DataFrame:
+def subtree_flows(moves: DataFrame, uoms: DataFrame, closure: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """In- and out-flow per ``(location_id, product_id, product_uom)`` over the subtree of each closure ancestor.
 
+    ``by`` names further columns of the moves that keep flows apart. The closure is read several times, so a stored one is best.
+
     Moves inside a subtree, or with an unknown place, count in neither direction. A subtree holds both ends of a move
     exactly if it holds the lowest place above both, so a move is three marks: what comes in at its destination, what goes
     out at its source, and both taken back at the lowest common place. Marks add up per node before the tree is asked;
@@ -26,7 +28,7 @@ def subtree_flows(moves: DataFrame, uoms: DataFrame, closure: DataFrame) -> Data
     pairs = (
         moves.filter(F.col("location_id").isNotNull() & F.col("location_dest_id").isNotNull())
         .filter(F.col("location_id") != F.col("location_dest_id"))
-        .groupBy("product_id", "product_uom", "location_id", "location_dest_id")
+        .groupBy("product_id", "product_uom", *by, "location_id", "location_dest_id")
         .agg(F.sum("product_qty").alias("qty"))
         .join(uoms.select(F.col("id").alias("product_uom"), "factor"), "product_uom")
         .withColumn("qty", F.col("qty") / F.col("factor"))
@@ -41,7 +43,7 @@ def subtree_flows(moves: DataFrame, uoms: DataFrame, closure: DataFrame) -> Data
         )
 
     marks = F.array(mark("location_dest_id", 1, 0), mark("location_id", 0, 1), mark("common_id", -1, -1))
-    amounts, keys = ("in", "out", "ins", "outs"), ["product_id", "product_uom"]
+    amounts, keys = ("in", "out", "ins", "outs"), ["product_id", "product_uom", *by]
     marked = pairs.select(*keys, F.explode(marks).alias("m")).select(*keys, "m.*").filter(F.col("node").isNotNull())
     marked = marked.groupBy(*keys, "node").agg(*[F.sum(c).alias(c) for c in amounts])
     above = closure.select(F.col("ancestor_id").alias("location_id"), F.col("descendant_id").alias("node"))
@@ -91,6 +93,22 @@ def pending_in(moves: DataFrame, uoms: DataFrame, closure: DataFrame, pickings:
     return _net(subtree_flows(waiting, uoms, closure), "pending_in")
 
 
+def stock_and_pending_in(moves: DataFrame, uoms: DataFrame, closure: DataFrame, pickings: DataFrame) -> DataFrame:
+    """``(location_id, product_id, qty_on_hand, pending_in)``: both balances from one pass over the moves."""
+    incoming = pickings.filter(F.col("type") == "in").select(F.col("id").alias("picking_id")).distinct()
+    waiting = F.col("state").isin(*PENDING_STATES)
+    known = moves.filter((F.col("state") == "done") | waiting).join(incoming.withColumn("__incoming", F.lit(True)), "picking_id", "left")
+    kind = F.when(F.col("state") == "done", "done").when(F.col("__incoming"), "pending")
+    flows = subtree_flows(known.withColumn("kind", kind).filter(F.col("kind").isNotNull()), uoms, closure, ["kind"])
+
+    def net(of: str, name: str) -> Column:
+        own = lambda c: F.when(F.col("kind") == of, F.col(c))
+        balance = F.coalesce(F.sum(own("qty_in")), F.lit(0)) - F.coalesce(F.sum(own("qty_out")), F.lit(0))
+        return as_numeric(F.when(F.bool_or(own("has_in")), balance).otherwise(0), 12, 2).alias(name)
+
+    return flows.groupBy("location_id", "product_id").agg(net("done", "qty_on_hand"), net("pending", "pending_in"))
+
+
 def stock_flow_report(moves: DataFrame, uoms: DataFrame, closure: DataFrame, products: DataFrame) -> DataFrame:
     """On-hand report per location and product code: net, in and out.
 

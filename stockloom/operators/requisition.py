@@ -83,16 +83,17 @@ def net_purchase_qty(
     demand: DataFrame,
     warehouses: DataFrame,
     locations: DataFrame,
-    on_hand: DataFrame,
-    incoming: DataFrame,
+    levels: DataFrame,
     pending: DataFrame,
 ) -> DataFrame:
-    """Add stock, pending quantities and ``topurchase_qty``: what free stock at the centre does not cover."""
+    """Add stock, pending quantities and ``topurchase_qty``: what free stock at the centre does not cover.
+
+    ``levels`` are those of :func:`~stockloom.operators.balances.stock_and_pending_in`.
+    """
     stock = locations_of_type(warehouses, locations, "stock")
     place = ["location_id", "product_id"]
     rows = attach(demand, stock, {"warehouse_id": "warehouse_id"})
-    rows = attach(rows, on_hand.select(*place, "qty_on_hand"), {c: c for c in place})
-    rows = attach(rows, incoming.select(*place, F.col("pending_in").alias("__in")), {c: c for c in place})
+    rows = attach(rows, levels.select(*place, "qty_on_hand", F.col("pending_in").alias("__in")), {c: c for c in place})
     rows = attach(rows, pending, {"product_id": "product_id"})
     zero, factor = F.lit(0), F.col("purchase_factor")
     rows = rows.withColumns(

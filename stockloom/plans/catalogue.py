@@ -259,12 +259,12 @@ def d1_qty_on_hand(b: Business) -> DataFrame:
 @query
 def d1_qty_on_hand_tree(b: Business) -> DataFrame:
     """Every place of the tree as an ancestor, regions and nations included."""
-    return balances.qty_on_hand(b["stock_move"], b["product_uom"], lookups.location_closure(b["stock_location"]))
+    return balances.qty_on_hand(b["stock_move"], b["product_uom"], materialize(lookups.location_closure(b["stock_location"])))
 
 
 @query
 def d2_stock_flow_report(b: Business) -> DataFrame:
-    closure = lookups.location_closure(b["stock_location"])
+    closure = materialize(lookups.location_closure(b["stock_location"]))
     return balances.stock_flow_report(b["stock_move"], b["product_uom"], closure, b["product_product"])
 
 

@@ -50,23 +50,25 @@ def staged(tables: Mapping[str, DataFrame], run_date: date) -> DataFrame:
 
 
 def stock_closure(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Subtrees of the warehouses' stock places only."""
+    """Subtrees of the warehouses' stock places only, stored."""
     places = tables["stock_warehouse"].select(F.col("lot_stock_id").alias("id"))
-    return lookups.location_closure(tables["stock_location"], places)
+    return materialize(lookups.location_closure(tables["stock_location"], places).select("ancestor_id", "descendant_id"))
 
 
 def requisition_plan(tables: Mapping[str, DataFrame], run_date: date, today: date) -> DataFrame:
     """Demand of the run date, netted and with reorder quantities."""
-    demand = requisition.requisition_demand(
-        staged(tables, run_date), tables["product_product"], tables["product_template"], tables["product_category"]
+    demand = materialize(
+        requisition.requisition_demand(
+            staged(tables, run_date), tables["product_product"], tables["product_template"], tables["product_category"]
+        )
     )
-    closure = stock_closure(tables)
+    # only moves of products in demand matter
+    moves = tables["stock_move"].join(demand.select("product_id").distinct(), "product_id", "left_semi")
     net = requisition.net_purchase_qty(
         demand,
         tables["stock_warehouse"],
         tables["stock_location"],
-        balances.qty_on_hand(tables["stock_move"], tables["product_uom"], closure),
-        balances.pending_in(tables["stock_move"], tables["product_uom"], closure, tables["stock_picking"]),
+        balances.stock_and_pending_in(moves, tables["product_uom"], stock_closure(tables), tables["stock_picking"]),
         order_ops.pending_orders(tables["sale_order"], tables["sale_order_line"], run_date, today),
     )
     return requisition.reorder_qty(net, tables["stock_warehouse_orderpoint"])

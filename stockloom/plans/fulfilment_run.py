@@ -37,7 +37,7 @@ def usable(tables: Mapping[str, DataFrame], deliveries: DataFrame, today: date)
 
 def with_stock(tables: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:
     """Stored lines with the stock each receipt finds when its turn comes."""
-    lines, closure = materialize(lines), materialize(stock_closure(tables).select("ancestor_id", "descendant_id"))
+    lines, closure = materialize(lines), stock_closure(tables)
     done = tables["stock_move"].filter(F.col("state") == "done")
     done = done.join(lines.select("product_id").distinct(), "product_id", "left_semi")
     flows = balances.subtree_flows(done, tables["product_uom"], closure)
