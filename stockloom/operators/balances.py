@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stockloom.functions.scalars import as_numeric, dash_label
+from stockloom.operators.joins import attach
 from stockloom.operators.lookups import agent_warehouse, fulfilment_center, locations_of_type
 
 PENDING_STATES = ("assigned", "confirmed")
@@ -33,8 +34,11 @@ def subtree_flows(moves: DataFrame, uoms: DataFrame, closure: DataFrame, by: Seq
         .join(uoms.select(F.col("id").alias("product_uom"), "factor"), "product_uom")
         .withColumn("qty", F.col("qty") / F.col("factor"))
     )
-    ends = ["location_id", "location_dest_id"]
-    pairs = pairs.join(lowest_common(pairs.select(*ends).distinct(), closure), ends, "left")
+    paths = paths_from_top(closure)
+    for end, path in (("location_id", "__from"), ("location_dest_id", "__to")):
+        pairs = attach(pairs, paths.select(F.col("node").alias("end"), F.col("path").alias(path)), {end: "end"})
+    # both paths begin alike; the last place they share is the lowest above both
+    pairs = pairs.withColumn("common_id", F.try_element_at(F.array_intersect("__from", "__to"), F.lit(-1)))
 
     def mark(node: str, into: int, out: int):
         flow = lambda sign: F.lit(sign) * F.col("qty")
@@ -59,18 +63,13 @@ def subtree_flows(moves: DataFrame, uoms: DataFrame, closure: DataFrame, by: Seq
     )
 
 
-def lowest_common(pairs: DataFrame, closure: DataFrame) -> DataFrame:
-    """``(location_id, location_dest_id, common_id)``: the lowest closure ancestor of both, where there is one.
-
-    Of the common ancestors, which lie inside each other, the lowest has the most ancestors itself.
-    """
+def paths_from_top(closure: DataFrame) -> DataFrame:
+    """``(node, path)``: the closure ancestors of each node from the highest to the lowest, which has the most ancestors itself."""
     up = closure.select("ancestor_id", "descendant_id")
     depth = up.groupBy(F.col("descendant_id").alias("ancestor_id")).agg(F.count(F.lit(1)).alias("depth"))
-    up = up.join(depth, "ancestor_id")
-    from_source = up.withColumnRenamed("descendant_id", "location_id")
-    from_dest = up.select("ancestor_id", F.col("descendant_id").alias("location_dest_id"))
-    both = pairs.join(from_source, "location_id").join(from_dest, ["location_dest_id", "ancestor_id"])
-    return both.groupBy("location_id", "location_dest_id").agg(F.max_by("ancestor_id", "depth").alias("common_id"))
+    steps = F.sort_array(F.collect_list(F.struct("depth", "ancestor_id")))
+    paths = up.join(depth, "ancestor_id").groupBy(F.col("descendant_id").alias("node")).agg(steps.alias("steps"))
+    return paths.select("node", F.col("steps.ancestor_id").alias("path"))
 
 
 def _net(flows: DataFrame, name: str) -> DataFrame:
