@@ -104,8 +104,9 @@ def pack_documents(
     windows: int = 64,
     least_cut: int = 32,
     fan_in: int = 64,
+    kept_parts: int | None = None,
 ) -> DataFrame:
-    """One row per piece, as in :data:`PIECE`."""
+    """One row per piece, as in :data:`PIECE`. ``kept_parts`` is for :meth:`~stockloom.llm.tokens.TextEncoder.rest`."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end, packer, part = TextEncoder.of(vocabulary), np.array([end_id], "<u4").tobytes(), None, 0
@@ -124,7 +125,7 @@ def pack_documents(
             packer.out = []
         if packer:
             yield rows([p for pieces in packer.held.values() for p in pieces], True)
-        encoder.rest()
+        encoder.rest(kept_parts)
 
     source = documents.select("doc_id", "text", F.spark_partition_id().alias("part"))
     pieces = materialize(source.mapInArrow(pack, f"{PIECE}, part int, open boolean"))

@@ -50,6 +50,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def small_batches(spark, rows: int = 1000) -> None:
+    """Hand texts to Python in batches of so many rows: each is held on both sides of the pipe, by every task of an executor."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def sliced(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = 512 << 10) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each part holds about max_bytes of text, one row at least; memory follows that size.
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import sys
 from array import array
+from itertools import islice
 
 from tokenizers import Tokenizer
 
@@ -54,9 +55,13 @@ class TextEncoder:
             return self._word(_BLANK, part[1:])
         return self._whole(part) if part[1:2].isspace() else self._mark("\n") + self._word("", part[1:])
 
-    def rest(self) -> None:
-        """At the end of a task: one generation of parts stays for the worker's next one, the fuller of the two."""
-        self.parts, self.older = max(self.parts, self.older, key=len), {}
+    def rest(self, most: int | None = None) -> None:
+        """At the end of a task: one generation of parts stays for the worker's next one, the fuller of the two.
+
+        ``most`` keeps its first parts only, where other stages need the worker's memory.
+        """
+        fuller = max(self.parts, self.older, key=len)
+        self.parts, self.older = fuller if most is None else dict(islice(fuller.items(), most)), {}
 
     def _whole(self, text: str) -> bytes:
         return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
