@@ -18,12 +18,15 @@ from stockloom.llm.crf_language import UNKNOWN, fit_field, held_out, label_docum
 from stockloom.llm.jaccard_rtree import one_of_each, row_key
 from stockloom.llm.ordinal_quality import fit_quality, grades_of, kept, score_documents
 from stockloom.llm.soft_mixing import TARGETS, domain_labels, fit_domains, membership, mixed_documents, solve
+from stockloom.llm.text_batches import small_batches
 from stockloom.session import materialize
 
 #: A text stays if its words agree on one language to this degree.
 LEAST_AGREEMENT = 0.5
 #: Mixing uses a document so many times at most; a domain too small for its share is warned of.
 MOST_USES = 16.0
+#: Encoded parts that a worker keeps after a task of packing, as it goes on to other stages.
+KEPT_PARTS = 20_000
 
 
 def _aside(docs: DataFrame) -> tuple[DataFrame, list]:
@@ -34,6 +37,7 @@ def _aside(docs: DataFrame) -> tuple[DataFrame, list]:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without letters and texts in which no language prevails go."""
+    small_batches(spark)
     field = fit_field(learnable(docs), docs.where(~held_out()))
     renamed, back = _aside(docs)
     named = label_documents(renamed, field, tuple(renamed.columns))
@@ -43,6 +47,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that are likely of the lowest grade go; without graded texts none does."""
+    small_batches(spark)
     model = fit_quality(grades_of(spark.read.parquet(f"{sf_dir}/labels.parquet")), docs)
     renamed, back = _aside(docs)
     scored = score_documents(renamed, model, tuple(renamed.columns))
@@ -55,6 +60,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows without an id come after those with one, and rows of one id are told apart by a hash of id and text. Texts
     without words link with nothing; of them, rows equal in id and text count once.
     """
+    small_batches(spark)
     stay = one_of_each(docs, width=5, num=80, den=100).withColumnRenamed("row_key", "row_key_")
     renamed, back = _aside(docs)
     # equal rows go before the join: each task leaves one of them, so many copies do not meet in one task
@@ -64,6 +70,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated, up to MOST_USES times, until expected tokens per domain have the wanted shares; none is left out."""
+    small_batches(spark)
     labelled = domain_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"), docs)
     model = fit_domains(labelled, docs, sorted(TARGETS))
     mix = solve(materialize(membership(docs, model)), model, TARGETS, least=1.0, most=MOST_USES)
@@ -73,7 +80,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 1024 tokens."""
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    small_batches(spark)
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), kept_parts=KEPT_PARTS)
 
 
 STAGES = [
