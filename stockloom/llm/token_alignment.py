@@ -41,7 +41,7 @@ from stockloom.session import materialize
 #: Tokens aligned at a time; tokens and documents that make a chunk.
 STRETCH, CHUNK, MOST_DOCUMENTS = 1 << 19, 1 << 21, 1 << 16
 #: Parts of a generation, and the length from which a part is not kept.
-KEPT, LONGEST_KEPT = 200_000, 64
+KEPT, LONGEST_KEPT = 400_000, 64
 #: An id of side B takes so many bits of a pair's code, and a code so many of a key with the document's number.
 B_BITS, CODE_BITS = 20, 40
 _CUT = re.compile(r"([ \n])(?<!\s[ \n])")
