@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from stockloom.session import materialize
 from stockloom.sources.schemas import TABLES
 from stockloom.sources.tables import conform
 
@@ -51,6 +52,7 @@ class Business:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder.rstrip("/")
         self._scans: dict[str, DataFrame] = {}
+        self._stored = False
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._scans:
@@ -387,6 +389,11 @@ class Business:
     def _lines(self) -> DataFrame:
         return self.number_lines(self.raw("lineitem"))
 
+    def store_lines(self) -> None:
+        """Number the lines once and store them, for plans that read several tables made of them."""
+        if not self._stored:
+            self._lines, self._stored = materialize(self._lines.drop("extended")), True
+
     @cached_property
     def _priced(self) -> DataFrame:
         prices = self.raw("part").select(F.col("p_partkey").alias("product_id"), F.col("p_retailprice").cast("decimal(12,2)").alias("list_price"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stockloom.operators.intake import DELIVERY_KEY
 from stockloom.plans.catalogue import Query
-from stockloom.session import new_folder
+from stockloom.session import materialize, new_folder
 from stockloom.sources.schemas import schema
 from stockloom.sources.star_schema import STAR_SCHEMA, Business
 from stockloom.sources.tables import conform
@@ -47,20 +47,26 @@ def s2_cancellations(spark: SparkSession, folder: str) -> DataFrame:
     """Cancellation requests as a stream; the split lines are stored per batch and line changes move on to the next.
 
     Order lines are numbered over the whole table, which no micro-batch can do, so the queue of requests is written
-    with its ids first and then streamed.
+    with its ids first and then streamed. Requests and lines are stored in the order of their orders, so a batch reads the
+    part of the lines that its requests concern and not the whole table.
     """
     business = Business(spark, folder)
+    business.store_lines()
     queue, out = new_folder(spark, "request-queue"), new_folder(spark, "cancelled")
-    business["ofs_cancel_order"].write.parquet(queue)
+    business["ofs_cancel_order"].repartitionByRange("order_id").write.parquet(queue)
     source = spark.readStream.schema(schema("ofs_cancel_order")).option("maxFilesPerTrigger", 4).parquet(queue)
     ledger = Ledger(new_folder(spark, "requests"), schema("ofs_cancel_order"))
-    lines = LineState(new_folder(spark, "line-changes"), business["sale_order_line"])
+    ordered = materialize(business["sale_order_line"].repartitionByRange("order_id").sortWithinPartitions("order_id"))
+    lines = LineState(new_folder(spark, "line-changes"), ordered)
+    started: dict[int, DataFrame] = {}
 
     def state(batch_id: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return lines.before(batch_id), business["sale_order"], business["sale_order_tax"]
+        requests = ledger.between(spark, batch_id, batch_id + 1).drop("batch")
+        started[batch_id] = materialize(lines.before(batch_id, requests))
+        return started[batch_id], business["sale_order"], business["sale_order_tax"]
 
     def sink(result, batch_id: int) -> None:
-        lines.store(result.lines, batch_id)
+        lines.store(result.lines, batch_id, started.pop(batch_id))
         result.split_lines.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     _run(start_cancellations(source, ledger, new_folder(spark, "requests-checkpoint"), state, sink))

@@ -122,3 +122,27 @@ def test_only_a_missing_ledger_is_empty(spark, tmp_path):
     (tmp_path / "ledger" / "batch=0" / "part-0.parquet").write_text("not parquet")
     with pytest.raises(Exception, match="(?i)parquet"):
         ledger.rows(spark).collect()
+
+
+def test_a_batch_works_on_the_lines_its_requests_concern(spark):
+    """Requests by line, by order, for a line of another order and for unknown ones: the same changes as from all lines."""
+    shape = "id bigint, order_id bigint, ofc_id bigint, product_uom_qty int, commission decimal(12,2), state string, product_id bigint, product_uom int, price_unit decimal(12,2), name string, company_id bigint, order_partner_id bigint"
+    rows = [(i, i // 4, 1, 5, None, "confirmed", i, 1, None, f"n{i}", 1, 1) for i in range(4000)] + [(None, None, 1, 5, None, "confirmed", 1, 1, None, "n", 1, 1)]
+    first = spark.createDataFrame(rows, shape)
+    requests = spark.createDataFrame(
+        [(1, 5, 1, 7, 21, 2, False), (2, 900, 1, 7, None, 0, False), (3, 6, 1, 7, 3000, 1, False), (4, 7, 2, 7, 29, 9, False), (5, None, 1, 7, 9999, 1, False), (6, 10**15, 1, 7, None, 1, False)],
+        "id bigint, order_id bigint, ofc_id bigint, user_id bigint, line_id bigint, cancelled_qty int, processed boolean",
+    )
+    orders, taxes = spark.range(1000), spark.createDataFrame([(21, 1)], "order_line_id bigint, tax_id int")
+    whole, part = (LineState(new_folder(spark, "state"), first) for _ in range(2))
+    assert {r.id for r in part.before(0, requests).collect()} == {*range(20, 32), *range(3600, 3604), 3000}
+    assert part.before(0, requests.limit(0)).count() == 0
+    for batch_id in (0, 1):
+        all_lines, near = whole.before(batch_id), part.before(batch_id, requests)
+        one, two = (apply_cancellations(requests, x, orders, taxes) for x in (all_lines, near))
+        for name in ("split_lines", "split_taxes", "order_changes"):
+            assert sorted(map(str, getattr(one, name).collect())) == sorted(map(str, getattr(two, name).collect()))
+        whole.store(one.lines, batch_id)
+        part.store(two.lines, batch_id, near)
+        assert sorted(map(str, whole.changes.rows(spark).collect())) == sorted(map(str, part.changes.rows(spark).collect()))
+    assert part.changes.rows(spark).count() > 4
