@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stockloom.functions.scalars import as_numeric, dash_label
 from stockloom.operators.joins import attach
 from stockloom.operators.lookups import agent_warehouse, fulfilment_center, locations_of_type
+from stockloom.session import materialize
 
 PENDING_STATES = ("assigned", "confirmed")
 OPEN_ORDER_STATES = ("draft", "progress")
@@ -24,7 +25,9 @@ def subtree_flows(moves: DataFrame, uoms: DataFrame, closure: DataFrame, by: Seq
     exactly if it holds the lowest place above both, so a move is three marks: what comes in at its destination, what goes
     out at its source, and both taken back at the lowest common place. Marks add up per node before the tree is asked;
     the flow of a subtree is the sum of the marks of its nodes. So neither moves nor pairs of places are multiplied by the
-    depth of the tree, only nodes that hold a product are.
+    depth of the tree, only nodes that hold a product are. The lowest common place is looked up once per pair of places, so
+    the flows of a place that very many moves share are neither gathered by it nor carry paths; the pairs are stored, as they are
+    read twice.
     """
     pairs = (
         moves.filter(F.col("location_id").isNotNull() & F.col("location_dest_id").isNotNull())
@@ -34,11 +37,8 @@ def subtree_flows(moves: DataFrame, uoms: DataFrame, closure: DataFrame, by: Seq
         .join(uoms.select(F.col("id").alias("product_uom"), "factor"), "product_uom")
         .withColumn("qty", F.col("qty") / F.col("factor"))
     )
-    paths = paths_from_top(closure)
-    for end, path in (("location_id", "__from"), ("location_dest_id", "__to")):
-        pairs = attach(pairs, paths.select(F.col("node").alias("end"), F.col("path").alias(path)), {end: "end"})
-    # both paths begin alike; the last place they share is the lowest above both
-    pairs = pairs.withColumn("common_id", F.try_element_at(F.array_intersect("__from", "__to"), F.lit(-1)))
+    pairs, ends = materialize(pairs), ["location_id", "location_dest_id"]
+    pairs = attach(pairs, _common_places(pairs.select(*ends).distinct(), closure), {c: c for c in ends})
 
     def mark(node: str, into: int, out: int):
         flow = lambda sign: F.lit(sign) * F.col("qty")
@@ -63,6 +63,16 @@ def subtree_flows(moves: DataFrame, uoms: DataFrame, closure: DataFrame, by: Seq
     )
 
 
+def _common_places(lanes: DataFrame, closure: DataFrame) -> DataFrame:
+    """``(location_id, location_dest_id, common_id)``: the lowest place above both ends of each pair of places."""
+    paths = paths_from_top(closure)
+    for end, path in (("location_id", "__from"), ("location_dest_id", "__to")):
+        lanes = attach(lanes, paths.select(F.col("node").alias("end"), F.col("path").alias(path)), {end: "end"})
+    # both paths begin alike; the last place they share is the lowest above both
+    common = F.try_element_at(F.array_intersect("__from", "__to"), F.lit(-1))
+    return lanes.select("location_id", "location_dest_id", common.alias("common_id"))
+
+
 def paths_from_top(closure: DataFrame) -> DataFrame:
     """``(node, path)``: the closure ancestors of each node from the highest to the lowest, which has the most ancestors itself."""
     up = closure.select("ancestor_id", "descendant_id")

@@ -11,7 +11,7 @@ from stockloom.functions.scalars import as_int, as_numeric
 from stockloom.operators.allocation import match_intervals
 from stockloom.operators.intake import RECEIPT, unprocessed
 from stockloom.operators.joins import attach
-from stockloom.operators.lookups import locations_of_type, match_picking_type, usage_location
+from stockloom.operators.lookups import locations_of_type, match_picking_type, only_known, usage_location
 from stockloom.operators.maintenance import accumulate, number_documents
 from stockloom.operators.ordered import id_block, in_pieces, running
 from stockloom.session import materialize
@@ -115,10 +115,8 @@ def _flows_of_earlier_receipts(
     depends on centre and agent alone, so the tree is asked once for each pair of them, never per line.
     """
     key = ["location_id", "product_id"]
-    agent = receipt_totals(usable).select(*RECEIPT, "agent_warehouse_id")
-    moved = attach(usable, agent, {c: c for c in RECEIPT}).join(
-        partners.select(F.col("id").alias("partner_id")), "partner_id", "left_semi"
-    )
+    agent = receipt_agents(usable)
+    moved = attach(only_known(usable, partners, "partner_id"), agent, {c: c for c in RECEIPT})
     moved = (
         moved.groupBy(*RECEIPT, "agent_warehouse_id", "product_id", "product_uom")
         .agg(F.sum("product_uom_qty").alias("qty"), F.count(F.lit(1)).alias("moves"))
@@ -180,6 +178,11 @@ def receipt_totals(kit_lines: DataFrame) -> DataFrame:
     )
 
 
+def receipt_agents(kit_lines: DataFrame) -> DataFrame:
+    """``(warehouse_id, receipt_id, agent_warehouse_id)`` of :func:`receipt_totals` alone, without its wide leading row."""
+    return kit_lines.groupBy(*RECEIPT).agg(F.max_by("default_ofc_id", "order_line_id").alias("agent_warehouse_id"))
+
+
 def invalid_changes(deliveries: DataFrame, kit_lines: DataFrame) -> DataFrame:
     """Change set closing unprocessed deliveries of receipts without any usable line."""
     usable = kit_lines.select(*RECEIPT)
@@ -349,10 +352,11 @@ def transfer_headers(
 ) -> DataFrame:
     """One picking per receipt and leg; legs 1 and 2 share the ``internal`` counter, leg 3 has its own.
 
-    Counters are ``{start, increment, prefix}``.
+    Counters are ``{start, increment, prefix}``. The totals and the routed receipts are stored, as each numbering reads them twice.
     """
-    known = totals.join(partners.select(F.col("id").alias("partner_id")), "partner_id", "left_semi")
-    rows = _routed(known, warehouses, locations, picking_types).withColumn("l", _legs()).select("*", "l.*").drop("l")
+    known = only_known(materialize(totals), partners, "partner_id")
+    routed = materialize(_routed(known, warehouses, locations, picking_types))
+    rows = routed.withColumn("l", _legs()).select("*", "l.*").drop("l")
     rows = rows.withColumn("__block", id_block("receipt_id"))
 
     def numbered(part: DataFrame, counter: Mapping[str, object]) -> DataFrame:
@@ -393,8 +397,7 @@ def transfer_moves(
     ``costs`` gives the unit price, 0 where there is none. ``move_dest_leg`` names the leg of the same line that goes on from where this one ends.
     """
     agent = totals.select(*RECEIPT, "agent_warehouse_id")
-    rows = attach(kit_lines, agent, {c: c for c in RECEIPT})
-    rows = rows.join(partners.select(F.col("id").alias("partner_id")), "partner_id", "left_semi")
+    rows = attach(only_known(kit_lines, partners, "partner_id"), agent, {c: c for c in RECEIPT})
     if costs is None:
         rows = rows.withColumn("line_cost", F.lit(None).cast("decimal(12,4)"))
     else:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stockloom.functions.scalars import property_key, reference_text
 from stockloom.operators.joins import attach
+from stockloom.session import materialize
 
 #: Locations found by their usage alone.
 USAGE_TYPES = ("customer", "supplier", "procurement", "production")
@@ -106,6 +107,18 @@ def warehouse_locations(warehouses: DataFrame, locations: DataFrame) -> DataFram
     )
 
 
+def only_known(rows: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """``rows`` whose ``column`` is an id of ``table``.
+
+    The ids that occur and are known are stored first. Where many rows share few ids they are a small table of known
+    size, which planning broadcasts, so that the rows of a frequent id are not brought together in one task. ``rows`` are
+    read twice, so stored ones are best.
+    """
+    named = rows.select(column).distinct()
+    known = materialize(named.join(table.select(F.col("id").alias(column)), column, "left_semi"))
+    return rows.join(known, column, "left_semi")
+
+
 def usage_location(locations: DataFrame, usage: str) -> Column:
     """The first place of a usage, as a scalar subquery."""
     return locations.filter(F.col("usage") == usage).agg(F.min("id")).scalar()
