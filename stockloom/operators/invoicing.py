@@ -20,6 +20,7 @@ from stockloom.operators.joins import attach
 from stockloom.operators.lookups import account_type, default_currency, journal_account, resolve_property
 from stockloom.operators.maintenance import number_documents
 from stockloom.operators.ordered import id_block
+from stockloom.session import materialize
 
 # Journal of sales and the property of the receivable account.
 SALES_JOURNAL = "INV"
@@ -118,7 +119,10 @@ def invoice_headers(
     counter: Mapping[str, object],
     on_date: date,
 ) -> DataFrame:
-    """One numbered invoice per receipt; totals from its lines, date of delivery or of the order."""
+    """One numbered invoice per receipt; totals from its lines, date of delivery or of the order.
+
+    The invoices are stored before they are numbered, as the numbering reads them twice.
+    """
     totals = inv_lines.groupBy(*RECEIPT).agg(
         as_numeric(F.sum("gross"), 12, 2).alias("amount_total"), as_numeric(F.sum("price_subtotal"), 12, 2).alias("amount_untaxed")
     )
@@ -130,7 +134,7 @@ def invoice_headers(
     rows = resolve_property(
         rows, properties, RECEIVABLE_PROPERTY, "res.partner", "partner_id", "value", "account.account", out="account_id"
     )
-    rows = rows.withColumn("__block", id_block("receipt_id"))
+    rows = materialize(rows.withColumn("__block", id_block("receipt_id")))
     rows = number_documents(rows, ["receipt_id"], on_date=on_date, levels=["warehouse_id", "__block"], **counter)
     return rows.select(
         *RECEIPT,

@@ -345,8 +345,10 @@ def d14_pending_orders(b: Business) -> DataFrame:
     return orders.pending_orders(b["sale_order"], b["sale_order_line"], DEMAND_DATE, RUN_DATE)
 
 
-def _usable(b: Business) -> DataFrame:
-    return fulfilling.usable(b, fulfilling.fresh_deliveries(b), RUN_DATE)
+def _usable(b: Business, deliveries: DataFrame | None = None) -> DataFrame:
+    # deliveries and their order lines are both made of the numbered lines
+    b.store_lines()
+    return fulfilling.usable(b, fulfilling.fresh_deliveries(b) if deliveries is None else deliveries, RUN_DATE)
 
 
 @query
@@ -438,7 +440,11 @@ def e10_reorder_qty(b: Business) -> DataFrame:
 
 
 def _requisition(b: Business) -> tuple[DataFrame, DataFrame]:
-    plan = materialize(confirming.requisition_plan(b, CONFIRMED_ON, RUN_DATE))
+    return _requisition_of(b, None)
+
+
+def _requisition_of(b: Business, staged: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    plan = materialize(confirming.requisition_plan(b, CONFIRMED_ON, RUN_DATE, staged))
     headers = requisition.requisition_headers(plan, b["stock_warehouse"], CONFIRMED_ON, 100, 1, "PR%(year)s-", RUN_DATE)
     return headers, requisition.requisition_lines(plan, headers)
 
@@ -457,7 +463,8 @@ def e11_requisition_lines(b: Business) -> DataFrame:
 
 @query
 def e11_requisition_line_orders(b: Business) -> DataFrame:
-    return requisition.requisition_line_orders(_requisition(b)[1], confirming.staged(b, CONFIRMED_ON))
+    staged = materialize(confirming.staged(b, CONFIRMED_ON))
+    return requisition.requisition_line_orders(_requisition_of(b, staged)[1], staged)
 
 
 @query
@@ -567,7 +574,7 @@ def e20_transfer_headers(b: Business) -> DataFrame:
 
 
 def _moves(b: Business) -> DataFrame:
-    return fulfilling.transfer_moves(b, _usable(b), None, RUN_DATE)
+    return fulfilling.transfer_moves(b, materialize(_usable(b)), None, RUN_DATE)
 
 
 @query
@@ -585,20 +592,27 @@ def e21_chained_moves(b: Business) -> DataFrame:
 
 @query
 def e21_closed_deliveries(b: Business) -> DataFrame:
-    return kitting.delivery_changes(fulfilling.fresh_deliveries(b), e20_transfer_headers(b))
+    b.store_lines()
+    deliveries = materialize(fulfilling.fresh_deliveries(b))
+    headers = fulfilling.transfer_headers(b, _usable(b, deliveries), fulfilling.Counters(), RUN_DATE)
+    return kitting.delivery_changes(deliveries, headers)
 
 
 # -- invoicing --------------------------------------------------------------------------------------------------------
 
 
 class Billing:
-    """The invoicing stages of the test tables; the delivered lines and the headers are stored once."""
+    """The invoicing stages of the test tables; numbered lines, fresh deliveries, the order lines they name and the delivered lines are stored once."""
 
     def __init__(self, b: Business) -> None:
         self.b = b
-        self.deliveries = fulfilling.fresh_deliveries(b)
+        b.store_lines()
+        self.deliveries = materialize(fulfilling.fresh_deliveries(b))
         self.receipts = invoicing.receipt_orders(self.deliveries)
-        self.delivered = materialize(fulfilling.delivered_lines(b, self.receipts, _moves(b)))
+        named = fulfilling.delivered_order_lines(b, self.deliveries)
+        lines = materialize(fulfilling.usable(named, self.deliveries, RUN_DATE))
+        moves = fulfilling.transfer_moves(named, lines, None, RUN_DATE)
+        self.delivered = materialize(fulfilling.delivered_lines(named, self.receipts, moves))
         self.taxes = fulfilling.line_taxes(b, self.delivered)
         self.lines = invoicing.invoice_lines(self.delivered, self.taxes)
 

@@ -55,12 +55,13 @@ def stock_closure(tables: Mapping[str, DataFrame]) -> DataFrame:
     return materialize(lookups.location_closure(tables["stock_location"], places).select("ancestor_id", "descendant_id"))
 
 
-def requisition_plan(tables: Mapping[str, DataFrame], run_date: date, today: date) -> DataFrame:
-    """Demand of the run date, netted and with reorder quantities."""
+def requisition_plan(
+    tables: Mapping[str, DataFrame], run_date: date, today: date, rows: DataFrame | None = None
+) -> DataFrame:
+    """Demand of the run date, netted and with reorder quantities; ``rows`` are its staged lines, if these are stored already."""
+    rows = staged(tables, run_date) if rows is None else rows
     demand = materialize(
-        requisition.requisition_demand(
-            staged(tables, run_date), tables["product_product"], tables["product_template"], tables["product_category"]
-        )
+        requisition.requisition_demand(rows, tables["product_product"], tables["product_template"], tables["product_category"])
     )
     # only moves of products in demand matter
     moves = tables["stock_move"].join(demand.select("product_id").distinct(), "product_id", "left_semi")

@@ -12,6 +12,7 @@ from stockloom.operators import balances, intake, invoicing, kitting, lookups, m
 from stockloom.operators.cancellation import apply_cancellations
 from stockloom.plans.confirmation_run import stock_closure
 from stockloom.session import materialize
+from stockloom.sources.schemas import TABLES
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,17 @@ def fresh_deliveries(tables: Mapping[str, DataFrame], limit: int | None = None)
     return fresh if limit is None else intake.of_receipts(fresh, intake.intake_receipts(tables["ofs_delivery"], limit))
 
 
+def delivered_order_lines(tables: Mapping[str, DataFrame], deliveries: DataFrame) -> dict[str, DataFrame]:
+    """The tables with only those order lines that the deliveries name, stored; no later step of the deliveries needs others.
+
+    Only the columns are kept that :func:`usable` and :func:`delivered_lines` read.
+    """
+    named = deliveries.select(F.col("line_id").alias("id"))
+    columns = ("id", "order_id", "product_id", "name", "product_uom_qty", "product_uom", "default_ofc_id", "price_unit")
+    lines = materialize(tables["sale_order_line"].select(*columns).join(named, "id", "left_semi"))
+    return {**{name: tables[name] for name in TABLES}, "sale_order_line": lines}
+
+
 def usable(tables: Mapping[str, DataFrame], deliveries: DataFrame, today: date) -> DataFrame:
     names = ("sale_order_line", "sale_order", "product_product", "product_template")
     return kitting.usable_deliveries(deliveries, *[tables[n] for n in names], today)
@@ -59,7 +71,7 @@ def transfer_headers(tables: Mapping[str, DataFrame], lines: DataFrame, counters
 
 def transfer_moves(tables: Mapping[str, DataFrame], lines: DataFrame, costs: DataFrame | None, today: date) -> DataFrame:
     names = ("res_partner", "stock_warehouse", "stock_location", "stock_picking_type")
-    return kitting.transfer_moves(lines, kitting.receipt_totals(lines), costs, *[tables[n] for n in names], today)
+    return kitting.transfer_moves(lines, kitting.receipt_agents(lines), costs, *[tables[n] for n in names], today)
 
 
 def delivered_lines(tables: Mapping[str, DataFrame], receipts: DataFrame, moves: DataFrame) -> DataFrame:
