@@ -49,6 +49,21 @@ def mark_duplicate_deliveries(deliveries: DataFrame) -> DataFrame:
     return marked.select(*deliveries.columns)
 
 
+def waiting_deliveries(deliveries: DataFrame) -> DataFrame:
+    """What :func:`mark_duplicate_deliveries` leaves unprocessed, for plans that need no other deliveries.
+
+    Copies fall together in an aggregate, which is combined before it is shuffled, so the deliveries themselves are not brought
+    to their kept ids. Columns that nobody reads are not carried along.
+    """
+    waiting = deliveries.filter(unprocessed())
+    complete = F.lit(True)
+    for name in DELIVERY_KEY:
+        complete = complete & F.col(name).isNotNull()
+    rest = [c for c in deliveries.columns if c not in ("id", *DELIVERY_KEY)]
+    kept = waiting.filter(complete).groupBy(*DELIVERY_KEY).agg(F.min("id").alias("id"), *[F.min_by(c, "id").alias(c) for c in rest])
+    return kept.select(*deliveries.columns).unionByName(waiting.filter(~complete))
+
+
 def live_documents(documents: DataFrame) -> DataFrame:
     """Receipts of documents that are not cancelled; documents carry ``warehouse_id, receipt_id, state``."""
     return documents.filter(F.col("state") != "cancel").select(*RECEIPT)

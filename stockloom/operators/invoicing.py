@@ -34,23 +34,30 @@ def receipt_orders(deliveries: DataFrame) -> DataFrame:
     return deliveries.groupBy(*RECEIPT).agg(lead.alias("d")).select(*RECEIPT, "d.*")
 
 
+def receipt_order_ids(deliveries: DataFrame) -> DataFrame:
+    """``(warehouse_id, receipt_id, order_id)`` of :func:`receipt_orders` alone, without its wide leading row."""
+    return deliveries.groupBy(*RECEIPT).agg(F.min_by("order_id", "id").alias("order_id"))
+
+
 def delivered_lines(
     receipts: DataFrame, moves: DataFrame, lines: DataFrame, products: DataFrame, templates: DataFrame, invoices: DataFrame
 ) -> DataFrame:
     """Lines to invoice before tax: first-leg quantity per receipt and order line, of receipts not yet invoiced.
 
-    Several deliveries of a line in one receipt add up; lines without quantity drop out.
+    Several deliveries of a line in one receipt add up; lines without quantity drop out. Moves meet their receipt first, as
+    they are added up by keys that begin with it. Lines that bring ``product_tmpl_id`` were joined with their products already.
     """
     fresh = receipts.select(*RECEIPT, "order_id").join(live_documents(invoices), RECEIPT, "left_anti")
     moved = (
         moves.filter(F.col("leg") == 1)
-        .groupBy(*LINE_KEY, "product_id")
+        .select(*LINE_KEY, "product_id", "product_qty")
+        .join(fresh, RECEIPT)
+        .groupBy(*LINE_KEY, "product_id", "order_id")
         .agg(as_int(F.sum("product_qty")).alias("quantity"))
         .filter(F.col("quantity") != 0)
     )
-    known = products.select(F.col("id").alias("product_id"), "product_tmpl_id").join(
-        templates.select(F.col("id").alias("product_tmpl_id"), "categ_id"), "product_tmpl_id"
-    )
+    templates = templates.select(F.col("id").alias("product_tmpl_id"), "categ_id")
+    brought = [c for c in lines.columns if c == "product_tmpl_id"]
     ordered = lines.select(
         F.col("id").alias("order_line_id"),
         "order_id",
@@ -58,12 +65,13 @@ def delivered_lines(
         F.col("name").alias("product_name"),
         "product_uom",
         as_numeric("price_unit", 10, 2).alias("price_unit"),
+        *brought,
     )
-    return (
-        moved.join(fresh, RECEIPT)
-        .join(ordered, ["order_line_id", "order_id", "product_id"])
-        .join(known, "product_id")
-    )
+    rows = moved.join(ordered, ["order_line_id", "order_id", "product_id"])
+    if brought:
+        return rows.join(templates, "product_tmpl_id")
+    known = products.select(F.col("id").alias("product_id"), "product_tmpl_id").join(templates, "product_tmpl_id")
+    return rows.join(known, "product_id")
 
 
 def line_taxes(delivered: DataFrame, product_taxes: DataFrame, taxes: DataFrame) -> DataFrame:
@@ -121,7 +129,8 @@ def invoice_headers(
 ) -> DataFrame:
     """One numbered invoice per receipt; totals from its lines, date of delivery or of the order.
 
-    The invoices are stored before they are numbered, as the numbering reads them twice.
+    The invoices are stored before they are numbered, as the numbering reads them twice. So are the accounts of the partners
+    that orders name: where many invoices share few partners, planning broadcasts them.
     """
     totals = inv_lines.groupBy(*RECEIPT).agg(
         as_numeric(F.sum("gross"), 12, 2).alias("amount_total"), as_numeric(F.sum("price_subtotal"), 12, 2).alias("amount_untaxed")
@@ -131,9 +140,12 @@ def invoice_headers(
     )
     rows = totals.join(receipts, RECEIPT).join(heads, "order_id")
     rows = default_currency(rows, companies)
-    rows = resolve_property(
-        rows, properties, RECEIVABLE_PROPERTY, "res.partner", "partner_id", "value", "account.account", out="account_id"
+    partners = orders.select(F.col("partner_id").alias("__partner")).distinct()
+    partners = materialize(
+        resolve_property(partners, properties, RECEIVABLE_PROPERTY, "res.partner", "__partner", "value", "account.account", out="account_id")
     )
+    rows = rows.join(partners, F.col("partner_id").eqNullSafe(F.col("__partner")), "left").drop("__partner")
+    rows = rows.withColumn("date_invoice", F.coalesce("delivery_date", "__order_delivery")).drop("delivery_date", "__order_delivery")
     rows = materialize(rows.withColumn("__block", id_block("receipt_id")))
     rows = number_documents(rows, ["receipt_id"], on_date=on_date, levels=["warehouse_id", "__block"], **counter)
     return rows.select(
@@ -148,7 +160,7 @@ def invoice_headers(
         "user_id",
         "team_id",
         "receipt_ref",
-        F.coalesce("delivery_date", "__order_delivery").alias("date_invoice"),
+        "date_invoice",
         "amount_total",
         "amount_untaxed",
         as_numeric(F.col("amount_total") - F.col("amount_untaxed"), 12, 2).alias("amount_tax"),

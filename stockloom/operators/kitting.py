@@ -18,6 +18,8 @@ from stockloom.session import materialize
 
 INVALID_REMARK = "invalid order"
 DONE_REMARK = "processed successfully"
+#: Columns of kit lines that no step of a transfer computes with.
+_DESCRIPTIVE = {"product_name", "product_uom", "ordered_qty", "company_id", "order_name", "weight", "date_expected"}
 #: Lots without a date are used last.
 UNDATED = date(9999, 12, 31)
 
@@ -25,7 +27,10 @@ UNDATED = date(9999, 12, 31)
 def usable_deliveries(
     deliveries: DataFrame, lines: DataFrame, orders: DataFrame, products: DataFrame, templates: DataFrame, today: date
 ) -> DataFrame:
-    """Unprocessed deliveries with a live order line: quantity, weight, agent's centre and promised date."""
+    """Unprocessed deliveries with a live order line: quantity, weight, agent's centre and promised date.
+
+    Lines that bring ``unit_weight`` were joined with their products already. ``ordered_qty`` needs lines with a quantity.
+    """
     known = (
         products.select(F.col("id").alias("product_id"), "product_tmpl_id", F.col("weight").alias("unit_weight"))
         .join(templates.select(F.col("id").alias("product_tmpl_id")), "product_tmpl_id", "left_semi")
@@ -43,35 +48,33 @@ def usable_deliveries(
         "order_id",
         "product_id",
         F.col("name").alias("product_name"),
-        as_int("product_uom_qty").alias("ordered_qty"),
+        *([as_int("product_uom_qty").alias("ordered_qty")] if "product_uom_qty" in lines.columns else []),
         "product_uom",
         "default_ofc_id",
+        *[c for c in lines.columns if c == "unit_weight"],
     )
     delivered = deliveries.filter(unprocessed()).select(
         F.col("id").alias("delivery_id"), *RECEIPT, F.col("line_id").alias("order_line_id"), "qty", "receipt_ref"
     )
-    return (
-        delivered.join(ordered, "order_line_id")
-        .join(heads, "order_id")
-        .join(known, "product_id")
-        .select(
-            "delivery_id",
-            *RECEIPT,
-            "order_line_id",
-            "order_id",
-            "order_name",
-            "partner_id",
-            "company_id",
-            "product_id",
-            "product_name",
-            "product_uom",
-            "ordered_qty",
-            F.col("qty").alias("product_uom_qty"),
-            as_numeric(F.col("qty") * F.coalesce("unit_weight", F.lit(0)), 12, 4).alias("weight"),
-            F.coalesce("default_ofc_id", "warehouse_id").alias("default_ofc_id"),
-            "receipt_ref",
-            "date_expected",
-        )
+    rows = delivered.join(ordered, "order_line_id").join(heads, "order_id")
+    rows = rows if "unit_weight" in lines.columns else rows.join(known, "product_id")
+    return rows.select(
+        "delivery_id",
+        *RECEIPT,
+        "order_line_id",
+        "order_id",
+        "order_name",
+        "partner_id",
+        "company_id",
+        "product_id",
+        "product_name",
+        "product_uom",
+        *[c for c in rows.columns if c == "ordered_qty"],
+        F.col("qty").alias("product_uom_qty"),
+        as_numeric(F.col("qty") * F.coalesce("unit_weight", F.lit(0)), 12, 4).alias("weight"),
+        F.coalesce("default_ofc_id", "warehouse_id").alias("default_ofc_id"),
+        "receipt_ref",
+        "date_expected",
     )
 
 
@@ -165,6 +168,12 @@ def _stock_borders(pairs: DataFrame, closure: DataFrame, warehouses: DataFrame)
     return crossing.groupBy(*key).agg(F.collect_list(F.struct("location_id", "is_in", "leg")).alias("borders"))
 
 
+def receipt_routes(kit_lines: DataFrame) -> DataFrame:
+    """``(warehouse_id, receipt_id, partner_id, agent_warehouse_id)`` of :func:`receipt_totals` alone: all that tells which legs there are."""
+    lead = F.max_by(F.struct("default_ofc_id", "partner_id"), "order_line_id").alias("l")
+    return kit_lines.groupBy(*RECEIPT).agg(lead).select(*RECEIPT, "l.partner_id", F.col("l.default_ofc_id").alias("agent_warehouse_id"))
+
+
 def receipt_totals(kit_lines: DataFrame) -> DataFrame:
     """Weight, line count and the leading order and agent centre (of the largest line id) per receipt."""
     lead = F.max_by(F.struct("order_id", "default_ofc_id", "order_name", "partner_id", "company_id", "receipt_ref"), "order_line_id")
@@ -353,6 +362,7 @@ def transfer_headers(
     """One picking per receipt and leg; legs 1 and 2 share the ``internal`` counter, leg 3 has its own.
 
     Counters are ``{start, increment, prefix}``. The totals and the routed receipts are stored, as each numbering reads them twice.
+    The routes of :func:`receipt_routes` are enough for numbered legs and their places; other columns come along if ``totals`` has them.
     """
     known = only_known(materialize(totals), partners, "partner_id")
     routed = materialize(_routed(known, warehouses, locations, picking_types))
@@ -363,21 +373,21 @@ def transfer_headers(
         return number_documents(part, ["receipt_id", "leg"], on_date=on_date, levels=["warehouse_id", "__block"], **counter)
 
     both = numbered(rows.filter(F.col("leg") < 3), internal).unionByName(numbered(rows.filter(F.col("leg") == 3), outgoing))
+    has = set(totals.columns)
     return both.select(
         *RECEIPT,
         "leg",
         "document_no",
         F.col("document_name").alias("name"),
-        F.col("order_name").alias("origin"),
-        F.concat(F.lit("sale,order,"), F.col("order_id").cast("string")).alias("ref"),
+        *([F.col("order_name").alias("origin")] if "order_name" in has else []),
+        *([F.concat(F.lit("sale,order,"), F.col("order_id").cast("string")).alias("ref")] if "order_id" in has else []),
         "partner_id",
-        "company_id",
+        *[c for c in ("company_id",) if c in has],
         "picking_type_id",
         "location_id",
         "location_dest_id",
         "state",
-        "weight",
-        "receipt_ref",
+        *[c for c in ("weight", "receipt_ref") if c in has],
         F.lit(on_date).alias("date"),
     )
 
@@ -394,7 +404,7 @@ def transfer_moves(
 ) -> DataFrame:
     """One move per delivered line and leg, keyed ``(warehouse_id, receipt_id, delivery_id, leg)``.
 
-    ``costs`` gives the unit price, 0 where there is none. ``move_dest_leg`` names the leg of the same line that goes on from where this one ends.
+    ``costs`` gives the unit price, 0 where there is none. Of descriptive columns those come along that ``kit_lines`` has. ``move_dest_leg`` names the leg of the same line that goes on from where this one ends.
     """
     agent = totals.select(*RECEIPT, "agent_warehouse_id")
     rows = attach(only_known(kit_lines, partners, "partner_id"), agent, {c: c for c in RECEIPT})
@@ -403,29 +413,22 @@ def transfer_moves(
     else:
         rows = rows.join(costs.select("order_line_id", "line_cost"), "order_line_id", "left")
     rows = _routed(rows, warehouses, locations, picking_types).withColumn("l", _legs()).select("*", "l.*").drop("l")
-    return rows.select(
-        *RECEIPT,
-        "delivery_id",
-        "leg",
-        "order_line_id",
-        "product_id",
-        F.col("product_name").alias("name"),
-        "product_uom",
-        F.col("product_uom_qty").alias("product_qty"),
-        "ordered_qty",
-        F.coalesce("line_cost", F.lit(0).cast("decimal(12,4)")).alias("price_unit"),
-        "company_id",
-        "partner_id",
-        "picking_type_id",
-        "location_id",
-        "location_dest_id",
-        "state",
-        F.col("order_name").alias("origin"),
-        "weight",
-        "date_expected",
-        F.lit(on_date).alias("date"),
-        F.col("next_leg").alias("move_dest_leg"),
-    )
+    lacking = _DESCRIPTIVE - set(kit_lines.columns)
+    columns = {
+        **{c: c for c in (*RECEIPT, "delivery_id", "leg", "order_line_id", "product_id")},
+        "name": "product_name",
+        "product_uom": "product_uom",
+        "product_qty": "product_uom_qty",
+        "ordered_qty": "ordered_qty",
+        "price_unit": F.coalesce("line_cost", F.lit(0).cast("decimal(12,4)")),
+        **{c: c for c in ("company_id", "partner_id", "picking_type_id", "location_id", "location_dest_id", "state")},
+        "origin": "order_name",
+        "weight": "weight",
+        "date_expected": "date_expected",
+        "date": F.lit(on_date),
+        "move_dest_leg": "next_leg",
+    }
+    return rows.select(*[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items() if n == "date" or n == "price_unit" or c not in lacking])
 
 
 def chain_moves(moves: DataFrame) -> DataFrame:

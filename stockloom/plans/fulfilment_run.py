@@ -31,14 +31,29 @@ def fresh_deliveries(tables: Mapping[str, DataFrame], limit: int | None = None)
     return fresh if limit is None else intake.of_receipts(fresh, intake.intake_receipts(tables["ofs_delivery"], limit))
 
 
+def fresh_waiting(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The unprocessed ones of :func:`fresh_deliveries`, for plans that need no others."""
+    waiting = intake.waiting_deliveries(tables["ofs_delivery"])
+    return waiting.join(intake.live_documents(tables["receipt_document"]), intake.RECEIPT, "left_anti")
+
+
+def fresh_receipts(tables: Mapping[str, DataFrame], receipts: DataFrame) -> DataFrame:
+    """The ``receipts`` without a live picking; to drop these is cheaper than to drop all their deliveries."""
+    return intake.split_already_processed(receipts, tables["receipt_document"])[0]
+
+
 def delivered_order_lines(tables: Mapping[str, DataFrame], deliveries: DataFrame) -> dict[str, DataFrame]:
     """The tables with only those order lines that the deliveries name, stored; no later step of the deliveries needs others.
 
-    Only the columns are kept that :func:`usable` and :func:`delivered_lines` read.
+    Only the columns are kept that the invoicing of the deliveries reads, and those of the lines' products, which are met where the
+    lines are dealt by product for their price. Lines of unknown products drop out.
     """
     named = deliveries.select(F.col("line_id").alias("id"))
-    columns = ("id", "order_id", "product_id", "name", "product_uom_qty", "product_uom", "default_ofc_id", "price_unit")
-    lines = materialize(tables["sale_order_line"].select(*columns).join(named, "id", "left_semi"))
+    columns = ("id", "order_id", "product_id", "name", "product_uom", "default_ofc_id", "price_unit")
+    lines = tables["sale_order_line"].select(*columns).join(named, "id", "left_semi")
+    products = tables["product_product"].select(F.col("id").alias("product_id"), "product_tmpl_id", F.col("weight").alias("unit_weight"))
+    products = products.join(tables["product_template"].select(F.col("id").alias("product_tmpl_id")), "product_tmpl_id", "left_semi")
+    lines = materialize(lines.join(products, "product_id"))
     return {**{name: tables[name] for name in TABLES}, "sale_order_line": lines}
 
 
@@ -63,9 +78,12 @@ def consumption(tables: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:
     return kitting.consume_quants(demand, tables["stock_quant"], stock)
 
 
-def transfer_headers(tables: Mapping[str, DataFrame], lines: DataFrame, counters: Counters, today: date) -> DataFrame:
+def transfer_headers(
+    tables: Mapping[str, DataFrame], lines: DataFrame, counters: Counters, today: date, totals: DataFrame | None = None
+) -> DataFrame:
+    """Headers of all receipts of ``lines``; ``totals`` are their receipts, if less than all columns will do."""
     names = ("res_partner", "stock_warehouse", "stock_location", "stock_picking_type")
-    totals = kitting.receipt_totals(lines)
+    totals = kitting.receipt_totals(lines) if totals is None else totals
     return kitting.transfer_headers(totals, *[tables[n] for n in names], counters.internal, counters.outgoing, today)
 
 

@@ -54,9 +54,10 @@ def materialize(df: DataFrame) -> DataFrame:
     """Store a stage that feeds several outputs as a table in the shared folder and go on from there.
 
     The lineage ends at files that survive lost executors, readers scan only the columns they need, and join planning
-    knows the real size. The table stays until the folder is cleaned.
+    knows the real size. Files are packed with zstd, as stages are written once and read a few times. The table stays until
+    the folder is cleaned.
     """
     spark = df.sparkSession
     path = new_folder(spark, "stage")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
