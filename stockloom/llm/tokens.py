@@ -41,6 +41,7 @@ class TextEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.model = self.tokenizer.model
+        self._tokenize = self.model.tokenize
         self.keep, self.parts, self.older = keep, {}, {}
 
     @classmethod
@@ -105,9 +106,30 @@ class TextEncoder:
             return self._careful(head, rest)
         found = list(map(self.parts.get, rest))
         if not all(found):  # no part is without ids
-            found = [self._cached(part) if ids is None else ids for part, ids in zip(rest, found, strict=True)]
+            found = [self._new(part) if ids is None else ids for part, ids in zip(rest, found, strict=True)]
         return self._whole(head) + b"".join(found)
 
+    def _new(self, part: str) -> bytes:
+        """Ids of a blank and a part that is not empty and was not kept when its text began.
+
+        A word before a comma or full stop has the ids of the word alone, so these are looked up before they are made.
+        """
+        ids = self.parts.get(part)
+        if ids is not None:
+            return ids
+        if not part.isascii() or (ids := self.older.get(part)) is not None:
+            return self._part(part)
+        if part.isalpha():
+            ids = _bytes([t.id for t in self._tokenize(_BLANK + part)])
+        elif part[-1] in ",." and part[:-1].isalpha():
+            ids = self._new(part[:-1]) + self._mark(part[-1])
+        else:
+            return self._part(part)
+        if len(self.parts) >= self.keep:
+            self.parts, self.older = {}, self.parts
+        self.parts[part] = ids
+        return ids
+
     def _careful(self, head: str, rest: list[str]) -> bytes:
         """Parts that end in white space belong to the next one."""
         out, open_, first = [], head, True

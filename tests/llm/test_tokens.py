@@ -185,3 +185,16 @@ def test_a_rare_pair_does_not_keep_its_slot():
     starts = np.arange(0, 2 * len(docs), 2)
     rules, _, symbols, _ = store.compress(np.concatenate(docs), starts, 5000, rounds=1)
     assert place[slot] != often and rules.tolist() == [often] and len(symbols) == 502
+
+
+def test_a_word_before_a_comma_is_not_encoded_again(monkeypatch):
+    import public_tokenizers
+    from stockloom.llm.tokens import TextEncoder
+
+    encoder = TextEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    made, tokenize = [], encoder._tokenize
+    encoder._tokenize = lambda word: made.append(word) or tokenize(word)
+    text = "a quobbling quobbling, then quobbling. quobbling"
+    whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert list(memoryview(encoder.encode(text)).cast("I")) == whole
+    assert sorted(w[1:] for w in made) == ["quobbling", "then"]
