@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -55,10 +56,18 @@ def small_batches(spark, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def give_back() -> None:
+    """Return freed memory to the system, Arrow's and that of the C library, where it has a call for it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def sliced(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = 512 << 10) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each part holds about max_bytes of text, one row at least; memory follows that size.
 
-    The arrays made over a part take some eighty times its bytes. Arrow's spare memory is given back at the end, as a worker
+    The arrays made over a part take some eighty times its bytes. Spare memory is given back at the end, as a worker
     is kept for other tasks.
     """
     for batch in batches:
@@ -70,7 +79,7 @@ def sliced(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = 512
             stop = max(start + 1, int(np.searchsorted(ends, before + max_bytes, "right")))
             yield batch.slice(start, stop - start)
             start = stop
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

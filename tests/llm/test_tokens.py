@@ -198,3 +198,15 @@ def test_a_word_before_a_comma_is_not_encoded_again(monkeypatch):
     whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
     assert list(memoryview(encoder.encode(text)).cast("I")) == whole
     assert sorted(w[1:] for w in made) == ["quobbling", "then"]
+
+
+def test_spare_memory_is_given_back_after_the_last_slice(monkeypatch):
+    import pyarrow as pa
+    from stockloom.llm import text_batches
+
+    calls = []
+    monkeypatch.setattr(text_batches, "give_back", lambda: calls.append(1))
+    batch = pa.RecordBatch.from_pydict({"text": ["ab", "cd", None]})
+    slices = text_batches.sliced([batch], "text", max_bytes=2)
+    assert next(slices).num_rows == 1 and not calls
+    assert sum(b.num_rows for b in slices) == 2 and calls == [1]
