@@ -5,12 +5,13 @@ coordinate minima of their points, and a node of an R-tree gives the same bound
 is searched with "summed minima >= shingles needed" and the pairs that survive are verified on the sets themselves.
 
 One tree over all points would be searched almost whole: unrelated texts of equal length have nearly equal group counts,
-and a box over many of them excludes nothing. Points are therefore dealt to clusters first, by an exact argument on the
-same kind of groups. If two sets reach the similarity t, they differ in at most r = |A|(1 - t)/t shingles, so of
-m = r + 1 + s groups of the hash space at least 1 + s are equal, content and all. Every set emits one key per group (its
-size class, the group's number, a checksum of the group's shingles), and sets that share a key belong to one cluster.
-Empty groups are only emitted by sets with more than s of them, which keeps the argument exact without letting empty
-groups tie unrelated texts together. Sets that a smaller partner of a lower class could link to emit the keys of that class too.
+and a box over many of them excludes nothing. Points are therefore dealt to clusters first, by an exact argument. All sets
+are sorted by one order of the shingles, rare ones first. Two linked sets share at least needed = t(|A| + |B|)/(1 + t)
+shingles, and the first SHARED of these (all, if needed is less) lie among the first |A| - needed + SHARED of A, and of B
+likewise. The smaller of the two need only look at fewer, as its partner is not smaller. So every set emits its first
+shingles as keys, and two sets are tied if they share SHARED keys; a passage that two texts have in common by chance, or a
+line that very many have, ties nobody. Keys of more than MOST sets are not counted pair by pair: they tie all their sets, so
+no pair that shares one is lost. Which shingles are frequent is learned from an eighth of the texts; any order is exact.
 
 Within a cluster the R-tree finds the links. Large clusters are cut into blocks, each pair of blocks is one task's work,
 and a task returns a spanning forest of the links it found, never all pairs. Equal sets are one point from the start.
@@ -23,8 +24,6 @@ rows and null ids are rows of their own, and a component whose ids are all null
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
-from math import ceil, exp, sqrt
 
 import numpy as np
 import pandas as pd
@@ -36,8 +35,10 @@ from stockloom.llm.text_batches import LOWER, SPACE, Words, flat, mix, sliced
 from stockloom.session import materialize
 
 U64 = np.uint64
-#: Least number of spare equal groups; sets with up to as many empty groups as are spare need no keys for them.
-SPARE = 2
+#: Keys that two sets must share, and sets of a key up to which their pairs are counted one by one.
+SHARED, MOST = 4, 64
+#: One text in so many tells which shingles are frequent: those of LEAST such texts or more, the first LISTED of them.
+SAMPLED, LEAST, LISTED = 8, 3, 1 << 18
 #: Dimensions of the points, points in a leaf or children of a node, and sets in a block.
 GROUPS, FAN_OUT, BLOCK = 64, 16, 2048
 _FACTOR = [int(x) | 1 for x in mix(np.arange(101, 133, dtype=U64))]
@@ -66,48 +67,32 @@ def shingle_sets(column: pa.Array, width: int) -> list[np.ndarray]:
     return out
 
 
-@lru_cache
-def size_classes(num: int, den: int, upto: int) -> tuple[list[int], list[int], list[int]]:
-    """Lower borders of the size classes, and per class how many shingles its sets may differ in and how many groups are spare.
+def frequent_shingles(documents: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the shingles that many of the sampled texts hold, and in how many of these each occurs."""
 
-    Below the first border linked sets are equal. Spare groups are what the smallest set of a class leaves empty of all
-    groups by chance, and three deviations more; so few sets need keys of empty groups.
-    """
-    borders = [-(-num // (den - num))]
-    while borders[-1] <= upto:
-        borders.append(max(borders[-1] + 1, borders[-1] * 3 // 2))
-    differ = [(b - 1) * (den - num) // num for b in borders[1:]]
-    spare = []
-    for least, r in zip(borders, differ, strict=False):
-        extra = SPARE
-        for _ in range(3):
-            empty = (r + 1 + extra) * exp(-least / (r + 1 + extra))
-            extra = min(SPARE + ceil(empty + 3 * sqrt(empty)), SPARE + r // 2)
-        spare.append(extra)
-    return borders, differ, spare
-
-
-def cluster_keys(found: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Keys of one set; two different sets with num/den similarity or more share one at least."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "text"):
+            found = np.concatenate([np.zeros(0, U64), *shingle_sets(batch.column("text"), width)])
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["shingle"])
+
+    sample = documents.select("text").where(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0)
+    counts = sample.mapInArrow(run, "shingle bigint").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    most = counts.where(F.col("n") >= LEAST).orderBy(F.desc("n"), "shingle").limit(LISTED).toPandas()
+    hashes = most["shingle"].to_numpy(np.int64).view(U64)
+    order = np.argsort(hashes)
+    return hashes[order], most["n"].to_numpy(np.int64)[order]
+
+
+def cluster_keys(found: np.ndarray, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """Keys of one set, its first shingles, rare ones first; different sets with num/den similarity or more share SHARED of
+    them, or all that they have in common."""
     n = len(found)
-    borders, differ, spare = size_classes(num, den, 1 << max(6, n.bit_length()))
-    own = int(np.searchsorted(borders, n, "right")) - 1
-    if own < 0:
-        return np.zeros(0, U64)
-    classes = [own]
-    while classes[-1] and num * n <= den * (borders[classes[-1]] - 1):
-        classes.append(classes[-1] - 1)
-    content, high, out = mix(found ^ U64(0x5BF03635F0935AD1)), found >> U64(32), []
-    for k in classes:
-        groups = differ[k] + 1 + spare[k]
-        number = (high * U64(groups)) >> U64(32)
-        first = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
-        present, sums = number[first], np.add.reduceat(content, first)
-        if groups - len(present) > spare[k]:
-            empty = np.setdiff1d(np.arange(groups, dtype=U64), present)
-            present, sums = np.r_[present, empty], np.r_[sums, np.zeros(len(empty), U64)]
-        out.append(mix(mix(sums) + present * U64(_FACTOR[0]) + U64(k * _FACTOR[1] & (2**64 - 1))))
-    return np.concatenate(out)
+    first = n + (-num * n // den) + SHARED
+    if first < n and frequent is not None and len(frequent[0]):
+        hashes, counts = frequent
+        at = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
+        found = found[np.argsort(np.where(hashes[at] == found, counts[at], 0), kind="stable")]
+    return found[:first]
 
 
 class RTree:
@@ -161,11 +146,13 @@ def forest(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
 
 
 def set_rows(documents: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """doc_id, row_key, n_shingles, sid (hash of the whole set; null if empty) and its cluster keys.
+    """doc_id, row_key, n_shingles, sid (hash of the whole set; null if empty) and its cluster keys in their order.
 
     A task gives the keys of equal sets once, so a set that many documents share adds a row per task and key.
     """
 
+    frequent = frequent_shingles(documents, width)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in sliced(batches, "text"):
@@ -173,7 +160,7 @@ def set_rows(documents: DataFrame, width: int, num: int, den: int) -> DataFrame:
             sids = [_sid(s) if len(s) else None for s in sets]
             keys = []
             for s, sid in zip(sets, sids, strict=True):
-                keys.append(np.zeros(0, np.int64) if sid in seen else cluster_keys(s, num, den).view(np.int64))
+                keys.append(np.zeros(0, np.int64) if sid in seen else cluster_keys(s, num, den, frequent).view(np.int64))
                 seen.add(sid)
             offsets = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             values = np.concatenate(keys) if keys else np.zeros(0, np.int64)
@@ -201,13 +188,34 @@ def _sid(found: np.ndarray) -> int:
     return int(mix(np.array([np.add.reduce(mix(found + U64(_FACTOR[2])))], U64)).view(np.int64)[0])
 
 
+def _ties(stored: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) of sets that may be linked, enough to connect all that are; from the rows of :func:`set_rows`."""
+    both = num + den
+    # of the smaller set of a pair fewer keys count, as its partner is not smaller
+    head = F.col("at") < F.col("n_shingles") - F.expr(f"({2 * num} * n_shingles + {both - 1}) div {both}") + SHARED
+    keys = stored.where("sid is not null").select("sid", "n_shingles", F.posexplode("keys").alias("at", "key"))
+    # one number beside set and key, as most rows are shuffled for nothing
+    keys = keys.select("sid", "key", (F.col("n_shingles") * 2 + head.cast("int")).alias("tag"))
+    of_key = Window.partitionBy("key")
+    met = keys.withColumns({"least": F.min("sid").over(of_key), "last": F.max("sid").over(of_key)}).where("least <> last")
+    met = met.drop("last").dropDuplicates(["key", "sid"]).withColumn("members", F.count(F.lit(1)).over(of_key))
+    met = materialize(met)
+    frequent = met.where((F.col("members") > MOST) & (F.col("sid") != F.col("least")))
+    size = F.expr("tag div 2").alias("size")
+    rows = met.where(F.col("members") <= MOST).select("key", F.struct(size, "sid", (F.col("tag") % 2 == 1).alias("head")).alias("row"))
+    rows = rows.groupBy("key").agg(F.array_sort(F.collect_list("row")).alias("rows"))
+    rows = rows.select("rows", F.posexplode("rows").alias("at", "a")).where("a.head")
+    pairs = rows.select("a", F.explode(F.expr("slice(rows, at + 2, size(rows))")).alias("b")).where(f"{num} * b.size <= {den} * a.size")
+    pairs = pairs.groupBy(F.col("a.sid").alias("a"), F.col("b.sid").alias("b"), (F.col("a.size") + F.col("b.size")).alias("sizes"))
+    needed = F.expr(f"({num} * sizes + {both - 1}) div {both}")
+    pairs = pairs.agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= F.least(F.lit(SHARED), needed))
+    return pairs.select("a", "b").unionByName(frequent.select(F.col("sid").alias("a"), F.col("least").alias("b")))
+
+
 def _linked_sets(documents: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """:func:`set_rows`, stored, and (node, root) of the sets that link with another."""
     stored = materialize(set_rows(documents, width, num, den))
-    keys = stored.where("sid is not null").select("sid", F.explode("keys").alias("key"))
-    # keys are shuffled once; the sets of a key are tied to the smallest of them
-    ties = keys.withColumn("least", F.min("sid").over(Window.partitionBy("key"))).where("sid <> least")
-    clusters = materialize(components(ties.select(F.col("sid").alias("a"), F.col("least").alias("b")).distinct()))
+    clusters = materialize(components(_ties(stored, num, den).distinct()))
 
     edges = materialize(_cluster_links(documents, stored, clusters, width, num, den))
     return stored, materialize(components(edges))

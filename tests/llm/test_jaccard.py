@@ -87,6 +87,34 @@ def test_linked_sets_share_a_key():
                     assert np.intersect1d(rtree.cluster_keys(a, num, den), rtree.cluster_keys(b, num, den)).size
 
 
+def test_shared_passages_make_no_cluster(spark, monkeypatch):
+    """Texts with a line that all have and a phrase that two have are no candidates of each other; copies still are."""
+    seen = []
+    links = rtree._cluster_links
+    monkeypatch.setattr(rtree, "_cluster_links", lambda docs, stored, clusters, *rest: seen.append(clusters) or links(docs, stored, clusters, *rest))
+    rng = random.Random(7)
+    line = " ".join(f"license{i}" for i in range(12))
+    rows = []
+    for i in range(200):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+        own[10:16] = [f"phrase{i // 2}x{k}" for k in range(6)]
+        rows.append((i, " ".join([*own, line])))
+    rows.append((200, rows[0][1] + " more"))
+    assert rows_of(rtree.link_components(documents(spark, rows), 5, 80, 100)) == brute(rows, 5, 80, 100)
+    assert seen[0].count() == 2
+
+
+@pytest.mark.parametrize(("shared", "most"), [(1, 64), (4, 3), (2, 1)])
+def test_ties_lose_no_link(spark, monkeypatch, shared, most):
+    """Also with fewer keys asked for, and with keys too frequent to be counted pair by pair."""
+    monkeypatch.setattr(rtree, "SHARED", shared)
+    monkeypatch.setattr(rtree, "MOST", most)
+    monkeypatch.setattr(rtree, "LEAST", 1)
+    rows = varied(11, 300, 20)
+    rows += [(1000 + i, text) for i, (_, text) in enumerate(rows[:40])]
+    assert rows_of(rtree.link_components(documents(spark, rows), 3, 80, 100)) == brute(rows, 3, 80, 100)
+
+
 def test_tree_finds_what_the_bound_allows():
     rng = np.random.default_rng(1)
     points = rng.poisson(3, (300, 16))
