@@ -44,6 +44,8 @@ END_ID = 2
 SHARD_SCHEMA = "part int, within int, first_id bigint, tokens bigint, documents bigint, body binary"
 
 
+#: Encoded parts of a generation that a worker keeps; new ones take most of the time, and nothing else here needs memory.
+KEPT_PARTS = 600_000
 #: Places are counted in a table of 2**SLOTS before their pairs are; see :func:`_round`.
 SLOTS = 18
 
@@ -208,7 +210,7 @@ def write_token_files(documents: DataFrame, path: str, vocabulary: str, end_id:
     ordered = ordered.select("doc_id", "text", F.spark_partition_id().alias("part"))
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder.of(vocabulary)
+        encoder = TextEncoder.of(vocabulary, KEPT_PARTS)
         terminals = max(encoder.tokenizer.get_vocab_size(), end_id + 1)
         end = np.array([end_id], "<u4").tobytes()
         ids, docs, size, number, part = [], [], 0, 0, 0

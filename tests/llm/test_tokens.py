@@ -200,6 +200,17 @@ def test_a_word_before_a_comma_is_not_encoded_again(monkeypatch):
     assert sorted(w[1:] for w in made) == ["quobbling", "then"]
 
 
+def test_marks_after_a_word_are_made_once_by_the_model(monkeypatch):
+    """Runs of marks after a word of any letters, at line ends too, do not go through the whole library."""
+    encoder = TextEncoder(VOCABULARY)
+    text = "a quibblön*** quibblön&&& quibblön, größe;; größe!?\nbé... größe\u0301 x_ y'' z's\u00b2 q\u00bd *** 9,, quibblön***"
+    whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    asked, library = [], encoder._whole
+    monkeypatch.setattr(encoder, "_whole", lambda part: asked.append(part) or library(part))
+    assert list(memoryview(encoder.encode(text)).cast("I")) == whole
+    assert not [part for part in asked if "quibblön" in part or "größe;" in part]
+
+
 def test_spare_memory_is_given_back_after_the_last_slice(monkeypatch):
     import pyarrow as pa
     from stockloom.llm import text_batches
