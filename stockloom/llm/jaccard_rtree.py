@@ -10,8 +10,10 @@ are sorted by one order of the shingles, rare ones first. Two linked sets share
 shingles, and the first SHARED of these (all, if needed is less) lie among the first |A| - needed + SHARED of A, and of B
 likewise. The smaller of the two need only look at fewer, as its partner is not smaller. So every set emits its first
 shingles as keys, and two sets are tied if they share SHARED keys; a passage that two texts have in common by chance, or a
-line that very many have, ties nobody. Keys of more than MOST sets are not counted pair by pair: they tie all their sets, so
-no pair that shares one is lost. Which shingles are frequent is learned from an eighth of the texts; any order is exact.
+line that very many have, ties nobody. A key of more than MOST sets is first counted between each of its sets and its
+smallest one only, which ties families of copies; then between those sets that hang together with others still, so no pair
+is lost, and sets that have only a frequent key in common are not brought together. Which shingles are frequent is
+learned from an eighth of the texts; any order is exact.
 
 Within a cluster the R-tree finds the links. Large clusters are cut into blocks, each pair of blocks is one task's work,
 and a task returns a spanning forest of the links it found, never all pairs. Equal sets are one point from the start.
@@ -200,16 +202,67 @@ def _ties(stored: DataFrame, num: int, den: int) -> DataFrame:
     met = keys.withColumns({"least": F.min("sid").over(of_key), "last": F.max("sid").over(of_key)}).where("least <> last")
     met = met.drop("last").dropDuplicates(["key", "sid"]).withColumn("members", F.count(F.lit(1)).over(of_key))
     met = materialize(met)
-    frequent = met.where((F.col("members") > MOST) & (F.col("sid") != F.col("least")))
-    size = F.expr("tag div 2").alias("size")
-    rows = met.where(F.col("members") <= MOST).select("key", F.struct(size, "sid", (F.col("tag") % 2 == 1).alias("head")).alias("row"))
-    rows = rows.groupBy("key").agg(F.array_sort(F.collect_list("row")).alias("rows"))
+    row = F.struct(F.expr("tag div 2").alias("size"), "sid", (F.col("tag") % 2 == 1).alias("head")).alias("row")
+    rows = met.where(F.col("members") <= MOST).select("key", row).groupBy("key").agg(F.array_sort(F.collect_list("row")).alias("rows"))
     rows = rows.select("rows", F.posexplode("rows").alias("at", "a")).where("a.head")
     pairs = rows.select("a", F.explode(F.expr("slice(rows, at + 2, size(rows))")).alias("b")).where(f"{num} * b.size <= {den} * a.size")
-    pairs = pairs.groupBy(F.col("a.sid").alias("a"), F.col("b.sid").alias("b"), (F.col("a.size") + F.col("b.size")).alias("sizes"))
+    pairs = _shared_keys(pairs)
+
     needed = F.expr(f"({num} * sizes + {both - 1}) div {both}")
-    pairs = pairs.agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= F.least(F.lit(SHARED), needed))
-    return pairs.select("a", "b").unionByName(frequent.select(F.col("sid").alias("a"), F.col("least").alias("b")))
+    enough = F.col("shared") >= F.least(F.lit(SHARED), needed)
+    frequent = met.where(F.col("members") > MOST)
+    if frequent.isEmpty():
+        return pairs.where(enough).select("a", "b")
+    pairs, frequent = materialize(pairs), frequent.select("key", "sid", "least", row)
+    hubs = frequent.where("sid = least").select("key", F.col("row").alias("b"))
+    with_hub = _shared_keys(frequent.where("sid <> least").select("key", F.col("row").alias("a")).join(hubs, "key"))
+    ties = _summed(pairs, with_hub).where(enough).select("a", "b")
+    rooted = materialize(components(ties))
+
+    more = _summed(pairs, _shared_keys(_strangers(frequent, pairs, rooted, num, den))).where(enough).select("a", "b")
+    return rooted.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
+
+
+def _strangers(frequent: DataFrame, pairs: DataFrame, rooted: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) for each frequent key that two sets of different trees of ``rooted`` have, if they may share enough keys.
+
+    Sets of one tree are compared anyway. A set of the smaller tree first counts the keys under which it meets the other tree,
+    with the rarer keys it shares with one of its sets; the pairs are listed only if these are enough.
+    """
+    sizes = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
+    trees = rooted.join(sizes, "root").select(F.col("node").alias("sid"), "root", "members")
+    groups = frequent.join(trees, "sid", "left").groupBy(
+        "key", F.coalesce("members", F.lit(1)).alias("members"), F.coalesce("root", "sid").alias("root")
+    )
+    groups = groups.agg(F.collect_list("row").alias("rows"), F.min("row.size").alias("small"), F.max("row.size").alias("large"))
+    groups = groups.withColumn("tree", F.struct("members", "root")).drop("members", "root")
+    other = groups.select("key", *[F.col(c).alias(f"{c}_b") for c in ("tree", "small", "large")])
+    fits = lambda low, high: f"{num} * {low} <= {den} * large_b and {num} * small_b <= {den} * {high}"
+    apart = groups.join(other, "key").where("tree < tree_b").where(fits("small", "large"))
+    loose = apart.select("key", F.explode("rows").alias("a"), "tree_b", "small_b", "large_b").where(fits("a.size", "a.size"))
+    loose = loose.select("key", "a", "a.sid", F.col("tree_b").alias("tree"))
+
+    both_ways = pairs.select(F.col("a").alias("sid"), F.col("b").alias("node"), "shared")
+    both_ways = both_ways.unionByName(pairs.select(F.col("b").alias("sid"), F.col("a").alias("node"), "shared"))
+    rarer = both_ways.join(rooted, "node", "left").groupBy("sid", F.coalesce("root", "node").alias("root")).agg(F.max("shared").alias("rarer"))
+    needed = F.least(F.lit(SHARED), F.expr(f"({num} * size + {den - 1}) div {den}"))
+    near = loose.groupBy("sid", "tree").agg(F.count(F.lit(1)).alias("keys"), F.first("a.size").alias("size"))
+    near = near.withColumn("root", F.col("tree.root")).join(rarer, ["sid", "root"], "left")
+    near = near.where(F.col("keys") + F.coalesce("rarer", F.lit(0)) >= needed).select("sid", "tree")
+    met = loose.join(near, ["sid", "tree"]).join(groups.select("key", "tree", "rows"), ["key", "tree"])
+    met = met.select("a", F.explode("rows").alias("b"))
+    smaller, larger = F.least("a", "b"), F.greatest("a", "b")
+    return met.select(smaller.alias("a"), larger.alias("b")).where(f"a.head and {num} * b.size <= {den} * a.size")
+
+
+def _shared_keys(rows: DataFrame) -> DataFrame:
+    """(a, b, sizes, shared): how many keys each pair of sets meets under, with the sum of their sizes."""
+    ends = [F.least("a.sid", "b.sid").alias("a"), F.greatest("a.sid", "b.sid").alias("b")]
+    return rows.groupBy(*ends, (F.col("a.size") + F.col("b.size")).alias("sizes")).agg(F.count(F.lit(1)).alias("shared"))
+
+
+def _summed(pairs: DataFrame, others: DataFrame) -> DataFrame:
+    return pairs.unionByName(others).groupBy("a", "b", "sizes").agg(F.sum("shared").alias("shared"))
 
 
 def _linked_sets(documents: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:

@@ -115,6 +115,21 @@ def test_ties_lose_no_link(spark, monkeypatch, shared, most):
     assert rows_of(rtree.link_components(documents(spark, rows), 3, 80, 100)) == brute(rows, 3, 80, 100)
 
 
+def test_frequent_keys_alone_make_no_cluster(spark, monkeypatch):
+    """Phrases that many texts have tie neither all of them nor, by chains of phrases, unrelated ones; families of copies hang together."""
+    monkeypatch.setattr(rtree, "MOST", 8)
+    monkeypatch.setattr(rtree, "LEAST", 10**9)
+    seen = []
+    links = rtree._cluster_links
+    monkeypatch.setattr(rtree, "_cluster_links", lambda docs, stored, clusters, *rest: seen.append(clusters) or links(docs, stored, clusters, *rest))
+    phrase = lambda name: " ".join(f"{name}x{k}" for k in range(6))
+    rows = [(i, f"{phrase(f'p{i // 15}')} {phrase(f'own{i}')} {phrase(f'q{i % 15}')}") for i in range(225)]
+    base = [f"b{k}" for k in range(60)]
+    rows += [(1000 + i, " ".join([*base[:i], f"new{i}", *base[i + 1 :]])) for i in range(30)]
+    assert rows_of(rtree.link_components(documents(spark, rows), 5, 80, 100)) == brute(rows, 5, 80, 100)
+    assert seen[0].count() == 30
+
+
 def test_tree_finds_what_the_bound_allows():
     rng = np.random.default_rng(1)
     points = rng.poisson(3, (300, 16))
