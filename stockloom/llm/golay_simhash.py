@@ -205,7 +205,8 @@ def fingerprint_components(fps: DataFrame, errors: int = MOST_ERRORS) -> DataFra
     if not 0 <= errors <= MOST_ERRORS:
         raise ValueError(f"the keys find up to {MOST_ERRORS} errors")
     alone = fps.select("fp", F.col("fp").alias("root"))
-    homes = alone.select("fp").mapInArrow(_homes, "key bigint, fp bigint")
+    # planning takes the keys of a fingerprint for one row; what holds them is merged, as a broadcast may exceed the driver
+    homes = alone.select("fp").mapInArrow(_homes, "key bigint, fp bigint").hint("merge")
     hubs = homes.groupBy("key").agg(F.min("fp").alias("hub"))
     near = homes.join(hubs, "key").where(f"fp <> hub and bit_count(fp ^ hub) <= {errors}")
     first = components(near.select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct())
@@ -217,8 +218,8 @@ def fingerprint_components(fps: DataFrame, errors: int = MOST_ERRORS) -> DataFra
     schema = "key bigint, fp bigint, root bigint, size bigint"
     homes = sized.mapInArrow(_homes, schema).select("key", F.col("fp").alias("home"), F.col("root").alias("other"), F.col("size").alias("others"))
     groups = homes.select("key", "other", "others").distinct()
-    strangers = sized.mapInArrow(_probes, schema).join(groups, "key").where("size < others or (size = others and root < other)")
-    met = strangers.select("key", "fp", "root", "other").join(homes.drop("others"), ["key", "other"]).where(f"bit_count(fp ^ home) <= {errors}")
+    strangers = sized.mapInArrow(_probes, schema).hint("merge").join(groups, "key").where("size < others or (size = others and root < other)")
+    met = strangers.select("key", "fp", "root", "other").join(homes.drop("others").hint("merge"), ["key", "other"]).where(f"bit_count(fp ^ home) <= {errors}")
     links = materialize(met.select(F.col("root").alias("a"), F.col("other").alias("b")).distinct())
     return materialize(_renamed(rooted, components(links), "root"))
 

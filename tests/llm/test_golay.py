@@ -7,6 +7,7 @@ import numpy as np
 import xxhash
 from cases import documents, sample, stored, texts, words
 
+from stockloom.llm import golay_simhash
 from stockloom.llm.golay_simhash import (
     CHECKS,
     LENGTH,
@@ -95,6 +96,19 @@ def test_components_of_fingerprints_equal_all_pairs(spark):
     assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(expected.values()))
 
 
+def test_keys_are_never_broadcast(spark, monkeypatch):
+    """Planning takes the up to 60 keys of a fingerprint for one row, so a limit of broadcasts by size does not hold for them."""
+    plans = []
+    found = golay_simhash.components
+    monkeypatch.setattr(golay_simhash, "components", lambda edges: plans.append(edges._jdf.queryExecution().toString()) or found(edges))
+    fingerprint_components(spark.createDataFrame([(i * 3,) for i in range(50)], "fp bigint"))
+    kept = golay_simhash.materialize
+    monkeypatch.setattr(golay_simhash, "materialize", lambda df: plans.append(df._jdf.queryExecution().toString()) or kept(df))
+    fingerprint_components(spark.createDataFrame([(i * 3,) for i in range(50)], "fp bigint"))
+    dealt = [p for p in plans if "MapInArrow" in p]
+    assert len(dealt) >= 3 and not any("BroadcastHashJoin" in p for p in dealt)
+
+
 def test_fewer_errors(spark):
     fps = [0, 0b11, 0b111 << 30, 1 << 50]
     for errors in range(4):
