@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the operators rely on. Join strategies are left to adaptive execution, which measures shuffle sizes
-#: before it broadcasts and splits skewed partitions of sort-merge joins even if that costs a further shuffle.
+#: before it broadcasts (see :func:`broadcast_what_is_measured`) and splits skewed partitions of sort-merge joins even if that costs a further shuffle.
 ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -18,6 +19,25 @@ ENGINE_CONF = {
     "spark.sql.ansi.enabled": "true",
 }
 
+_ESTIMATED, _MEASURED = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+#: Bytes up to which a join side may be broadcast by its estimate alone, and by its measured size.
+MOST_ESTIMATED, MOST_MEASURED = 256 << 10, 2 << 20
+
+
+def broadcast_what_is_measured(spark: SparkSession) -> None:
+    """Lower the session's limit for broadcasts, that for estimates more than that for measured sizes.
+
+    A scan is estimated by the bytes of its packed columns and an exploded array counts as one element, so a table of a few
+    megabytes can be hundreds in the driver's memory; the hash table of measured rows takes some five times their bytes.
+    Limits that are lower already stay.
+    """
+    size, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", spark.conf.get(_ESTIMATED).strip().lower()).groups()
+    limit = int(size) << 10 * " kmgt".index(unit or " ")
+    if limit > MOST_ESTIMATED:
+        if spark.conf.get(_MEASURED, None) is None:
+            spark.conf.set(_MEASURED, str(min(limit, MOST_MEASURED)))
+        spark.conf.set(_ESTIMATED, str(MOST_ESTIMATED))
+
 
 def build_session(app_name: str = "stockloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with :data:`ENGINE_CONF`; keyword settings use ``__`` for dots."""
@@ -26,7 +46,9 @@ def build_session(app_name: str = "stockloom", master: str | None = None, **conf
         builder = builder.master(master)
     for key, value in {**ENGINE_CONF, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    broadcast_what_is_measured(spark)
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
