@@ -11,8 +11,8 @@ shingles, and the first SHARED of these (all, if needed is less) lie among the f
 likewise. The smaller of the two need only look at fewer, as its partner is not smaller. So every set emits its first
 shingles as keys, and two sets are tied if they share SHARED keys; a passage that two texts have in common by chance, or a
 line that very many have, ties nobody. A key of more than MOST sets is first counted between each of its sets and its
-smallest one only, which ties families of copies; then between those sets that hang together with others still, so no pair
-is lost, and sets that have only a frequent key in common are not brought together. Which shingles are frequent is
+smallest one only, which ties families of copies; then between a set and the others of the key that do not hang together with
+it so far, family by family. So no pair is lost, and sets that have only a frequent key in common are not brought together. Which shingles are frequent is
 learned from an eighth of the texts; any order is exact.
 
 Within a cluster the R-tree finds the links. Large clusters are cut into blocks, each pair of blocks is one task's work,
@@ -219,15 +219,16 @@ def _ties(stored: DataFrame, num: int, den: int) -> DataFrame:
     ties = _summed(pairs, with_hub).where(enough).select("a", "b")
     rooted = materialize(components(ties))
 
-    more = _summed(pairs, _shared_keys(_strangers(frequent, pairs, rooted, num, den))).where(enough).select("a", "b")
+    more = _strangers(frequent, pairs, rooted, num, den)
     return rooted.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
 
 
 def _strangers(frequent: DataFrame, pairs: DataFrame, rooted: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) for each frequent key that two sets of different trees of ``rooted`` have, if they may share enough keys.
+    """(a, b): a set and the root of another tree of ``rooted``, which hold enough keys in common, frequent ones among them.
 
-    Sets of one tree are compared anyway. A set of the smaller tree first counts the keys under which it meets the other tree,
-    with the rarer keys it shares with one of its sets; the pairs are listed only if these are enough.
+    Sets of one tree are compared anyway. A set of the smaller of two trees counts the frequent keys under which it meets the
+    other one, and the rarer keys it shares with one set of it: at least as many as with any single set there, so no link is
+    lost, and a large tree is not listed set by set.
     """
     sizes = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     trees = rooted.join(sizes, "root").select(F.col("node").alias("sid"), "root", "members")
@@ -240,19 +241,15 @@ def _strangers(frequent: DataFrame, pairs: DataFrame, rooted: DataFrame, num: in
     fits = lambda low, high: f"{num} * {low} <= {den} * large_b and {num} * small_b <= {den} * {high}"
     apart = groups.join(other, "key").where("tree < tree_b").where(fits("small", "large"))
     loose = apart.select("key", F.explode("rows").alias("a"), "tree_b", "small_b", "large_b").where(fits("a.size", "a.size"))
-    loose = loose.select("key", "a", "a.sid", F.col("tree_b").alias("tree"))
+    loose = loose.select("a.sid", "a.size", F.col("tree_b.root").alias("root"))
 
     both_ways = pairs.select(F.col("a").alias("sid"), F.col("b").alias("node"), "shared")
     both_ways = both_ways.unionByName(pairs.select(F.col("b").alias("sid"), F.col("a").alias("node"), "shared"))
     rarer = both_ways.join(rooted, "node", "left").groupBy("sid", F.coalesce("root", "node").alias("root")).agg(F.max("shared").alias("rarer"))
     needed = F.least(F.lit(SHARED), F.expr(f"({num} * size + {den - 1}) div {den}"))
-    near = loose.groupBy("sid", "tree").agg(F.count(F.lit(1)).alias("keys"), F.first("a.size").alias("size"))
-    near = near.withColumn("root", F.col("tree.root")).join(rarer, ["sid", "root"], "left")
-    near = near.where(F.col("keys") + F.coalesce("rarer", F.lit(0)) >= needed).select("sid", "tree")
-    met = loose.join(near, ["sid", "tree"]).join(groups.select("key", "tree", "rows"), ["key", "tree"])
-    met = met.select("a", F.explode("rows").alias("b"))
-    smaller, larger = F.least("a", "b"), F.greatest("a", "b")
-    return met.select(smaller.alias("a"), larger.alias("b")).where(f"a.head and {num} * b.size <= {den} * a.size")
+    near = loose.groupBy("sid", "size", "root").agg(F.count(F.lit(1)).alias("keys")).join(rarer, ["sid", "root"], "left")
+    near = near.where(F.col("keys") + F.coalesce("rarer", F.lit(0)) >= needed)
+    return near.select(F.col("sid").alias("a"), F.col("root").alias("b"))
 
 
 def _shared_keys(rows: DataFrame) -> DataFrame:
